@@ -8,11 +8,9 @@ from rankmatch.functions.names import (
     strip_markup,
     trim_blanks,
 )
-from rankmatch.functions.ranks import all_blank, all_filled, lowest_name, lowest_rank, presence_mask
+from rankmatch.functions.ranks import lowest_name, lowest_rank, presence_mask
 
 __all__ = [
-    "all_blank",
-    "all_filled",
     "blank_as_null",
     "category",
     "first_token",

@@ -9,9 +9,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quote(name: str) -> str:
+    """Name in backticks: checklist headers hold blanks, dots and slashes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by exact name: checklist headers hold blanks, dots and slashes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(quote(name))
+
+
+def literal(text: str) -> str:
+    """``text`` as a SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def trim_blanks(col: Column) -> Column:

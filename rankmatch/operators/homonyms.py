@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import null_as_blank, quoted
+from rankmatch.functions.names import null_as_blank, quote, quoted
 from rankmatch.functions.ranks import lowest_name, lowest_rank
 from rankmatch.operators.joins import Join, keep_keys, lookup, repeated_keys
 
@@ -225,7 +225,7 @@ def homonym_parents(
         *[F.when(F.col("lowest_rank") == r, quoted(f"parent_{r}")) for r in ranks[1:]]
     )
     return found.select(
-        *[quoted(c) for c in records.columns],
+        *map(quote, records.columns),
         F.coalesce("is_homonym", F.lit(False)).alias("is_homonym"),
         parent.alias("homonym_parent"),
     )
@@ -248,8 +248,8 @@ def homonym_assign(
     table = parent_table(records, names, ranks, tie_rank, tie_columns, name, node_id)
     found = homonym_parents(records, table, ranks, join).where("homonym_parent IS NOT NULL")
     columns = [c for c in records.columns if c != parent_id]
-    found = found.select(*[quoted(c) for c in columns], F.col("homonym_parent").alias(parent_id))
-    return found.select([quoted(c) for c in [*columns, parent_id]])
+    found = found.select(*map(quote, columns), F.col("homonym_parent").alias(parent_id))
+    return found.select(*map(quote, [*columns, parent_id]))
 
 
 def unresolvable_homonyms(

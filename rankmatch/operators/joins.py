@@ -8,13 +8,11 @@ spreads the hot keys.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankmatch.functions.names import quoted
+from rankmatch.functions.names import quote, quoted
 from rankmatch.session import store
 
 Join = Callable[[DataFrame, DataFrame, Sequence[str], str], DataFrame]
@@ -36,7 +34,7 @@ _HOT = "__hot"
 
 
 def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(or_, [quoted(k).isNull() for k in keys])
+    return F.expr(" OR ".join(f"{quote(k)} IS NULL" for k in keys))
 
 
 def hot_keys(
@@ -50,12 +48,12 @@ def hot_keys(
     """
     return (
         df.where(~_any_null(keys))
-        .groupBy(*[quoted(k) for k in keys])
+        .groupBy(*map(quote, keys))
         .agg(F.count("*").alias("__rows"))
         .where(F.col("__rows") >= min_rows)
         .orderBy(F.desc("__rows"))
         .limit(top)
-        .select(*[quoted(k) for k in keys])
+        .select(*map(quote, keys))
     )
 
 
@@ -102,8 +100,8 @@ def lookup(
 
 def value_bytes(df: DataFrame) -> int:
     """Bytes of all values of ``df``, ids counted as text: one row comes to the driver."""
-    sizes = [F.coalesce(F.octet_length(quoted(c).cast("string")), F.lit(1)) for c in df.columns]
-    return df.agg(F.coalesce(F.sum(reduce(add, sizes)), F.lit(0))).first()[0]
+    row = " + ".join(f"coalesce(octet_length(CAST({quote(c)} AS STRING)), 1)" for c in df.columns)
+    return df.agg(F.expr(f"coalesce(sum({row}), 0)")).first()[0]
 
 
 def attach_stored(
@@ -125,32 +123,32 @@ def attach(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "l
     return attach_stored(left, store(table, "lookup"), keys, how)
 
 
-def _columns(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> list[Column]:
+def _columns(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> list[str]:
     extra = [c for c in table.columns if c not in keys]
     clash = [c for c in extra if c in left.columns]
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
-    return [quoted(c) for c in [*left.columns, *([] if how in ("left_semi", "left_anti") else extra)]]
+    return [quote(c) for c in [*left.columns, *([] if how in ("left_semi", "left_anti") else extra)]]
 
 
 def keep_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], join: Join = lookup
 ) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``."""
-    return join(left, right.select([quoted(k) for k in keys]).distinct(), keys, "left_semi")
+    return join(left, right.select(*map(quote, keys)).distinct(), keys, "left_semi")
 
 
 def drop_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], join: Join = lookup
 ) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; rows without a key stay."""
-    return join(left, right.select([quoted(k) for k in keys]).distinct(), keys, "left_anti")
+    return join(left, right.select(*map(quote, keys)).distinct(), keys, "left_anti")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row, null keys counting as equal, and their ``n_rows``."""
     return (
-        df.groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+        df.groupBy(*map(quote, keys)).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
     )
 
 

@@ -7,15 +7,13 @@ instead of a join per level, and the authority table is read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import quoted
-from rankmatch.functions.ranks import presence_mask
+from rankmatch.functions.names import literal, quote, quoted
+from rankmatch.functions.ranks import mask_sql
 from rankmatch.operators.joins import Join, lookup
 from rankmatch.settings import Level
 
@@ -33,14 +31,15 @@ def rank_backbone(
         (quoted(S.STATUS) == "accepted")
         & (quoted(S.NODE_RANK) != "unranked")
         & quoted("kingdom").isin(*kingdoms)
-    ).select(quoted(node_id), quoted(S.NODE_RANK), *[quoted(r) for r in ranks])
+    ).select(quoted(node_id), quoted(S.NODE_RANK), *map(quote, ranks))
 
 
-def _key(level: Level, extra: Sequence[str]) -> tuple[Column, Column]:
-    second = [quoted(c) for c in (*level.keys[1:], *extra)]
+def _key(level: Level, extra: Sequence[str]) -> tuple[str, str]:
+    """SQL of a level's name and second name; several second names become one JSON text."""
+    second = [quote(c) for c in (*level.keys[1:], *extra)]
     if len(second) > 1:
-        return quoted(level.keys[0]), F.to_json(F.array(*second))
-    return quoted(level.keys[0]), second[0] if second else F.lit("")
+        return quote(level.keys[0]), f"to_json(array({', '.join(second)}))"
+    return quote(level.keys[0]), second[0] if second else "''"
 
 
 def record_levels(
@@ -53,15 +52,15 @@ def record_levels(
 
     Records for which ``waiting`` is false have no level.
     """
-    wait = F.lit(True) if waiting is None else waiting
-    level = F.coalesce(
-        *[F.when(presence_mask(v.filled, v.blank), F.lit(v.name)) for v in levels]
-    )
-    keys = [(F.col("level") == v.name, *_key(v, extra_keys)) for v in levels]
-    return records.withColumn("level", F.when(wait, level)).withColumns(
+    masks = [f"WHEN {mask_sql(v.filled, v.blank)} THEN {literal(v.name)}" for v in levels]
+    level = F.expr(f"CASE {' '.join(masks)} END")
+    keys = [(literal(v.name), *_key(v, extra_keys)) for v in levels]
+    names = " ".join(f"WHEN {v} THEN {name}" for v, name, _ in keys)
+    seconds = " ".join(f"WHEN {v} THEN {second}" for v, _, second in keys)
+    return records.withColumn("level", level if waiting is None else F.when(waiting, level)).withColumns(
         {
-            "level_name": F.coalesce(*[F.when(here, name) for here, name, _ in keys]),
-            "level_second": F.coalesce(*[F.when(here, second) for here, _, second in keys]),
+            "level_name": F.expr(f"CASE level {names} END"),
+            "level_second": F.expr(f"CASE level {seconds} END"),
         }
     )
 
@@ -77,25 +76,18 @@ def node_levels(
     for level in levels:
         if len(level.within) > 1:
             raise ValueError("a level can have one 'within' column")
-        tests = [quoted(c).isNull() for c in level.node_null]
-        tests += [quoted(c).isNotNull() for c in (*level.node_filled, *level.keys, *extra_keys)]
+        tests = [f"{quote(c)} IS NULL" for c in level.node_null]
+        tests += [f"{quote(c)} IS NOT NULL" for c in (*level.node_filled, *level.keys, *extra_keys)]
         if level.node_rank_not is not None:
-            tests.append(quoted(S.NODE_RANK) != level.node_rank_not)
+            tests.append(f"{quote(S.NODE_RANK)} <> {literal(level.node_rank_not)}")
         name, second = _key(level, extra_keys)
-        within = quoted(level.within[0]) if level.within else F.lit(None).cast("string")
+        within = quote(level.within[0]) if level.within else "CAST(NULL AS STRING)"
         served.append(
-            F.when(
-                reduce(and_, tests),
-                F.struct(
-                    F.lit(level.name).alias("level"),
-                    name.alias("level_name"),
-                    second.alias("level_second"),
-                    within.alias("within_value"),
-                ),
-            )
+            f"CASE WHEN {' AND '.join(tests)} THEN named_struct('level', {literal(level.name)}, "
+            f"'level_name', {name}, 'level_second', {second}, 'within_value', {within}) END"
         )
-    hits = F.filter(F.array(*served), lambda s: s.isNotNull())
-    return nodes.select(quoted(node_id), F.inline(hits))
+    hits = F.expr(f"inline(filter(array({', '.join(served)}), s -> s IS NOT NULL))")
+    return nodes.select(quote(node_id), hits)
 
 
 def within_values(leveled: DataFrame, levels: Sequence[Level] = S.LEVELS) -> DataFrame | None:
@@ -155,7 +147,7 @@ def count_parents(
     served = keep_within(node_levels(nodes, levels, extra_keys, node_id), seen, levels, join)
     found = join(leveled, level_parents(served, node_id), LEVEL_KEYS, "left")
     return found.select(
-        *[quoted(c) for c in records.columns],
+        *map(quote, records.columns),
         "level",
         F.coalesce("n_parents", F.lit(0).cast("long")).alias("n_parents"),
         "first_parent",
@@ -179,8 +171,8 @@ def rank_match(
     ``extra_keys``, for instance the kingdom, must agree as well.
     """
     columns = [c for c in records.columns if c != parent_id]
-    out = [quoted(c) for c in [*columns, parent_id, *(["level"] if keep_level else [])]]
-    records = records.select([quoted(c) for c in columns])
+    out = list(map(quote, [*columns, parent_id, *(["level"] if keep_level else [])]))
+    records = records.select(*map(quote, columns))
     if multi == "first":
         found = count_parents(records, nodes, levels, extra_keys, node_id, join=join)
         return found.where("n_parents > 0").withColumnRenamed("first_parent", parent_id).select(out)

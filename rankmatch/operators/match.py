@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import blank_as_null, null_as_blank, quoted
+from rankmatch.functions.names import blank_as_null, null_as_blank, quote, quoted
 from rankmatch.operators.clean import derive_genus, fill_blank, require
 from rankmatch.operators.joins import Join, drop_keys, flag_repeated, keep_keys, lookup, split_repeated
 
@@ -89,13 +89,13 @@ def node_keys(
 ) -> DataFrame:
     """One row per key: how many nodes have it, and the ids of the node if there is just one."""
     single = {S.MATCHED_ID: S.NODE_ID, S.ACCEPTED_ID: S.ACCEPTED_ID, **{c: c for c in carry}}
-    counted = nodes.groupBy(*[quoted(k) for k in keys]).agg(
+    counted = nodes.groupBy(*map(quote, keys)).agg(
         F.count("*").alias("n_nodes"),
         *[F.min(quoted(c)).alias(f"__{name}") for name, c in single.items()],
     )
     only = F.col("n_nodes") == 1
     return counted.select(
-        *[quoted(k) for k in keys],
+        *map(quote, keys),
         "n_nodes",
         *[F.when(only, quoted(f"__{name}")).alias(name) for name in single],
     )
@@ -179,7 +179,7 @@ def accepted_backed(
     open_nodes = keep_keys(nodes, ambiguous.where(F.col("n_nodes") > 0), keys, join)
     backing = open_nodes.select(F.col(S.ACCEPTED_ID).alias(S.NODE_ID)).where(F.col(S.NODE_ID).isNotNull())
     backed = keep_keys(open_nodes.where(F.col(S.ACCEPTED_ID).isNull()), backing, [S.NODE_ID], join)
-    per_key = backed.groupBy(*[quoted(k) for k in keys]).agg(
+    per_key = backed.groupBy(*map(quote, keys)).agg(
         F.count("*").alias("n_backed"), F.min(S.NODE_ID).alias("first_backed")
     )
     return join(ambiguous, per_key, keys, "inner")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import quoted
+from rankmatch.functions.names import quote, quoted
 from rankmatch.operators.clean import cast_ids
 from rankmatch.operators.joins import Join, drop_keys, lookup
 
@@ -33,13 +33,19 @@ def reconcile(
 
 
 def match_summary(record_id: str = S.RECORD_ID, **stages: DataFrame) -> DataFrame:
-    """Rows and distinct records per stage."""
-    ids = append(
-        *[df.select(F.lit(name).alias("stage"), quoted(record_id)) for name, df in stages.items()]
-    )
-    return ids.groupBy("stage").agg(
-        F.count("*").alias("n_rows"), F.count_distinct(quoted(record_id)).alias("n_records")
-    )
+    """Rows and distinct records per stage, also of stages without rows.
+
+    Rows are counted per record id first, so that counting distinct ids stays distributed.
+    """
+    counts = []
+    for name, df in stages.items():
+        per_record = df.groupBy(quoted(record_id)).agg(F.count("*").alias("n"))
+        counts.append(
+            per_record.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(quoted(record_id)).alias("n_records")
+            ).select(F.lit(name).alias("stage"), "n_rows", "n_records")
+        )
+    return append(*counts)
 
 
 def inspect(
@@ -52,5 +58,5 @@ def inspect(
     if where is not None:
         df = df.where(where)
     if order_by:
-        df = df.orderBy(*[quoted(c) for c in order_by])
-    return df if columns is None else df.select([quoted(c) for c in columns])
+        df = df.orderBy(*map(quote, order_by))
+    return df if columns is None else df.select(*map(quote, columns))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import quoted
+from rankmatch.functions.names import quote
 from rankmatch.operators.homonyms import accepted_names, homonym_parents, parent_table, parents_by_rank
 from rankmatch.operators.joins import Join, attach, attach_stored, drop_keys
 from rankmatch.operators.levels import (
@@ -49,7 +49,7 @@ def assign_parents(
     each needs, to find lone targets and the orders of the family level.
     """
     columns = [c for c in records.columns if c != parent_id]
-    records = records.select([quoted(c) for c in columns])
+    records = records.select(*map(quote, columns))
     names = accepted_names(backbone, kingdoms, ranks, name)
     table = store(parent_table(records, names, ranks, tie_rank, tie_columns, name), "parents", base)
 
@@ -74,7 +74,7 @@ def assign_parents(
     )
     is_first, is_second = F.col("homonym_parent").isNotNull(), F.col("n_parents") > 0
     return found.select(
-        *[quoted(c) for c in columns],
+        *map(quote, columns),
         F.when(is_first, "first").when(is_second, "second").otherwise("none").alias("stage"),
         F.when(is_second, F.col("level")).alias("level"),
         F.when(is_first, F.lit(1).cast("long")).otherwise(F.col("n_parents")).alias("n_parents"),
@@ -117,7 +117,7 @@ def match_checklist(
     assigned = store(
         assign_parents(unmatched, backbone, kingdoms, levels=levels, base=base), "assigned", base
     )
-    columns = [quoted(c) for c in unmatched.columns]
+    columns = list(map(quote, unmatched.columns))
     if multi == "first":
         leveled = assigned.where("stage = 'second'").select(*columns, "level")
     else:
@@ -156,7 +156,7 @@ RESULTS = (
 def write_results(results: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> None:
     """One CSV folder per result, columns in output order."""
     for name in RESULTS:
-        table = results[name].select([quoted(c) for c in S.OUTPUT_COLUMNS])
+        table = results[name].select(*map(quote, S.OUTPUT_COLUMNS))
         write_csv(table, os.path.join(folder, name), mode)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
-from rankmatch.functions.names import category, first_token, quoted, strip_markup
+from rankmatch.functions.names import category, first_token, quote, strip_markup
 from rankmatch.functions.ranks import lowest_name, lowest_rank
 from rankmatch.operators import clean, homonyms, joins, levels, match, reconcile
 from rankmatch.plans import tables as T
@@ -130,18 +130,28 @@ def q_backbone_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return match.prepare_backbone(T.backbone(spark, sf))
 
 
+def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned checklist as a table, for queries that read it more than once."""
+    return store(T.cleaned_checklist(spark, sf), "cleaned")
+
+
+def _backbone(spark: SparkSession, sf: str) -> DataFrame:
+    """The authority table as a table, for queries that read it more than once."""
+    return store(T.backbone(spark, sf), "backbone")
+
+
 def _found(spark: SparkSession, sf: str) -> DataFrame:
     nodes = match.prepare_backbone(T.backbone(spark, sf))
-    return match.candidates(T.cleaned_checklist(spark, sf), nodes, join=attach)
+    return match.candidates(_cleaned(spark, sf), nodes, join=attach)
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     nodes = match.prepare_backbone(T.backbone(spark, sf))
-    return match.exact_match(T.cleaned_checklist(spark, sf), nodes, join=attach)
+    return match.exact_match(_cleaned(spark, sf), nodes, join=attach)
 
 
-def _unmatched(spark: SparkSession, sf: str) -> DataFrame:
-    return store(find_unmatched(T.cleaned_checklist(spark, sf), T.backbone(spark, sf)), "unmatched")
+def _unmatched(spark: SparkSession, sf: str, backbone: DataFrame) -> DataFrame:
+    return store(find_unmatched(_cleaned(spark, sf), backbone), "unmatched")
 
 
 _PAIR_COLUMNS = [
@@ -181,8 +191,8 @@ def q_duplicates_only(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_accepted_backed(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = T.cleaned_checklist(spark, sf).withColumnRenamed("speciesId", S.RECORD_ID)
-    nodes = match.prepare_backbone(T.backbone(spark, sf))
+    cleaned = _cleaned(spark, sf).withColumnRenamed("speciesId", S.RECORD_ID)
+    nodes = match.prepare_backbone(_backbone(spark, sf))
     slim = joins.flag_repeated(cleaned.select(S.RECORD_ID, *S.EXACT_KEYS), S.RECORD_ID, join=attach)
     counts = match.node_keys(nodes, carry=()).select(*S.EXACT_KEYS, "n_nodes")
     found = attach(slim, counts, S.EXACT_KEYS).fillna({"n_nodes": 0})
@@ -198,7 +208,7 @@ def q_accepted_backed_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_no_match(spark: SparkSession, sf: str) -> DataFrame:
-    return _unmatched(spark, sf).select([quoted(c) for c in S.OUTPUT_COLUMNS])
+    return _unmatched(spark, sf, T.backbone(spark, sf)).select(*map(quote, S.OUTPUT_COLUMNS))
 
 
 # --- set operators -------------------------------------------------------------------
@@ -232,7 +242,7 @@ def _names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_homonyms(spark: SparkSession, sf: str) -> DataFrame:
-    names = _names(spark, sf)
+    names = store(_names(spark, sf), "names")
     groups = homonyms.homonym_groups(names, join=attach)
     return groups.select(S.CANONICAL, S.NODE_ID, "kingdom", "phylum", "genus").orderBy(S.CANONICAL, S.NODE_ID)
 
@@ -252,23 +262,25 @@ def q_homonym_pick(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_homonym_assign(spark: SparkSession, sf: str) -> DataFrame:
-    records = _unmatched(spark, sf)
-    first = homonyms.homonym_assign(records, T.backbone(spark, sf), T.KINGDOMS, join=attach)
+    bb = _backbone(spark, sf)
+    first = homonyms.homonym_assign(_unmatched(spark, sf, bb), bb, T.KINGDOMS, join=attach)
     return first.select(S.RECORD_ID, *S.RANKS[2:], S.PARENT_ID)
 
 
 @query
 def q_homonym_tiebreak(spark: SparkSession, sf: str) -> DataFrame:
-    records = T.supplier_records(spark, sf)
-    first = homonyms.homonym_assign(records, T.backbone(spark, sf), T.KINGDOMS, join=attach)
+    records, bb = store(T.supplier_records(spark, sf), "suppliers"), _backbone(spark, sf)
+    first = homonyms.homonym_assign(records, bb, T.KINGDOMS, join=attach)
     return first.select("record_id", "family", "genus", S.PARENT_ID)
 
 
 @query
 def q_unresolvable(spark: SparkSession, sf: str) -> DataFrame:
-    return homonyms.unresolvable_homonyms(
-        _unmatched(spark, sf), T.backbone(spark, sf), T.KINGDOMS, join=attach
-    )
+    # Orders share their names with genera: without the nodes of orders, the names remain
+    # but no node qualifies.
+    bb = _backbone(spark, sf)
+    others = bb.where(F.col(S.NODE_RANK) != "order")
+    return homonyms.unresolvable_homonyms(_unmatched(spark, sf, bb), others, T.KINGDOMS, join=attach)
 
 
 # --- parents by level ----------------------------------------------------------------
@@ -302,7 +314,7 @@ def q_rank_backbone(spark: SparkSession, sf: str) -> DataFrame:
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     filled = _filled(spark, sf).withColumnRenamed("speciesId", S.RECORD_ID)
-    return filled.select(S.RECORD_ID, *[quoted(r) for r in S.RANKS])
+    return store(filled.select(S.RECORD_ID, *map(quote, S.RANKS)), "records")
 
 
 def _nodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,7 +326,7 @@ def _rank_match(level: str) -> Query:
         one = [v for v in S.LEVELS if v.name == level]
         found = levels.count_parents(_records(spark, sf), _nodes(spark, sf), one, join=attach)
         return found.where("n_parents > 0").select(
-            S.RECORD_ID, *[quoted(k) for k in one[0].keys], "n_parents", "first_parent"
+            S.RECORD_ID, *map(quote, one[0].keys), "n_parents", "first_parent"
         )
 
     return run
@@ -347,7 +359,8 @@ def q_rank_match_kingdom(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
-    return assign_parents(_unmatched(spark, sf), T.backbone(spark, sf), T.KINGDOMS)
+    bb = _backbone(spark, sf)
+    return assign_parents(_unmatched(spark, sf, bb), bb, T.KINGDOMS)
 
 
 @query
@@ -365,7 +378,7 @@ def q_all_matches(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_remainder(spark: SparkSession, sf: str) -> DataFrame:
     rest = _assigned(spark, sf).where("stage = 'none'")
-    return rest.select([quoted(c) for c in S.OUTPUT_COLUMNS])
+    return rest.select(*map(quote, S.OUTPUT_COLUMNS))
 
 
 @query
@@ -378,8 +391,8 @@ def q_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    records = clean.fill_blank(T.supplier_records(spark, sf)).withColumnRenamed("record_id", S.RECORD_ID)
-    bb = T.backbone(spark, sf)
+    records = T.supplier_records(spark, sf).withColumnRenamed("record_id", S.RECORD_ID)
+    records, bb = store(records, "suppliers"), _backbone(spark, sf)
     first = store(homonyms.homonym_assign(records, bb, T.KINGDOMS, join=attach), "first")
     waiting = joins.drop_keys(records, first, [S.RECORD_ID], attach)
     second = levels.rank_match(waiting, levels.rank_backbone(bb, T.KINGDOMS), multi="first", join=attach)

@@ -17,6 +17,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -46,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting falls back to a temporary folder: on a
     cluster a machine-local folder would be lost with its machine.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
