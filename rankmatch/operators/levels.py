@@ -1,6 +1,6 @@
 """Parents by rank level: records of one depth join nodes of that depth.
 
-The levels exclude one another, so all of them are one join on (level, name, second name)
+The levels exclude one another, so all of them are one join on (level, names)
 instead of a join per level, and the authority table is read once.
 """
 
@@ -17,8 +17,9 @@ from rankmatch.functions.ranks import mask_sql
 from rankmatch.operators.joins import Join, lookup
 from rankmatch.settings import Level
 
-LEVEL_KEYS = ("level", "level_name", "level_second")
-
+# Name of the column that holds the level of a record or node and its names there, as one
+# struct: a single key keeps the filters that Spark derives from the join small.
+LEVEL_KEY = "level_key"
 
 def rank_backbone(
     df: DataFrame,
@@ -34,12 +35,9 @@ def rank_backbone(
     ).select(quoted(node_id), quoted(S.NODE_RANK), *map(quote, ranks))
 
 
-def _key(level: Level, extra: Sequence[str]) -> tuple[str, str]:
-    """SQL of a level's name and second name; several second names become one JSON text."""
-    second = [quote(c) for c in (*level.keys[1:], *extra)]
-    if len(second) > 1:
-        return quote(level.keys[0]), f"to_json(array({', '.join(second)}))"
-    return quote(level.keys[0]), second[0] if second else "''"
+def _key_sql(level: Level, extra: Sequence[str]) -> str:
+    names = ", ".join(quote(c) for c in (*level.keys, *extra))
+    return f"named_struct('level', {literal(level.name)}, 'names', array({names}))"
 
 
 def record_levels(
@@ -48,21 +46,24 @@ def record_levels(
     extra_keys: Sequence[str] = (),
     waiting: Column | None = None,
 ) -> DataFrame:
-    """Add the level of every record and its key there; all null when it has no level.
+    """Add ``level_key``: the level of every record and its names there, null without level.
 
     Records for which ``waiting`` is false have no level.
     """
-    masks = [f"WHEN {mask_sql(v.filled, v.blank)} THEN {literal(v.name)}" for v in levels]
-    level = F.expr(f"CASE {' '.join(masks)} END")
-    keys = [(literal(v.name), *_key(v, extra_keys)) for v in levels]
-    names = " ".join(f"WHEN {v} THEN {name}" for v, name, _ in keys)
-    seconds = " ".join(f"WHEN {v} THEN {second}" for v, _, second in keys)
-    return records.withColumn("level", level if waiting is None else F.when(waiting, level)).withColumns(
-        {
-            "level_name": F.expr(f"CASE level {names} END"),
-            "level_second": F.expr(f"CASE level {seconds} END"),
-        }
-    )
+    cases = [f"WHEN {mask_sql(v.filled, v.blank)} THEN {_key_sql(v, extra_keys)}" for v in levels]
+    key = F.expr(f"CASE {' '.join(cases)} END")
+    return records.withColumn(LEVEL_KEY, key if waiting is None else F.when(waiting, key))
+
+
+def level_columns() -> list[Column]:
+    """``level_key`` as flat columns: level, name, and second name or ``''``."""
+    key = F.col(LEVEL_KEY)
+    second = F.coalesce(F.get(key["names"], F.lit(1)), F.lit(""))
+    return [
+        key["level"].alias("level"),
+        F.get(key["names"], F.lit(0)).alias("level_name"),
+        F.when(key.isNotNull(), second).alias("level_second"),
+    ]
 
 
 def node_levels(
@@ -71,7 +72,7 @@ def node_levels(
     extra_keys: Sequence[str] = (),
     node_id: str = S.NODE_ID,
 ) -> DataFrame:
-    """One row per node and level it serves: id, level, key, and the value of ``within``."""
+    """One row per node and level it serves: id, ``level_key``, value of ``within``."""
     served = []
     for level in levels:
         if len(level.within) > 1:
@@ -80,11 +81,10 @@ def node_levels(
         tests += [f"{quote(c)} IS NOT NULL" for c in (*level.node_filled, *level.keys, *extra_keys)]
         if level.node_rank_not is not None:
             tests.append(f"{quote(S.NODE_RANK)} <> {literal(level.node_rank_not)}")
-        name, second = _key(level, extra_keys)
         within = quote(level.within[0]) if level.within else "CAST(NULL AS STRING)"
         served.append(
-            f"CASE WHEN {' AND '.join(tests)} THEN named_struct('level', {literal(level.name)}, "
-            f"'level_name', {name}, 'level_second', {second}, 'within_value', {within}) END"
+            f"CASE WHEN {' AND '.join(tests)} THEN named_struct("
+            f"'{LEVEL_KEY}', {_key_sql(level, extra_keys)}, 'within_value', {within}) END"
         )
     hits = F.expr(f"inline(filter(array({', '.join(served)}), s -> s IS NOT NULL))")
     return nodes.select(quote(node_id), hits)
@@ -93,15 +93,14 @@ def node_levels(
 def within_values(leveled: DataFrame, levels: Sequence[Level] = S.LEVELS) -> DataFrame | None:
     """The different values that records have in the ``within`` column of their level.
 
-    ``level_name`` is kept, so that names that have found a parent can still be left out.
+    The name at the level is kept, so that names that have found a parent can be left out.
     """
-    limited = [level for level in levels if level.within]
-    if not limited:
+    cases = [f"WHEN {literal(v.name)} THEN {quote(v.within[0])}" for v in levels if v.within]
+    if not cases:
         return None
-    value = F.coalesce(*[F.when(F.col("level") == v.name, quoted(v.within[0])) for v in limited])
-    return leveled.select("level", "level_name", value.alias("within_value")).where(
-        "within_value IS NOT NULL"
-    ).distinct()
+    value = F.expr(f"CASE {LEVEL_KEY}.level {' '.join(cases)} END").alias("within_value")
+    flat = leveled.select(*level_columns()[:2], value)
+    return flat.where("within_value IS NOT NULL").distinct()
 
 
 def keep_within(
@@ -115,13 +114,14 @@ def keep_within(
         return served.drop("within_value")
     limited = F.col("level").isin(*[level.name for level in levels if level.within])
     seen = seen.select("level", "within_value").distinct().withColumn("__seen", F.lit(True))
-    found = join(served, seen, ["level", "within_value"], "left")
-    return found.where(~limited | F.col("__seen")).drop("within_value", "__seen")
+    leveled = served.withColumn("level", F.col(LEVEL_KEY)["level"])
+    found = join(leveled, seen, ["level", "within_value"], "left")
+    return found.where(~limited | F.col("__seen")).drop("within_value", "__seen", "level")
 
 
 def level_parents(served: DataFrame, node_id: str = S.NODE_ID) -> DataFrame:
-    """One row per level and key: how many nodes it has and the smallest id."""
-    return served.groupBy(*LEVEL_KEYS).agg(
+    """One row per level key: how many nodes it has and the smallest id."""
+    return served.groupBy(LEVEL_KEY).agg(
         F.count("*").alias("n_parents"), F.min(quoted(node_id)).alias("first_parent")
     )
 
@@ -145,10 +145,10 @@ def count_parents(
     leveled = record_levels(records, levels, extra_keys, waiting)
     seen = within_values(leveled, levels) if seen is None else seen
     served = keep_within(node_levels(nodes, levels, extra_keys, node_id), seen, levels, join)
-    found = join(leveled, level_parents(served, node_id), LEVEL_KEYS, "left")
+    found = join(leveled, level_parents(served, node_id), [LEVEL_KEY], "left")
     return found.select(
         *map(quote, records.columns),
-        "level",
+        F.col(LEVEL_KEY)["level"].alias("level"),
         F.coalesce("n_parents", F.lit(0).cast("long")).alias("n_parents"),
         "first_parent",
     )
@@ -171,7 +171,8 @@ def rank_match(
     ``extra_keys``, for instance the kingdom, must agree as well.
     """
     columns = [c for c in records.columns if c != parent_id]
-    out = list(map(quote, [*columns, parent_id, *(["level"] if keep_level else [])]))
+    out = list(map(quote, [*columns, parent_id]))
+    out += ["level"] if keep_level else []
     records = records.select(*map(quote, columns))
     if multi == "first":
         found = count_parents(records, nodes, levels, extra_keys, node_id, join=join)
@@ -181,8 +182,8 @@ def rank_match(
     leveled = record_levels(records, levels, extra_keys)
     served = node_levels(nodes, levels, extra_keys, node_id)
     served = keep_within(served, within_values(leveled, levels), levels, join)
-    pairs = join(leveled, served.withColumnRenamed(node_id, parent_id), LEVEL_KEYS, "inner")
-    return pairs.select(out)
+    pairs = join(leveled, served.withColumnRenamed(node_id, parent_id), [LEVEL_KEY], "inner")
+    return pairs.withColumn("level", F.col(LEVEL_KEY)["level"]).select(out)
 
 
 def unmatched_names(
@@ -191,7 +192,8 @@ def unmatched_names(
     """How many records wait for a parent per level and name."""
     return (
         record_levels(records, levels)
-        .where("level IS NOT NULL")
-        .groupBy(*LEVEL_KEYS)
+        .where(F.col(LEVEL_KEY).isNotNull())
+        .groupBy(LEVEL_KEY)
         .agg(F.count("*").alias("n_records"))
+        .select(*level_columns(), "n_records")
     )

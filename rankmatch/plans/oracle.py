@@ -457,10 +457,10 @@ GROUP BY 1, 2""",
         "picks",
     ).replace("AND canonicalName <> ''", "AND canonicalName <> '' AND taxonRank <> 'order'"),
     "q_lowest_rank": _with(
-        'SELECT speciesID AS "speciesId", lowest_rank, lowest_name FROM (' + _targets("filled") + ")", "filled"
+        "SELECT speciesID, lowest_rank, lowest_name FROM (" + _targets("filled") + ")", "filled"
     ),
     "q_presence_mask": _with(
-        'SELECT speciesID AS "speciesId", level, '
+        "SELECT speciesID, level, "
         + "CASE level "
         + " ".join(f"WHEN '{v}' THEN {k[2][0]}" for v, k in _LEVELS.items())
         + " END AS level_name, CASE level "

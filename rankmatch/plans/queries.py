@@ -287,19 +287,20 @@ def q_unresolvable(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _filled(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.fill_blank(T.cleaned_checklist(spark, sf))
+    filled = clean.fill_blank(T.cleaned_checklist(spark, sf)).withColumnRenamed("speciesId", S.RECORD_ID)
+    return store(filled.select(S.RECORD_ID, *map(quote, S.RANKS)), "records")
 
 
 @query
 def q_lowest_rank(spark: SparkSession, sf: str) -> DataFrame:
     return _filled(spark, sf).select(
-        "speciesId", lowest_rank(S.RANKS).alias("lowest_rank"), lowest_name(S.RANKS).alias("lowest_name")
+        S.RECORD_ID, lowest_rank(S.RANKS).alias("lowest_rank"), lowest_name(S.RANKS).alias("lowest_name")
     )
 
 
 @query
 def q_presence_mask(spark: SparkSession, sf: str) -> DataFrame:
-    return levels.record_levels(_filled(spark, sf)).select("speciesId", *levels.LEVEL_KEYS)
+    return levels.record_levels(_filled(spark, sf)).select(S.RECORD_ID, *levels.level_columns())
 
 
 @query
@@ -312,11 +313,6 @@ def q_rank_backbone(spark: SparkSession, sf: str) -> DataFrame:
     return levels.rank_backbone(T.backbone(spark, sf), T.KINGDOMS)
 
 
-def _records(spark: SparkSession, sf: str) -> DataFrame:
-    filled = _filled(spark, sf).withColumnRenamed("speciesId", S.RECORD_ID)
-    return store(filled.select(S.RECORD_ID, *map(quote, S.RANKS)), "records")
-
-
 def _nodes(spark: SparkSession, sf: str) -> DataFrame:
     return levels.rank_backbone(T.backbone(spark, sf), T.KINGDOMS)
 
@@ -324,7 +320,7 @@ def _nodes(spark: SparkSession, sf: str) -> DataFrame:
 def _rank_match(level: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         one = [v for v in S.LEVELS if v.name == level]
-        found = levels.count_parents(_records(spark, sf), _nodes(spark, sf), one, join=attach)
+        found = levels.count_parents(_filled(spark, sf), _nodes(spark, sf), one, join=attach)
         return found.where("n_parents > 0").select(
             S.RECORD_ID, *map(quote, one[0].keys), "n_parents", "first_parent"
         )
@@ -342,7 +338,7 @@ def q_rank_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
     # nodes per name grows with the tables, and so would the pairs.
     some = [v for v in S.LEVELS if v.name != "specificEpithet"]
     pairs = levels.rank_match(
-        _records(spark, sf), _nodes(spark, sf), some, keep_level=True, join=attach
+        _filled(spark, sf), _nodes(spark, sf), some, keep_level=True, join=attach
     )
     return pairs.select(S.RECORD_ID, "level", S.PARENT_ID)
 
@@ -350,7 +346,7 @@ def q_rank_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_rank_match_kingdom(spark: SparkSession, sf: str) -> DataFrame:
     found = levels.count_parents(
-        _records(spark, sf), _nodes(spark, sf), extra_keys=["kingdom"], join=attach
+        _filled(spark, sf), _nodes(spark, sf), extra_keys=["kingdom"], join=attach
     )
     return found.where("n_parents > 0").select(S.RECORD_ID, "level", "n_parents", "first_parent")
 

@@ -40,6 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan of fewer files than there are cores.
+
+    One small file is one task; the wide expressions that follow would run in it alone.
+    Tables of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _word(n: int) -> Column:
     return F.split_part("p_name", F.lit(" "), F.lit(n))
 
@@ -66,6 +76,7 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    lines = spread(lines)
     rank = _ranks_of_part()
     depth = F.col("l_linenumber")
     misspelt = F.when(F.col("l_tax") == 0.08, "x").otherwise("")
