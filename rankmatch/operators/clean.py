@@ -88,6 +88,8 @@ def null_profile(df: DataFrame, feature: str = "feature", count: str = "len") ->
 
 def all_null_columns(df: DataFrame) -> list[str]:
     """Columns without a single value.  Brings one row of counts to the driver."""
+    if not df.columns:
+        return []
     found = df.agg(*[F.count(quoted(c)).alias(c) for c in df.columns]).first()
     return [c for c, n in zip(df.columns, found) if n == 0]
 
@@ -147,17 +149,19 @@ def clean_records(
     domain: str = S.DOMAIN,
     markup: Sequence[str] = S.MARKUP,
     empty_columns: Sequence[str] | None = None,
+    keep: Sequence[str] = ("taxonName", "genericName", *S.RANKS),
 ) -> DataFrame:
     """Raw checklist to cleaned checklist.
 
-    Columns without a value are dropped; ``empty_columns`` names them when they are known,
-    which saves the pass over the data.  Whether a column is empty is tested after
-    trimming, and a column of blanks is not empty.
+    Columns without a value are dropped, except those to ``keep`` because later steps read
+    them; ``empty_columns`` names them when they are known, which saves the pass over the
+    data.  A column of blanks is not empty.  Log columns go first, so they are not counted.
     """
     rules = S.default_corrections() if corrections is None else corrections
     df = trim_strings(rename_strict(df, renames)).withColumn("genericName", quoted("genus"))
-    df = df.drop(*(all_null_columns(df) if empty_columns is None else empty_columns))
     df = drop_prefix(drop_strict(df, log_columns), log_prefix)
+    empty = all_null_columns(df.drop(*keep)) if empty_columns is None else empty_columns
+    df = df.drop(*[c for c in empty if c not in keep])
     df = apply_corrections(fill_blank(df, ["infraspecificEpithet"]), rules)
     return df.withColumns(
         {
