@@ -24,6 +24,10 @@ from rankmatch.operators.joins import Join, lookup
 from rankmatch.settings import Correction
 
 
+# Everything a cast to long accepts.
+_INTEGER = r"^[\s\x00-\x20\x7f]*[+-]?[0-9]+[\s\x00-\x20\x7f]*$"
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> None:
     """Raise when a column is missing: Spark's own rename and drop ignore that."""
     missing = [c for c in columns if c not in df.columns]
@@ -76,7 +80,13 @@ def cast_ids(df: DataFrame, columns: Sequence[str], malformed: str = "error") ->
     if malformed not in ("error", "null"):
         raise ValueError(f"malformed must be 'error' or 'null', not {malformed!r}")
     if malformed == "null":
-        return df.withColumns({c: quoted(c).try_cast("long") for c in columns})
+        # A failing try_cast is slow; the pattern keeps it to text that looks like a number.
+        return df.withColumns(
+            {
+                c: F.when(quoted(c).cast("string").rlike(_INTEGER), quoted(c).try_cast("long"))
+                for c in columns
+            }
+        )
     return df.withColumns({c: quoted(c).cast("long") for c in columns})
 
 

@@ -141,14 +141,11 @@ def tie_breaks(
     record.  The other node wins when it equals the record in all ``tie_columns`` and the
     chosen node does not.
     """
-    lone = (
-        with_target(records, ranks)
-        .where(F.col("lowest_rank") == tie_rank)
-        .groupBy(F.col("lowest_name").alias(name))
-        .agg(F.count("*").alias("n"), *[F.min(quoted(c)).alias(f"__rec_{c}") for c in tie_columns])
-        .where("n = 1")
-        .drop("n")
+    at_rank = with_target(records, ranks).where(F.col("lowest_rank") == tie_rank)
+    at_rank = at_rank.select(
+        F.col("lowest_name").alias(name), *[quoted(c).alias(f"__rec_{c}") for c in tie_columns]
     )
+    lone = at_rank.groupBy(quoted(name)).agg(F.count("*").alias("n")).where("n = 1").drop("n")
     chosen = quoted(f"chosen_{tie_rank}")
     other = F.when(chosen == F.col("first_id"), F.col("second_id")).otherwise(F.col("first_id"))
     open_names = (
@@ -156,7 +153,8 @@ def tie_breaks(
         .select(quoted(name), chosen.alias("__chosen"), other.alias("__other"))
         .join(lone, name)
     )
-    both = open_names.withColumn(node_id, F.explode(F.array("__chosen", "__other")))
+    # Each of these names has one record, so there is no hot name among them.
+    both = at_rank.join(open_names, name).withColumn(node_id, F.explode(F.array("__chosen", "__other")))
     ranks_of = names.select(quoted(node_id), *[quoted(c).alias(f"__node_{c}") for c in tie_columns])
     equal = reduce(and_, [quoted(f"__rec_{c}") == quoted(f"__node_{c}") for c in tie_columns])
     is_other = quoted(node_id) == F.col("__other")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from rankmatch.functions.names import quote, quoted
 from rankmatch.session import store
 
-Join = Callable[[DataFrame, DataFrame, Sequence[str], str], DataFrame]
+# (left, table, keys, how, source=None) -> joined; see lookup and attach.
+Join = Callable[..., DataFrame]
 
 # At most this many keys are treated as hot, so the list of them is small at any scale.
 # A key with more than 1/1000 of all rows is always among them.
@@ -62,6 +63,7 @@ def lookup(
     table: DataFrame,
     keys: Sequence[str],
     how: str = "left",
+    source: DataFrame | None = None,
     hot: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -71,6 +73,7 @@ def lookup(
     rows in ``left`` (see :func:`hot_keys`): those rows are spread over ``salts`` parts
     and the table's rows for these keys are repeated once per part.  In a left join the
     rows without a key are spread too, as they would otherwise all meet in one task.
+    ``source`` is used by :func:`attach` only.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -105,22 +108,34 @@ def value_bytes(df: DataFrame) -> int:
 
 
 def attach_stored(
-    left: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left"
+    left: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`lookup` in a stored table, choosing how to join by its measured size.
 
     Up to :data:`BROADCAST_BYTES` the table is broadcast and ``left`` is not shuffled at
     all; beyond that both sides are shuffled and the hot keys of ``left`` are spread.
+    They are counted in ``source`` if it is given: rows that have the keys of ``left``, or
+    more, and are cheaper to compute.
     """
     if value_bytes(table) <= BROADCAST_BYTES:
         columns = _columns(left, table, keys, how)
         return left.join(F.broadcast(table), list(keys), how).select(columns)
-    return lookup(left, table, keys, how, hot_keys(left, keys))
+    return lookup(left, table, keys, how, hot=hot_keys(left if source is None else source, keys))
 
 
-def attach(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def attach(
+    left: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    source: DataFrame | None = None,
+) -> DataFrame:
     """:func:`attach_stored`, writing the table to the shared folder first."""
-    return attach_stored(left, store(table, "lookup"), keys, how)
+    return attach_stored(left, store(table, "lookup"), keys, how, source)
 
 
 def _columns(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> list[str]:

@@ -71,6 +71,7 @@ def assign_parents(
         waiting=F.col("homonym_parent").isNull(),
         seen=seen,
         join=attach,
+        source=records,
     )
     is_first, is_second = F.col("homonym_parent").isNotNull(), F.col("n_parents") > 0
     return found.select(

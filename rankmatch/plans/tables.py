@@ -41,13 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan of fewer files than there are cores.
+    """Deal out the rows of a scan that has fewer splits than there are cores.
 
     One small file is one task; the wide expressions that follow would run in it alone.
-    Tables of many files are left as they are.
+    Tables of many splits are left as they are.  Hashing all columns places a row the same
+    way when a task is run again, without the sort that dealing out in turn needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def _word(n: int) -> Column:

@@ -24,7 +24,7 @@ def table(spark):
 def test_lookup_equals_plain_join(skewed, table, how, spread):
     hot = joins.hot_keys(skewed, ["k"], min_rows=500) if spread else None
     plain = skewed.join(table, "k", how)
-    got = joins.lookup(skewed, table, ["k"], how, hot, salts=7)
+    got = joins.lookup(skewed, table, ["k"], how, hot=hot, salts=7)
     assert rows(got) == rows(plain.select(*got.columns))
 
 
@@ -45,7 +45,7 @@ def test_hot_rows_are_spread(spark, skewed, table):
     try:
         source = skewed.repartition(16)
         hot = joins.hot_keys(source, ["k"], min_rows=500)
-        joined = joins.lookup(source, table, ["k"], "left", hot, salts=16)
+        joined = joins.lookup(source, table, ["k"], "left", hot=hot, salts=16)
         parts = joined.withColumn("p", F.spark_partition_id())
         for rows_of in (F.col("k") == "hot", F.col("k").isNull()):
             biggest = parts.where(rows_of).groupBy("p").count().agg(F.max("count")).first()[0]
