@@ -30,6 +30,9 @@ NULL_SALTS = 4096
 # A table is broadcast when its values take no more bytes than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# A table with this column says itself how many rows have each key.
+ROWS = "__rows"
+
 _SALT = "__salt"
 _HOT = "__hot"
 
@@ -39,23 +42,20 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, top: int = HOT_KEYS
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = None, top: int = HOT_KEYS
 ) -> DataFrame:
-    """The most frequent keys of ``df``: at most ``top``, each with ``min_rows`` rows or more.
+    """The most frequent keys of ``df``: at most ``top``, each with ``min_rows`` rows or more,
+    by default :data:`HOT_ROWS`.
 
-    Counts are combined per task before the shuffle.  The limit bounds what
-    :func:`lookup` broadcasts; it only decides which keys are spread and never what the
-    join returns.
+    Counts are combined per task before the shuffle, or read from the column
+    :data:`ROWS` if there is one.  The limit bounds what :func:`lookup` broadcasts; it only
+    decides which keys are spread and never what the join returns.
     """
-    return (
-        df.where(~_any_null(keys))
-        .groupBy(*map(quote, keys))
-        .agg(F.count("*").alias("__rows"))
-        .where(F.col("__rows") >= min_rows)
-        .orderBy(F.desc("__rows"))
-        .limit(top)
-        .select(*map(quote, keys))
-    )
+    counts = df.where(~_any_null(keys))
+    if ROWS not in df.columns:
+        counts = counts.groupBy(*map(quote, keys)).agg(F.count("*").alias(ROWS))
+    frequent = counts.where(F.col(ROWS) >= (HOT_ROWS if min_rows is None else min_rows))
+    return frequent.orderBy(F.desc(ROWS)).limit(top).select(*map(quote, keys))
 
 
 def lookup(
@@ -119,8 +119,10 @@ def attach_stored(
     Up to :data:`BROADCAST_BYTES` the table is broadcast and ``left`` is not shuffled at
     all; beyond that both sides are shuffled and the hot keys of ``left`` are spread.
     They are counted in ``source`` if it is given: rows that have the keys of ``left``, or
-    more, and are cheaper to compute.
+    more, and are cheaper to compute.  A table with the column :data:`ROWS` knows them.
     """
+    if ROWS in table.columns:
+        source = table
     if value_bytes(table) <= BROADCAST_BYTES:
         columns = _columns(left, table, keys, how)
         return left.join(F.broadcast(table), list(keys), how).select(columns)
@@ -180,9 +182,9 @@ def flag_repeated(
         "__key_null": quoted(key).isNull(),
     }
     keyed = df.withColumns(keys)
-    twice = repeated_keys(keyed.select(*keys), list(keys)).select(*keys, F.lit(True).alias("__twice"))
+    twice = repeated_keys(keyed.select(*keys), list(keys)).withColumnRenamed("n_rows", ROWS)
     found = join(keyed, twice, list(keys), "left")
-    return found.withColumn(flag, F.coalesce("__twice", F.lit(False))).drop("__twice", *keys)
+    return found.withColumn(flag, F.col(ROWS).isNotNull()).drop(ROWS, *keys)
 
 
 def split_repeated(df: DataFrame, key: str, join: Join = lookup) -> tuple[DataFrame, DataFrame]:
