@@ -286,21 +286,26 @@ def q_unresolvable(spark: SparkSession, sf: str) -> DataFrame:
 # --- parents by level ----------------------------------------------------------------
 
 
-def _filled(spark: SparkSession, sf: str) -> DataFrame:
+def _filled_once(spark: SparkSession, sf: str) -> DataFrame:
     filled = clean.fill_blank(T.cleaned_checklist(spark, sf)).withColumnRenamed("speciesId", S.RECORD_ID)
-    return store(filled.select(S.RECORD_ID, *map(quote, S.RANKS)), "records")
+    return filled.select(S.RECORD_ID, *map(quote, S.RANKS))
+
+
+def _filled(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranks of all records as a table, for queries that filter or join by derived keys."""
+    return store(_filled_once(spark, sf), "records")
 
 
 @query
 def q_lowest_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return _filled(spark, sf).select(
+    return _filled_once(spark, sf).select(
         S.RECORD_ID, lowest_rank(S.RANKS).alias("lowest_rank"), lowest_name(S.RANKS).alias("lowest_name")
     )
 
 
 @query
 def q_presence_mask(spark: SparkSession, sf: str) -> DataFrame:
-    return levels.record_levels(_filled(spark, sf)).select(S.RECORD_ID, *levels.level_columns())
+    return levels.record_levels(_filled_once(spark, sf)).select(S.RECORD_ID, *levels.level_columns())
 
 
 @query
