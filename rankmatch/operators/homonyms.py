@@ -246,8 +246,7 @@ def homonym_assign(
     table = parent_table(records, names, ranks, tie_rank, tie_columns, name, node_id)
     found = homonym_parents(records, table, ranks, join).where("homonym_parent IS NOT NULL")
     columns = [c for c in records.columns if c != parent_id]
-    found = found.select(*map(quote, columns), F.col("homonym_parent").alias(parent_id))
-    return found.select(*map(quote, [*columns, parent_id]))
+    return found.select(*map(quote, columns), F.col("homonym_parent").alias(parent_id))
 
 
 def unresolvable_homonyms(
