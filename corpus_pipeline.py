@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankmatch.llm import quality_model
+from rankmatch.llm import quality_model, simhash
 from rankmatch.llm.queries import held_out, table
 from rankmatch.session import store
 
@@ -15,7 +15,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_model.keep(docs, quality_model.train(docs, labels, "quality"))
 
 
-STAGES = [("quality classifier", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    return simhash.deduplicate(docs, shingle=3, radius=3, seed=42)
+
+
+STAGES = [("quality classifier", quality), ("SimHash near-dedup", near_dedup)]
 
 # Training and message passing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
