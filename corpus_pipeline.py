@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankmatch.llm import quality_model, simhash
+from rankmatch.llm import pii, quality_model, simhash
 from rankmatch.llm.queries import held_out, table
 from rankmatch.session import store
 
@@ -20,7 +20,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.deduplicate(docs, shingle=3, radius=3, seed=42)
 
 
-STAGES = [("quality classifier", quality), ("SimHash near-dedup", near_dedup)]
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with marks in place of personal data."""
+    return pii.redact(docs, pii.train(docs))
+
+
+STAGES = [("quality classifier", quality), ("SimHash near-dedup", near_dedup), ("PII", private)]
 
 # Training and message passing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
