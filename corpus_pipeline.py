@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankmatch.llm import pii, quality_model, simhash
+from rankmatch.llm import mixing, pii, quality_model, simhash
 from rankmatch.llm.queries import held_out, table
 from rankmatch.session import store
 
@@ -25,7 +25,17 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs, pii.train(docs))
 
 
-STAGES = [("quality classifier", quality), ("SimHash near-dedup", near_dedup), ("PII", private)]
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixing.mix(docs, weights=(1, 2, 3), max_epochs=3)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("PII", private),
+    ("mixing sources", mixed),
+]
 
 # Training and message passing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
