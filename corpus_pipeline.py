@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankmatch.llm import mixing, pii, quality_model, simhash
+from rankmatch.llm import mixing, packing, pii, quality_model, simhash
 from rankmatch.llm.queries import held_out, table
 from rankmatch.session import store
 
@@ -30,11 +30,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(1, 2, 3), max_epochs=3)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of several lengths, each with the documents it holds."""
+    return packing.sequences(docs)
+
+
 STAGES = [
     ("quality classifier", quality),
     ("SimHash near-dedup", near_dedup),
     ("PII", private),
     ("mixing sources", mixed),
+    ("best-fit packing", packed),
 ]
 
 # Training and message passing have no SQL; tests hold the stages against brute force.

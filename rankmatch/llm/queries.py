@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmatch.llm import mixing, pii, quality_model, simhash
+from rankmatch.llm import mixing, packing, pii, quality_model, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.amounts(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3)
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.assign(table(spark, sf_dir, "documents"))
