@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmatch.llm import mixing, packing, pii, quality_model, quality_rules, simhash
+from rankmatch.llm import imatch, mixing, packing, pii, quality_model, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,6 +71,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
 
 
+@query
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return imatch.compare_edited(docs, imatch.lexicon(docs))
+
+
 @query
 def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.amounts(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3)
