@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmatch.llm import imatch, mixing, packing, pii, quality_model, quality_rules, simhash
+from rankmatch.llm import imatch, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +85,16 @@ def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
+    model = toxicity.train(docs, labels, "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
