@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmatch.llm import imatch, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
+from rankmatch.llm import imatch, mixing, packing, pii, quality_model, quality_rules, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    counts = [_count("base", kind).alias(f"n_{kind}") for kind in secret_scan.PATTERNS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans")
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
