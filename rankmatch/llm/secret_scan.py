@@ -174,7 +174,7 @@ def labelled(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
         ).alias("token")
     )
     rules = docs.sparkSession.range(1).select(
-        F.explode(F.transform(F.split(F.lit(ALPHABET), ""), lambda c: F.repeat(c, F.lit(500)))).alias("token")
+        F.explode(F.transform(F.split(F.lit(ALPHABET), ""), lambda c: F.repeat(c, F.lit(20_000)))).alias("token")
     )
     return random, ordinary.union(numbers).union(rules)
 
