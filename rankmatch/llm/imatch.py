@@ -182,7 +182,8 @@ def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "t
     else:
         lower = F.translate("text", _LOWER, _LOWER.lower())
         words = F.array_distinct(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)))
-        counts = texts.select(F.explode(words).cast("binary").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+        each = texts.select(F.explode(words).alias("term")).select(F.col("term").cast("binary").alias("term"))
+        counts = each.groupBy("term").agg(F.count("*").alias("n"))
     band = counts.where((F.col("n") >= least * total) & (F.col("n") <= settings.most * total))
     return Lexicon.of(sorted(bytes(r.term) for r in band.select("term").collect()), settings)
 

@@ -3,9 +3,10 @@
 A sequence may have one of several lengths, counted in words.  Documents are dealt to shards by
 a hash, as many as rows and words demand, and each shard is packed alone: longest piece first,
 into the open bin it leaves least room in.  Where none has room, a bin of the length that costs
-least per word it can expect to hold is opened.  The shard is packed once for each length as the
-longest that may be opened freely, every bin is then downsized to the smallest length that holds
-its contents, and the packing of least total cost stays.
+least per word it can expect to hold is opened.  The shard is packed twice for each length, as the
+longest that may be opened and as the one that is, wherever the piece fits; every bin is then
+downsized to the smallest length that holds its contents, and the packing of least total cost
+stays.
 
 A document longer than the longest sequence is cut into pieces of that length and a rest, and
 all of them are packed.
@@ -64,15 +65,20 @@ class Packing:
     cost: float = 0.0
 
 
-def _opened(length: int, rest: int, limit: int, settings: Settings) -> int:
-    """The length to open for a piece: of least cost per word it can hold, up to ``limit`` if that fits."""
+def _opened(length: int, rest: int, limit: int, free: bool, settings: Settings) -> int:
+    """The length to open for a piece: ``limit``, or if ``free`` the one up to it of least cost per word it can hold.
+
+    A piece that does not fit gets the shortest length it fits.
+    """
     fits = [c for c in settings.capacities if c >= length]
     allowed = [c for c in fits if c <= limit] or fits[:1]
+    if not free:
+        return allowed[-1]
     return min(allowed, key=lambda c: (settings.cost(c) / max(min(c, length + rest), 1), c))
 
 
-def _packed(lengths: Sequence[int], limit: int, settings: Settings) -> Packing:
-    """Best fit of lengths in falling order, opening bins of at most ``limit`` freely."""
+def _packed(lengths: Sequence[int], limit: int, free: bool, settings: Settings) -> Packing:
+    """Best fit of lengths in falling order; see :func:`_opened` for the bins."""
     result = Packing([], [], [], [])
     rooms: list[int] = []
     open_bins: dict[int, list[int]] = {}
@@ -88,7 +94,7 @@ def _packed(lengths: Sequence[int], limit: int, settings: Settings) -> Packing:
                 rooms.pop(at)
                 del open_bins[room]
         else:
-            number, room = len(result.capacities), _opened(length, rest, limit, settings)
+            number, room = len(result.capacities), _opened(length, rest, limit, free, settings)
             result.capacities.append(room)
             result.used.append(0)
         result.bins.append(number)
@@ -108,7 +114,7 @@ def _packed(lengths: Sequence[int], limit: int, settings: Settings) -> Packing:
 
 def pack(lengths: Sequence[int], settings: Settings = Settings()) -> Packing:
     """The cheapest packing of lengths in falling order, none above the longest capacity."""
-    tried = [_packed(lengths, limit, settings) for limit in settings.capacities]
+    tried = [_packed(lengths, limit, free, settings) for limit in settings.capacities for free in (True, False)]
     return min(tried, key=lambda p: p.cost)
 
 

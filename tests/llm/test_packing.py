@@ -1,0 +1,88 @@
+import random
+
+import pytest
+
+from rankmatch.llm import packing
+from tests.llm.helpers import WORD, docs, edge_rows, empty, rows_of
+
+SMALL = packing.Settings(capacities=(8, 16, 32), fixed=1, square=100, shard_rows=40, shard_words=4000)
+
+
+def slow(lengths, limit, free, s):
+    """Best fit by looking at every bin."""
+    bins, opened, where = [], [], []
+    for k, n in enumerate(lengths):
+        fits = [(c - u, i) for i, (c, u) in enumerate(zip(opened, bins)) if c - u >= n]
+        if fits:
+            i = min(fits)[1]
+        else:
+            i = len(bins)
+            bins.append(0)
+            opened.append(packing._opened(n, sum(lengths[k + 1 :]), limit, free, s))
+        bins[i] += n
+        where.append(i)
+    final = [min(c for c in s.capacities if c >= u) for u in bins]
+    return where, final, sum(map(s.cost, final))
+
+
+def test_best_fit_equals_the_slow_one_and_the_cheapest_stays():
+    rng = random.Random(6)
+    for _ in range(300):
+        lengths = sorted((rng.randint(0, 32) for _ in range(rng.randint(1, 40))), reverse=True)
+        tried = [slow(lengths, c, free, SMALL) for c in SMALL.capacities for free in (True, False)]
+        got = packing.pack(lengths, SMALL)
+        best = min(tried, key=lambda t: t[2])
+        assert (got.bins, got.capacities, got.cost) == best
+        only = packing.Settings(capacities=(32,), fixed=1, square=100)
+        assert got.cost <= packing.pack(lengths, only).cost
+
+
+def corpus():
+    rng = random.Random(8)
+    return [(i, " ".join(f"d{i}w{k}" for k in range(rng.randint(0, 70))), "en", "s") for i in range(150)]
+
+
+def test_every_word_lies_in_one_place(spark):
+    rows = corpus()
+    got = packing.assign(docs(spark, rows), SMALL).collect()
+    pieces, bins = {}, {}
+    for r in got:
+        pieces.setdefault(r.doc_id, []).append((r.first_word, r.n_words))
+        bins.setdefault(r.bin_id, []).append((r.begin, r.n_words, r.capacity))
+    for i, text, _, _ in rows:
+        at = 0
+        for first, n in sorted(pieces[i]):
+            assert first == at
+            at += n
+        assert at == len(WORD.findall(text))
+    for held in bins.values():
+        at = 0
+        for begin, n, _ in sorted(held):
+            assert begin == at
+            at += n
+        assert {c for *_, c in held} == {min(c for c in SMALL.capacities if c >= at)}
+    assert rows_of(packing.assign(docs(spark, rows), SMALL)) == sorted(map(tuple, got), key=repr)
+
+
+def test_sequences_hold_all_texts(spark):
+    rows = corpus()
+    got = packing.sequences(docs(spark, rows), SMALL).collect()
+    words = sorted(w for r in got for w in r.text.split())
+    assert words == sorted(w for _, text, _, _ in rows for w in text.split())
+    assert all(len(r.text.split()) == r.n_words <= r.capacity for r in got)
+    assert len({r.bin_id for r in got}) == len(got)
+    assert {i for r in got for i in r.doc_ids} == {i for i, *_ in rows}
+
+
+@pytest.mark.parametrize("operator", [packing.assign, packing.sequences])
+def test_edge_rows_and_empty_table(spark, operator):
+    got = operator(docs(spark, edge_rows())).collect()
+    ids = [r.doc_id for r in got] if operator is packing.assign else [i for r in got for i in r.doc_ids]
+    assert set(ids) == {r[0] for r in edge_rows()} and ids.count(4) == 2 and ids.count(None) == 2
+    assert operator(empty(spark)).count() == 0
+
+
+def test_ids_beyond_doubles_stay_exact(spark):
+    big = (1 << 60) + 1
+    got = packing.assign(docs(spark, [(big, "a b", "en", "s"), (None, "c", "en", "s")])).collect()
+    assert {r.doc_id for r in got} == {big, None}
