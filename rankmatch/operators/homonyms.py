@@ -112,7 +112,7 @@ def homonym_picks(
     )
     return long.where("chosen_id IS NOT NULL").select(
         quoted(name),
-        F.substring("rank", len("chosen_") + 1, 100).alias("rank"),
+        F.expr(f"substring(rank, {len('chosen_') + 1})").alias("rank"),
         "chosen_id",
         F.when(F.col("chosen_id") == F.col("first_id"), F.col("second_id"))
         .otherwise(F.col("first_id"))
@@ -145,7 +145,13 @@ def tie_breaks(
     at_rank = at_rank.select(
         F.col("lowest_name").alias(name), *[quoted(c).alias(f"__rec_{c}") for c in tie_columns]
     )
-    lone = at_rank.groupBy(quoted(name)).agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    # Where a name has one record, the smallest value of each column is that record's.
+    lone = (
+        at_rank.groupBy(quoted(name))
+        .agg(F.count("*").alias("n"), *[F.min(quoted(f"__rec_{c}")).alias(f"__rec_{c}") for c in tie_columns])
+        .where("n = 1")
+        .drop("n")
+    )
     chosen = quoted(f"chosen_{tie_rank}")
     other = F.when(chosen == F.col("first_id"), F.col("second_id")).otherwise(F.col("first_id"))
     open_names = (
@@ -153,8 +159,7 @@ def tie_breaks(
         .select(quoted(name), chosen.alias("__chosen"), other.alias("__other"))
         .join(lone, name)
     )
-    # Each of these names has one record, so there is no hot name among them.
-    both = at_rank.join(open_names, name).withColumn(node_id, F.explode(F.array("__chosen", "__other")))
+    both = open_names.withColumn(node_id, F.explode(F.array("__chosen", "__other")))
     ranks_of = names.select(quoted(node_id), *[quoted(c).alias(f"__node_{c}") for c in tie_columns])
     equal = reduce(and_, [quoted(f"__rec_{c}") == quoted(f"__node_{c}") for c in tie_columns])
     is_other = quoted(node_id) == F.col("__other")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankmatch.functions.names import quote, quoted
 from rankmatch.session import store
@@ -18,15 +19,9 @@ from rankmatch.session import store
 # (left, table, keys, how, source=None) -> joined; see lookup and attach.
 Join = Callable[..., DataFrame]
 
-# At most this many keys are treated as hot, so the list of them is small at any scale.
-# A key with more than 1/1000 of all rows is always among them.
-HOT_KEYS = 1000
-# A key with fewer rows than this fits a task without being spread.
+# A key with fewer rows than this fits a task; one with more is spread over one part for each
+# so many rows.  So there is at most one hot key for each so many rows of the table.
 HOT_ROWS = 1_000_000
-# Number of parts the rows of a hot key are spread over.
-SALTS = 64
-# Rows without a key can match nothing; they are spread over this many parts.
-NULL_SALTS = 4096
 # A table is broadcast when its values take no more bytes than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -34,28 +29,36 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 ROWS = "__rows"
 
 _SALT = "__salt"
-_HOT = "__hot"
+_PARTS = "__parts"
 
 
 def _any_null(keys: Sequence[str]) -> Column:
     return F.expr(" OR ".join(f"{quote(k)} IS NULL" for k in keys))
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int | None = None, top: int = HOT_KEYS
-) -> DataFrame:
-    """The most frequent keys of ``df``: at most ``top``, each with ``min_rows`` rows or more,
-    by default :data:`HOT_ROWS`.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
+    """Every key of ``df`` with more than ``min_rows`` rows, by default :data:`HOT_ROWS`, and its ``__parts``.
 
-    Counts are combined per task before the shuffle, or read from the column
-    :data:`ROWS` if there is one.  The limit bounds what :func:`lookup` broadcasts; it only
-    decides which keys are spread and never what the join returns.
+    Counts are combined per task before the shuffle, or read from the column :data:`ROWS` if
+    there is one.  The result has at most one row for each ``min_rows`` rows of ``df``; it only
+    decides how :func:`lookup` spreads keys and never what the join returns.
     """
+    size = HOT_ROWS if min_rows is None else min_rows
     counts = df.where(~_any_null(keys))
     if ROWS not in df.columns:
         counts = counts.groupBy(*map(quote, keys)).agg(F.count("*").alias(ROWS))
-    frequent = counts.where(F.col(ROWS) >= (HOT_ROWS if min_rows is None else min_rows))
-    return frequent.orderBy(F.desc(ROWS)).limit(top).select(*map(quote, keys))
+    parts = F.ceil(F.col(ROWS) / size).cast("long")
+    return counts.where(F.col(ROWS) > size).select(*map(quote, keys), parts.alias(_PARTS))
+
+
+def _spread(df: DataFrame) -> Column:
+    """A number that differs between rows of one key, and is the same when a task is run again.
+
+    It hashes the row itself, as rows that already lie by their key come from one task; the
+    task's number keeps identical rows from different tasks apart.
+    """
+    own = [quoted(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*own, F.spark_partition_id())
 
 
 def lookup(
@@ -65,12 +68,11 @@ def lookup(
     how: str = "left",
     source: DataFrame | None = None,
     hot: DataFrame | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``left`` to ``table`` on equal ``keys``; null keys match nothing.
 
     Meant for a ``table`` with one row per key, or few.  ``hot`` lists keys that have many
-    rows in ``left`` (see :func:`hot_keys`): those rows are spread over ``salts`` parts
+    rows in ``left`` (see :func:`hot_keys`): those rows are spread over the key's parts
     and the table's rows for these keys are repeated once per part.  In a left join the
     rows without a key are spread too, as they would otherwise all meet in one task.
     ``source`` is used by :func:`attach` only.
@@ -83,28 +85,49 @@ def lookup(
     if hot is None and not outer:
         return left.join(table, keys, how)
 
-    # The number of the task that writes a row is the same when the task is run again, and
-    # it spreads even identical rows.
-    writer = F.spark_partition_id()
-    cases = [(_any_null(keys), F.pmod(writer, F.lit(NULL_SALTS)))] if outer else []
-    spread = table.withColumn(_SALT, F.lit(0))
+    number = _spread(left)
+    # Rows without a key match nothing, so each may have a number of its own.
+    cases = [F.when(_any_null(keys), number)] if outer else []
+    spread = table.withColumn(_SALT, F.lit(0).cast("long"))
     if hot is not None:
-        flags = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
-        left_flagged = left.join(flags, keys, "left")
-        cases.append((quoted(_HOT), F.pmod(writer, F.lit(salts))))
-        parts = F.when(quoted(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        spread = table.join(flags, keys, "left").withColumn(_SALT, F.explode(parts)).drop(_HOT)
-    else:
-        left_flagged = left
-    salt = F.coalesce(*[F.when(hit, part) for hit, part in cases], F.lit(0))
-    joined = left_flagged.withColumn(_SALT, salt).join(spread, [*keys, _SALT], how)
+        flags = F.broadcast(hot.select(*map(quote, keys), _PARTS))
+        left = left.join(flags, keys, "left")
+        cases.append(F.when(F.col(_PARTS).isNotNull(), F.pmod(number, F.col(_PARTS))))
+        last = F.coalesce(F.col(_PARTS), F.lit(1).cast("long")) - 1
+        spread = table.join(flags, keys, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        spread = spread.drop(_PARTS)
+    salt = F.coalesce(*cases, F.lit(0).cast("long"))
+    joined = left.withColumn(_SALT, salt).join(spread, [*keys, _SALT], how)
     return joined.select(columns)
 
 
-def value_bytes(df: DataFrame) -> int:
-    """Bytes of all values of ``df``, ids counted as text: one row comes to the driver."""
-    row = " + ".join(f"coalesce(octet_length(CAST({quote(c)} AS STRING)), 1)" for c in df.columns)
-    return df.agg(F.expr(f"coalesce(sum({row}), 0)")).first()[0]
+def _width(kind: T.DataType) -> int:
+    """Bytes a value takes in a row of a hash table, without the text of strings."""
+    if isinstance(kind, T.StructType):
+        return 16 + sum(_width(f.dataType) for f in kind.fields)
+    return 8
+
+
+def _text_columns(schema: T.StructType, prefix: str = "") -> list[str]:
+    found = []
+    for field in schema.fields:
+        path = prefix + quote(field.name)
+        if isinstance(field.dataType, T.StructType):
+            found += _text_columns(field.dataType, path + ".")
+        elif not isinstance(field.dataType, T.NumericType):
+            found.append(path)
+    return found
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes the rows of ``df`` take in memory: a fixed width per row, nulls included, and all text.
+
+    One row comes to the driver.
+    """
+    text = [f"coalesce(octet_length(CAST({c} AS STRING)), 0)" for c in _text_columns(df.schema)]
+    total = F.expr(f"coalesce(sum({' + '.join(text)}), 0)") if text else F.lit(0)
+    rows, texts = df.agg(F.count("*"), total).first()
+    return rows * (32 + sum(_width(f.dataType) for f in df.schema.fields)) + texts
 
 
 def attach_stored(
@@ -123,7 +146,7 @@ def attach_stored(
     """
     if ROWS in table.columns:
         source = table
-    if value_bytes(table) <= BROADCAST_BYTES:
+    if table_bytes(table) <= BROADCAST_BYTES:
         columns = _columns(left, table, keys, how)
         return left.join(F.broadcast(table), list(keys), how).select(columns)
     return lookup(left, table, keys, how, hot=hot_keys(left if source is None else source, keys))
@@ -135,9 +158,10 @@ def attach(
     keys: Sequence[str],
     how: str = "left",
     source: DataFrame | None = None,
+    base: str | None = None,
 ) -> DataFrame:
-    """:func:`attach_stored`, writing the table to the shared folder first."""
-    return attach_stored(left, store(table, "lookup"), keys, how, source)
+    """:func:`attach_stored`, writing the table to the shared folder, or to ``base``, first."""
+    return attach_stored(left, store(table, "lookup", base), keys, how, source)
 
 
 def _columns(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> list[str]:

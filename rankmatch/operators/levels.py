@@ -104,7 +104,7 @@ def within_values(leveled: DataFrame, levels: Sequence[Level] = S.LEVELS) -> Dat
 
 
 def keep_within(
-    served: DataFrame, seen: DataFrame | None, levels: Sequence[Level] = S.LEVELS
+    served: DataFrame, seen: DataFrame | None, levels: Sequence[Level] = S.LEVELS, join: Join = lookup
 ) -> DataFrame:
     """Drop nodes of levels with ``within`` whose value is not ``seen`` at that level.
 
@@ -115,7 +115,7 @@ def keep_within(
     limited = F.col("level").isin(*[level.name for level in levels if level.within])
     seen = seen.select("level", "within_value").distinct().withColumn("__seen", F.lit(True))
     leveled = served.withColumn("level", F.col(LEVEL_KEY)["level"])
-    found = lookup(leveled, seen, ["level", "within_value"])
+    found = join(leveled, seen, ["level", "within_value"])
     return found.where(~limited | F.col("__seen")).drop("within_value", "__seen", "level")
 
 
@@ -146,7 +146,7 @@ def count_parents(
     """
     leveled = record_levels(records, levels, extra_keys, waiting)
     seen = within_values(leveled, levels) if seen is None else seen
-    served = keep_within(node_levels(nodes, levels, extra_keys, node_id), seen, levels)
+    served = keep_within(node_levels(nodes, levels, extra_keys, node_id), seen, levels, join)
     counted = None if source is None else record_levels(source, levels, extra_keys)
     found = join(leveled, level_parents(served, node_id), [LEVEL_KEY], "left", counted)
     return found.select(
@@ -184,7 +184,7 @@ def rank_match(
         raise ValueError(f"multi must be 'all' or 'first', not {multi!r}")
     leveled = record_levels(records, levels, extra_keys)
     served = node_levels(nodes, levels, extra_keys, node_id)
-    served = keep_within(served, within_values(leveled, levels), levels)
+    served = keep_within(served, within_values(leveled, levels), levels, join)
     pairs = join(leveled, served.withColumnRenamed(node_id, parent_id), [LEVEL_KEY], "inner")
     return pairs.withColumn("level", F.col(LEVEL_KEY)["level"]).select(out)
 

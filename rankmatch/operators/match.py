@@ -163,6 +163,31 @@ def resolve_ambiguous(
     return single.unionByName(backed), drop_keys(repeated, backed, [record_id], join)
 
 
+def backed_pairs(
+    found: DataFrame,
+    nodes: DataFrame,
+    keys: Sequence[str] = S.EXACT_KEYS,
+    generic_name: str = "node",
+    join: Join = lookup,
+) -> DataFrame:
+    """The pairs that ``resolve_ambiguous(..., "accepted_backed")`` keeps of ambiguous records.
+
+    ``found`` is the output of :func:`candidates`.  Only the ambiguous records are put
+    together with nodes, and of those only nodes that are accepted and are the accepted node
+    of another node of an ambiguous key.
+    """
+    _, _, ambiguous = split_candidates(found)
+    refilled = ambiguous.withColumns({k: null_as_blank(quoted(k)) for k in keys if k == "infraspecificEpithet"})
+    open_nodes = keep_keys(nodes, refilled.where(F.col("n_nodes") > 0), keys, join)
+    backing = open_nodes.select(F.col(S.ACCEPTED_ID).alias(S.NODE_ID)).where(F.col(S.NODE_ID).isNotNull())
+    backed = keep_keys(open_nodes.where(F.col(S.ACCEPTED_ID).isNull()), backing, [S.NODE_ID], join)
+    carried = ["genericName"] if generic_name == "node" else []
+    table = backed.select(*map(quote, keys), quoted(S.NODE_ID).alias(S.MATCHED_ID), S.ACCEPTED_ID, *carried)
+    given = [c for c in (S.MATCHED_ID, S.ACCEPTED_ID, *carried) if c in refilled.columns]
+    pairs = join(refilled.drop(*given), table, keys, "inner")
+    return _finish(pairs, [c for c in found.columns if c not in ("n_nodes", "is_repeated")])
+
+
 def accepted_backed(
     found: DataFrame,
     nodes: DataFrame,
@@ -210,6 +235,7 @@ def unmatched(
 
 __all__ = [
     "accepted_backed",
+    "backed_pairs",
     "candidates",
     "exact_match",
     "label_unmatched",

@@ -35,17 +35,18 @@ def reconcile(
 def match_summary(record_id: str = S.RECORD_ID, **stages: DataFrame) -> DataFrame:
     """Rows and distinct records per stage, also of stages without rows.
 
-    Rows are counted per record id first, so that counting distinct ids stays distributed.
+    All stages are tagged and counted together: ids are shuffled once.  Rows are counted per
+    stage and id first, so that counting distinct ids stays distributed.
     """
-    counts = []
+    tagged = []
     for name, df in stages.items():
-        per_record = df.groupBy(quoted(record_id)).agg(F.count("*").alias("n"))
-        counts.append(
-            per_record.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(quoted(record_id)).alias("n_records")
-            ).select(F.lit(name).alias("stage"), "n_rows", "n_records")
-        )
-    return append(*counts)
+        tag = F.lit(name).alias("stage")
+        ids = df.select(tag, quoted(record_id).alias("id"), F.lit(1).alias("n"))
+        # A row that counts nothing keeps the stage where it has no rows.
+        none = df.sparkSession.range(1).select(tag, F.lit(None).cast(df.schema[record_id].dataType).alias("id"), F.lit(0).alias("n"))
+        tagged += [ids, none]
+    per_record = append(*tagged).groupBy("stage", "id").agg(F.sum("n").alias("n"))
+    return per_record.groupBy("stage").agg(F.sum("n").alias("n_rows"), F.count("id").alias("n_records"))
 
 
 def inspect(

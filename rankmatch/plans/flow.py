@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,13 @@ from rankmatch.operators.levels import (
     record_levels,
     within_values,
 )
-from rankmatch.operators.match import candidates, label_unmatched, prepare_backbone, split_candidates
+from rankmatch.operators.match import (
+    backed_pairs,
+    candidates,
+    label_unmatched,
+    prepare_backbone,
+    split_candidates,
+)
 from rankmatch.operators.reconcile import match_summary, reconcile
 from rankmatch.session import shared_dir, store
 from rankmatch.settings import Level
@@ -37,6 +44,7 @@ def assign_parents(
     name: str = S.CANONICAL,
     parent_id: str = S.PARENT_ID,
     base: str | None = None,
+    extra_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Every unmatched record once: ``stage``, ``level``, ``n_parents`` and its parent.
 
@@ -53,8 +61,13 @@ def assign_parents(
     names = accepted_names(backbone, kingdoms, ranks, name)
     table = store(parent_table(records, names, ranks, tie_rank, tie_columns, name), "parents", base)
 
-    # Records of a level share their lowest name, so which values of the level are still
-    # wanted is known per name, before any record is looked up.
+    for level in levels:
+        # Records of a level share their lowest name, so which values of the level are still
+        # wanted is known per name, before any record is looked up.
+        finest = next(r for r in ranks if r in level.filled)
+        if level.within and (level.keys[0] != finest or set(ranks[: ranks.index(finest)]) - set(level.blank)):
+            raise ValueError(f"level {level.name!r} has 'within', but its first key is not the lowest rank")
+    attach_here = partial(attach, base=base)
     seen = within_values(record_levels(records, levels), levels)
     if seen is not None:
         targets = seen.withColumnsRenamed({"level": "lowest_rank", "level_name": "lowest_name"})
@@ -68,9 +81,10 @@ def assign_parents(
         first,
         rank_backbone(backbone, kingdoms, ranks),
         levels,
+        extra_keys=extra_keys,
         waiting=F.col("homonym_parent").isNull(),
         seen=seen,
-        join=attach,
+        join=attach_here,
         source=records,
     )
     is_first, is_second = F.col("homonym_parent").isNotNull(), F.col("n_parents") > 0
@@ -104,20 +118,45 @@ def match_checklist(
     levels: Sequence[Level] = S.LEVELS,
     multi: str = "all",
     base: str | None = None,
+    on_ambiguous: str = "drop",
+    generic_name: str = "node",
+    genus_from_generic: bool = False,
+    extra_keys: Sequence[str] = (),
+    tie_rank: str | None = S.TIE_RANK,
+    tie_columns: Sequence[str] = S.TIE_COLUMNS,
+    labels: Mapping[str, str] = S.UNMATCHED_LABELS,
 ) -> dict[str, DataFrame]:
     """All results of the job on a cleaned checklist.
 
     Stages that several results need are written once to the shared folder (``base``, by
     default the one the session names), so a lost executor costs a stage and not the job.
+    The options are those of the operators: ``on_ambiguous`` of ``resolve_ambiguous``,
+    ``generic_name`` of ``exact_match``, ``genus_from_generic`` of ``prepare_backbone``,
+    ``extra_keys`` of ``rank_match``, the tie-break's and the labels.
     """
+    if on_ambiguous not in ("drop", "accepted_backed"):
+        raise ValueError(f"on_ambiguous must be 'drop' or 'accepted_backed', not {on_ambiguous!r}")
+    if generic_name not in ("node", "record"):
+        raise ValueError(f"generic_name must be 'node' or 'record', not {generic_name!r}")
     base = base or shared_dir(cleaned.sparkSession)
-    nodes = prepare_backbone(backbone, statuses)
-    found = store(candidates(cleaned, nodes, join=attach), "candidates", base)
+    attach_here = partial(attach, base=base)
+    nodes = prepare_backbone(backbone, statuses, genus_from_generic)
+    carry = ("genericName",) if generic_name == "node" else ()
+    found = store(candidates(cleaned, nodes, carry=carry, join=attach_here), "candidates", base)
     exact, bare, ambiguous = split_candidates(found)
-    unmatched = store(label_unmatched(bare), "unmatched", base)
+    if on_ambiguous == "accepted_backed":
+        backed = store(backed_pairs(found, nodes, generic_name=generic_name, join=attach_here), "backed", base)
+        exact = exact.unionByName(backed)
+        ambiguous = drop_keys(ambiguous, backed, [S.RECORD_ID], attach_here)
+    unmatched = label_unmatched(bare, labels)
     assigned = store(
-        assign_parents(unmatched, backbone, kingdoms, levels=levels, base=base), "assigned", base
-    )
+        assign_parents(
+            store(unmatched, "unmatched", base), backbone, kingdoms, levels=levels, tie_rank=tie_rank,
+            tie_columns=tie_columns, base=base, extra_keys=extra_keys,
+        ),
+        "assigned",
+        base,
+    )
     columns = list(map(quote, unmatched.columns))
     if multi == "first":
         leveled = assigned.where("stage = 'second'").select(*columns, "level")
@@ -125,15 +164,19 @@ def match_checklist(
         waiting = assigned.where("stage <> 'first'").select(columns)
         parents = rank_backbone(backbone, kingdoms)
         leveled = store(
-            rank_match(waiting, parents, levels, multi, keep_level=True, join=attach), "leveled", base
+            rank_match(waiting, parents, levels, multi, extra_keys, keep_level=True, join=attach_here), "leveled", base
         )
     first = assigned.where("stage = 'first'").select(columns)
     second = leveled.select(columns)
-    matches, remainder = reconcile(unmatched, first, second, join=attach)
+    # What is in neither stage is known already.
+    matches, _ = reconcile(unmatched, first, second)
+    remainder = assigned.where("stage = 'none'").select(columns)
     return {
         "exact": exact,
         "ambiguous": ambiguous,
-        "unmatched": unmatched,
+        "unmatched": assigned.select(
+            *[F.lit(None).cast("long").alias(c) if c == S.PARENT_ID else quote(c) for c in unmatched.columns]
+        ),
         "first_matches": first,
         "second_matches_phylum": leveled.where("level = 'phylum'").select(columns),
         "second_matches_genus": leveled.where("level = 'genus'").select(columns),

@@ -14,13 +14,13 @@ PARTS: dict[str, str] = {}
 
 PARTS["named_part"] = """
 SELECT p_partkey, p_size, p_name, p_brand, p_type AS kingdom, p_brand AS phylum,
-  split_part(p_name, ' ', 1) || ' ' || p_brand AS class,
-  split_part(p_name, ' ', 2) || ' ' || p_brand AS "order",
-  p_name || ' ' || p_brand AS family,
-  split_part(p_name, ' ', 2) || ' ' || p_brand AS genus,
+  split_part(p_name, ' ', 1) || ' ' || p_brand || suffix AS class,
+  split_part(p_name, ' ', 2) || ' ' || p_brand || suffix AS "order",
+  p_name || ' ' || p_brand || suffix AS family,
+  split_part(p_name, ' ', 2) || ' ' || p_brand || suffix AS genus,
   CAST(p_size AS VARCHAR) AS specificEpithet,
   CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN CAST(p_partkey AS VARCHAR) END AS infraspecificEpithet
-FROM part"""
+FROM (SELECT *, CASE WHEN p_partkey > 2000 THEN '-' || ((p_partkey - 1) // 2000) ELSE '' END AS suffix FROM part)"""
 
 PARTS["raw"] = """
 SELECT 'L-' || l_orderkey || '-' || l_linenumber AS "speciesId",
@@ -175,8 +175,6 @@ SELECT s_suppkey AS record_id, kingdom, phylum, class, "order", family, genus,
 FROM supplier JOIN named_part ON s_suppkey = p_partkey"""
 PARTS["supplier_targets"] = _targets("supplier_records")
 PARTS["supplier_first"] = _assigned("supplier_targets")
-PARTS["supplier_waiting"] = """
-SELECT * FROM supplier_records WHERE record_id NOT IN (SELECT record_id FROM supplier_first)"""
 
 PARTS["filled"] = """
 SELECT "speciesId" AS speciesID, "taxonName", kingdom, coalesce(phylum, '') AS phylum,
@@ -256,6 +254,9 @@ PARTS["second_pairs"] = _level_pairs("waiting", "speciesID")
 PARTS["second_stage"] = """
 SELECT speciesID, level, count(*) AS n_parents, min(parent) AS parent FROM second_pairs GROUP BY speciesID, level"""
 
+PARTS["second_full"] = """
+SELECT w.*, p.parent FROM waiting w JOIN second_pairs p ON p.speciesID = w.speciesID"""
+
 PARTS["assigned"] = """
 SELECT u.*,
   CASE WHEN f.speciesID IS NOT NULL THEN 'first' WHEN s.speciesID IS NOT NULL THEN 'second'
@@ -265,8 +266,6 @@ SELECT u.*,
 FROM unmatched u LEFT JOIN first_stage f ON f.speciesID = u.speciesID
   LEFT JOIN second_stage s ON s.speciesID = u.speciesID"""
 
-PARTS["supplier_second"] = _level_pairs("supplier_waiting", "record_id")
-
 # Which parts a part reads, in the order they have to be written.
 _NEEDS = {
     "raw": ["named_part"],
@@ -290,12 +289,11 @@ _NEEDS = {
     "rank_nodes": ["backbone"],
     "second_pairs": ["waiting", "rank_nodes"],
     "second_stage": ["second_pairs"],
+    "second_full": ["waiting", "second_pairs"],
     "assigned": ["unmatched", "first_stage", "second_stage"],
     "supplier_records": ["named_part"],
     "supplier_targets": ["supplier_records"],
     "supplier_first": ["supplier_targets", "picks", "names"],
-    "supplier_waiting": ["supplier_records", "supplier_first"],
-    "supplier_second": ["supplier_waiting", "rank_nodes"],
 }
 
 
@@ -311,7 +309,7 @@ def _with(select: str, *parts: str) -> str:
 
     for part in parts:
         add(part)
-    return "WITH " + ",\n".join(f"{p} AS ({PARTS[p]})" for p in order) + "\n" + select
+    return "WITH " + ",\n".join(f"{p} AS MATERIALIZED ({PARTS[p]})" for p in order) + "\n" + select
 
 
 _PAIR = (
@@ -339,6 +337,13 @@ _OUTPUT = """speciesID, CAST(NULL AS BIGINT) AS "matched_taxonID", CAST(NULL AS
   'BOSuncornirmedSpecies' AS "taxonRank", 'BOSunformired' AS "taxonomicStatus",
   CAST(NULL AS BIGINT) AS "parentNameUsageID" """
 
+
+
+def _output(parent: str) -> str:
+    """The columns of a full output record that has the parent ``parent``."""
+    return _OUTPUT.replace('CAST(NULL AS BIGINT) AS "parentNameUsageID"', f'{parent} AS "parentNameUsageID"')
+
+
 _RAW_COLUMNS = [
     "speciesId", "taxonName", "domain ", "phylum", "class", "order", "family", "genus", "species", "subspecies",
     "data cleanup changes", "query", "Unnamed: 17", "tribe",
@@ -421,8 +426,10 @@ GROUP BY row_no, speciesID, genus, specificEpithet, infraspecificEpithet, n_node
         "matching",
     ),
     "q_accepted_backed_pairs": _with(
-        f"""SELECT {_PAIR} FROM matching WHERE n_rows = 1 OR (acceptedNameUsageID IS NULL
-  AND matched_taxonID IN (SELECT acceptedNameUsageID FROM matching WHERE n_rows > 1))""",
+        f"""SELECT {_PAIR} FROM (SELECT m.*, b.backing FROM matching m LEFT JOIN (
+  SELECT DISTINCT acceptedNameUsageID AS backing FROM matching
+  WHERE n_rows > 1 AND acceptedNameUsageID IS NOT NULL) b ON b.backing = m.matched_taxonID)
+WHERE n_rows = 1 OR (acceptedNameUsageID IS NULL AND backing IS NOT NULL)""",
         "matching",
     ),
     "q_no_match": _with(f"SELECT {_OUTPUT} FROM unmatched", "unmatched"),
@@ -482,7 +489,7 @@ GROUP BY 1, 2""",
     "q_rank_backbone": _with("SELECT * FROM rank_nodes", "rank_nodes"),
     "q_rank_match_pairs": _with(
         'SELECT speciesID, level, parent AS "parentNameUsageID" FROM ('
-        + _level_pairs("filled", "speciesID", [v for v in _LEVELS if v != "specificEpithet"])
+        + _level_pairs("filled", "speciesID")
         + ")",
         "filled",
         "rank_nodes",
@@ -504,15 +511,49 @@ FROM assigned WHERE stage <> 'none'""",
         "assigned",
     ),
     "q_reconcile": _with(
-        """SELECT 'unmatched' AS stage, count(*) AS n_rows, count(DISTINCT record_id) AS n_records FROM supplier_records
-UNION ALL SELECT 'first_matches', count(*), count(DISTINCT record_id) FROM supplier_first
-UNION ALL SELECT 'second_matches', count(DISTINCT record_id), count(DISTINCT record_id) FROM supplier_second
-UNION ALL SELECT 'all_matches', count(*), count(*) FROM (
-  SELECT record_id FROM supplier_first UNION SELECT record_id FROM supplier_second)
-UNION ALL SELECT 'remainder', count(*), count(*) FROM (
-  SELECT record_id FROM supplier_waiting EXCEPT SELECT record_id FROM supplier_second)""",
-        "supplier_first",
-        "supplier_second",
+        """SELECT 'unmatched' AS stage, count(*) AS n_rows, count(DISTINCT speciesID) AS n_records FROM unmatched
+UNION ALL SELECT 'first_matches', count(*), count(DISTINCT speciesID) FROM first_stage
+UNION ALL SELECT 'second_matches', count(*), count(DISTINCT speciesID) FROM second_stage
+UNION ALL SELECT 'all_matches', count(*), count(DISTINCT speciesID) FROM (
+  SELECT speciesID FROM first_stage UNION ALL SELECT speciesID FROM second_stage)
+UNION ALL SELECT 'remainder', count(*), count(DISTINCT speciesID) FROM (
+  SELECT speciesID FROM waiting WHERE speciesID NOT IN (SELECT speciesID FROM second_stage))""",
+        "first_stage",
+        "second_stage",
+    ),
+    "q_checklist_second": _with(f"SELECT {_output('parent')} FROM second_full", "second_full"),
+    "q_checklist_all": _with(
+        f"SELECT {_output('parent')} FROM second_full UNION ALL SELECT {_output('parent')} FROM first_stage",
+        "first_stage",
+        "second_full",
+    ),
+    "q_checklist_remainder": _with(
+        f"SELECT {_OUTPUT} FROM waiting WHERE speciesID NOT IN (SELECT speciesID FROM second_stage)",
+        "waiting",
+        "second_stage",
+    ),
+    "q_checklist_backed": _with(
+        f"SELECT {_PAIR} FROM matching m WHERE (n_rows = 1 AND matched_taxonID IS NOT NULL)"
+        " OR (n_rows > 1 AND acceptedNameUsageID IS NULL AND EXISTS (SELECT 1 FROM"
+        " (SELECT DISTINCT acceptedNameUsageID AS backing FROM matching WHERE n_rows > 1) b"
+        " WHERE b.backing = m.matched_taxonID))",
+        "matching",
+    ),
+    "q_checklist_summary": _with(
+        " UNION ALL ".join(
+            f"SELECT '{stage}' AS stage, count(*) AS n_rows, count(DISTINCT speciesID) AS n_records FROM {source}"
+            for stage, source in (
+                ("unmatched", "unmatched"),
+                ("first_matches", "first_stage"),
+                ("second_matches_phylum", "second_pairs WHERE level = 'phylum'"),
+                ("second_matches_genus", "second_pairs WHERE level = 'genus'"),
+                ("second_matches", "second_pairs"),
+                ("all_matches", "(SELECT speciesID FROM first_stage UNION ALL SELECT speciesID FROM second_pairs)"),
+                ("remainder", "waiting WHERE speciesID NOT IN (SELECT speciesID FROM second_stage)"),
+            )
+        ),
+        "first_stage",
+        "second_stage",
     ),
     "q_inspect": _with(
         f"""SELECT speciesID, "taxonName", "parentNameUsageID", {', '.join(RANKS)} FROM assigned

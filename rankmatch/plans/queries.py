@@ -13,7 +13,7 @@ from rankmatch.functions.ranks import lowest_name, lowest_rank
 from rankmatch.operators import clean, homonyms, joins, levels, match, reconcile
 from rankmatch.plans import tables as T
 from rankmatch.operators.joins import attach
-from rankmatch.plans.flow import assign_parents, find_unmatched
+from rankmatch.plans.flow import assign_parents, find_unmatched, match_checklist, summarise
 from rankmatch.session import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,7 +119,7 @@ def q_derive_token(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_clean_records(spark: SparkSession, sf: str) -> DataFrame:
-    return T.cleaned_checklist(spark, sf, find_empty=True)
+    return T.cleaned_checklist(spark, sf)
 
 
 # --- exact match ---------------------------------------------------------------------
@@ -171,7 +171,8 @@ def q_exact_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_unique_only(spark: SparkSession, sf: str) -> DataFrame:
-    return match.resolve_ambiguous(_pairs(spark, sf), join=attach)[0].select(_PAIR_COLUMNS)
+    exact, bare, _ = match.split_candidates(_found(spark, sf))
+    return exact.unionByName(bare).select(_PAIR_COLUMNS)
 
 
 @query
@@ -202,8 +203,11 @@ def q_accepted_backed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_accepted_backed_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    kept, _ = match.resolve_ambiguous(_pairs(spark, sf), on_ambiguous="accepted_backed", join=attach)
-    return kept.select(_PAIR_COLUMNS)
+    nodes = match.prepare_backbone(_backbone(spark, sf))
+    found = store(match.candidates(T.cleaned_checklist(spark, sf), nodes, join=attach), "candidates")
+    exact, bare, _ = match.split_candidates(found)
+    backed = match.backed_pairs(found, nodes, join=attach)
+    return exact.unionByName(bare).unionByName(backed).select(_PAIR_COLUMNS)
 
 
 @query
@@ -339,12 +343,7 @@ for _level in S.LEVELS:
 
 @query
 def q_rank_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    # The level of specific epithets is left to the counting form: there the number of
-    # nodes per name grows with the tables, and so would the pairs.
-    some = [v for v in S.LEVELS if v.name != "specificEpithet"]
-    pairs = levels.rank_match(
-        _filled(spark, sf), _nodes(spark, sf), some, keep_level=True, join=attach
-    )
+    pairs = levels.rank_match(_filled(spark, sf), _nodes(spark, sf), keep_level=True, join=attach)
     return pairs.select(S.RECORD_ID, "level", S.PARENT_ID)
 
 
@@ -392,8 +391,8 @@ def q_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    records = T.supplier_records(spark, sf).withColumnRenamed("record_id", S.RECORD_ID)
-    records, bb = store(records, "suppliers"), _backbone(spark, sf)
+    bb = _backbone(spark, sf)
+    records = _unmatched(spark, sf, bb)
     first = store(homonyms.homonym_assign(records, bb, T.KINGDOMS, join=attach), "first")
     waiting = joins.drop_keys(records, first, [S.RECORD_ID], attach)
     second = levels.rank_match(waiting, levels.rank_backbone(bb, T.KINGDOMS), multi="first", join=attach)
@@ -403,6 +402,32 @@ def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _results(spark: SparkSession, sf: str, **options: str) -> dict[str, DataFrame]:
+    return match_checklist(T.cleaned_checklist(spark, sf), _backbone(spark, sf), kingdoms=T.KINGDOMS, **options)
+
+
+def _checklist(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return _results(spark, sf)[name].select(*map(quote, S.OUTPUT_COLUMNS))
+
+    return run
+
+
+QUERIES["q_checklist_second"] = _checklist("second_matches")
+QUERIES["q_checklist_all"] = _checklist("all_matches")
+QUERIES["q_checklist_remainder"] = _checklist("remainder")
+
+
+@query
+def q_checklist_backed(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf, on_ambiguous="accepted_backed")["exact"].select(_PAIR_COLUMNS)
+
+
+@query
+def q_checklist_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return summarise(_results(spark, sf))
+
+
 @query
 def q_inspect(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.inspect(

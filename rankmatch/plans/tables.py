@@ -16,6 +16,7 @@ from rankmatch.operators.clean import clean_records
 from rankmatch.settings import Correction
 
 # The rules for the derived checklist, the same as in the SQL.
+NAME_BLOCK = 2000
 KINGDOMS = ("STANDARD", "ECONOMY", "PROMO", "SMALL")
 WITH_INFRASPECIFIC = ("PROMO", "ECONOMY")
 RENAMES = S.RENAMES
@@ -40,23 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores.
-
-    One small file is one task; the wide expressions that follow would run in it alone.
-    Tables of many splits are left as they are.  Hashing all columns places a row the same
-    way when a task is run again, without the sort that dealing out in turn needs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def _word(n: int) -> Column:
     return F.split_part("p_name", F.lit(" "), F.lit(n))
 
 
 def _ranks_of_part() -> dict[str, Column]:
-    of_brand = [F.lit(" "), F.col("p_brand")]
+    # Names are used anew for every so many parts, so nodes per name do not grow with the tables.
+    block = F.floor((F.col("p_partkey") - 1) / NAME_BLOCK)
+    suffix = F.when(block > 0, F.concat(F.lit("-"), block.cast("string"))).otherwise("")
+    of_brand = [F.lit(" "), F.col("p_brand"), suffix]
     return {
         "kingdom": F.col("p_type"),
         "phylum": F.col("p_brand"),
@@ -77,7 +70,6 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    lines = spread(lines)
     rank = _ranks_of_part()
     depth = F.col("l_linenumber")
     misspelt = F.when(F.col("l_tax") == 0.08, "x").otherwise("")
@@ -102,8 +94,8 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cleaned_checklist(spark: SparkSession, sf_dir: str, find_empty: bool = False) -> DataFrame:
-    """The cleaned checklist; ``tribe`` is known to be empty unless ``find_empty`` is set."""
+def cleaned_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned checklist; that ``tribe`` is empty is found in the data."""
     return clean_records(
         raw_checklist(spark, sf_dir),
         renames=RENAMES,
@@ -111,7 +103,6 @@ def cleaned_checklist(spark: SparkSession, sf_dir: str, find_empty: bool = False
         corrections=CORRECTIONS,
         kingdoms=KINGDOM_BY_PHYLUM,
         default_kingdom=DEFAULT_KINGDOM,
-        empty_columns=None if find_empty else ("tribe",),
     )
 
 

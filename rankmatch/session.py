@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,27 +41,30 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str | None:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without the setting falls back to a temporary folder: on a
-    cluster a machine-local folder would be lost with its machine.
+    None in a local session without the setting.  On a cluster it is required: a folder of
+    one machine would be lost with it.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return os.path.join(tempfile.gettempdir(), f"rankmatch-{spark.sparkContext.applicationId}")
+    return configured or None
 
 
 def store(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, and gives the planner the true size
-    of the table, so that later joins broadcast it only when it is small enough.
+    of the table, so that later joins broadcast it only when it is small enough.  A local
+    session without a folder keeps the rows in Spark's own block storage on disk, which goes
+    with the session.
     """
     spark = df.sparkSession
-    path = os.path.join(base or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    base = base or shared_dir(spark)
+    if base is None:
+        return df.persist(StorageLevel.DISK_ONLY)
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

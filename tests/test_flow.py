@@ -1,8 +1,10 @@
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from rankmatch import session
 from rankmatch import settings as S
 from rankmatch.operators import joins
 from rankmatch.operators.clean import clean_records
@@ -114,6 +116,47 @@ def test_assigned_parents_equal_plain_loops(monkeypatch, spark, sample, seed, li
     assert rows(got.select("speciesID", "stage", "level", "n_parents", "parentNameUsageID")) == sorted(want, key=repr)
 
 
+def cleaned_sample(spark):
+    raw = frame(spark, [{"taxonName": "x", "data cleanup changes": "y", "domain ": "d", **r} for r in RAW], RAW_DDL)
+    return clean_records(raw, log_columns=["data cleanup changes 1"])
+
+
+def test_options_reach_the_job(spark):
+    cleaned, nodes = cleaned_sample(spark), nodes_frame(spark, NODES)
+    got = match_checklist(cleaned, nodes, on_ambiguous="accepted_backed", generic_name="record")
+    assert rows(got["exact"].select("speciesID", "matched_taxonID", "genericName")) == [("a1", 2, "Aus"), ("e1", 1, "Aus")]
+    assert rows(got["ambiguous"].select("speciesID")) == [("d1",), ("d1",)]
+    got = match_checklist(cleaned, nodes, tie_rank=None)
+    assert parents(got["first_matches"]) == [("h1", 4)]
+    got = match_checklist(cleaned, nodes, extra_keys=["kingdom"], labels={"taxonRank": "r", "taxonomicStatus": "s"})
+    assert parents(got["second_matches_genus"]) == [("g1", 7), ("g1", 8)]
+    assert rows(got["remainder"].select("taxonRank", "taxonomicStatus").distinct()) == [("r", "s")]
+    for wrong in ({"on_ambiguous": "all"}, {"generic_name": "both"}):
+        with pytest.raises(ValueError, match="must be"):
+            match_checklist(cleaned, nodes, **wrong)
+
+
+def test_all_stored_tables_go_to_the_given_folder(spark, tmp_path):
+    before = set(os.listdir(shared_dir(spark)))
+    match_checklist(cleaned_sample(spark), nodes_frame(spark, NODES), base=str(tmp_path / "job"))["remainder"].count()
+    assert set(os.listdir(shared_dir(spark))) == before
+    assert os.listdir(tmp_path / "job")
+
+
+def test_levels_with_within_must_start_at_the_lowest_rank(spark):
+    odd = S.Level(name="odd", keys=("order",), filled=("order", "family"), blank=S.RANKS[:3], within=("class",))
+    with pytest.raises(ValueError, match="lowest rank"):
+        assign_parents(records_frame(spark, [record("1", kingdom="Animalia")]), nodes_frame(spark, NODES), levels=[odd])
+
+
+def test_a_local_session_needs_no_folder(monkeypatch, spark):
+    monkeypatch.setattr(session, "shared_dir", lambda _: None)
+    df = spark.range(5)
+    stored = store(df, "x")
+    assert stored.is_cached and rows(stored) == rows(df)
+    stored.unpersist()
+
+
 def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 

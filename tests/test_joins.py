@@ -24,7 +24,7 @@ def table(spark):
 def test_lookup_equals_plain_join(skewed, table, how, spread):
     hot = joins.hot_keys(skewed, ["k"], min_rows=500) if spread else None
     plain = skewed.join(table, "k", how)
-    got = joins.lookup(skewed, table, ["k"], how, hot=hot, salts=7)
+    got = joins.lookup(skewed, table, ["k"], how, hot=hot)
     assert rows(got) == rows(plain.select(*got.columns))
 
 
@@ -38,29 +38,44 @@ def test_attach_below_and_beyond_the_broadcast_limit(monkeypatch, skewed, table,
     assert rows(got) == rows(skewed.join(table, "k", how).select(*got.columns))
 
 
-def test_hot_rows_are_spread(spark, skewed, table):
-    """No partition of the join holds all rows of the hot key or all rows without key."""
+@pytest.mark.parametrize("by", [(), ("k",)])
+def test_hot_rows_are_spread(spark, skewed, table, by):
+    """No partition of the join holds much more than its share, even if the rows already lie by their key."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        source = skewed.repartition(16)
-        hot = joins.hot_keys(source, ["k"], min_rows=500)
-        joined = joins.lookup(source, table, ["k"], "left", hot=hot, salts=16)
+        source = skewed.repartition(16, *by)
+        hot = joins.hot_keys(source, ["k"], min_rows=10)
+        joined = joins.lookup(source, table, ["k"], "left", hot=hot)
         parts = joined.withColumn("p", F.spark_partition_id())
         for rows_of in (F.col("k") == "hot", F.col("k").isNull()):
-            biggest = parts.where(rows_of).groupBy("p").count().agg(F.max("count")).first()[0]
-            assert biggest < 900
+            found = parts.where(rows_of).groupBy("p").count().agg(F.max("count"), F.sum("count")).first()
+            assert found[0] <= 2 * found[1] / 16 + 10
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_hot_keys_are_few_and_frequent(skewed):
-    assert rows(joins.hot_keys(skewed, ["k"], min_rows=500)) == [("hot",)]
-    assert joins.hot_keys(skewed, ["k"], min_rows=1, top=5).count() == 5
+def test_hot_keys_have_parts_by_their_rows(skewed):
+    assert rows(joins.hot_keys(skewed, ["k"], min_rows=300)) == [("hot", 4)]
+    every = joins.hot_keys(skewed, ["k"], min_rows=1)
+    assert every.count() == skewed.where("k IS NOT NULL").select("k").distinct().count()
     assert joins.hot_keys(skewed, ["k"]).count() == 0
 
 
+def test_size_counts_the_width_of_rows(monkeypatch, spark, skewed):
+    wide = spark.range(60).select(
+        F.concat(F.lit("k"), "id").alias("k"), *[F.lit(None).cast("long").alias(f"n{i}") for i in range(40)]
+    )
+    assert joins.table_bytes(wide) > 60 * 40 * 8
+    assert joins.table_bytes(wide.limit(0)) == 0
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 60 * 100)
+    plan = joins.attach(skewed, wide, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
+
+
 def test_name_clash_is_refused(skewed, table):
     with pytest.raises(ValueError, match="both sides"):
         joins.lookup(skewed, table.withColumnRenamed("v", "id"), ["k"])
