@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,23 @@ def by_texts(docs: DataFrame, function, schema: str) -> DataFrame:
     return docs.mapInArrow(function, schema)
 
 
+class Shared:
+    """A broadcast model whose classes travel by value too, so a task can read it without this package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.read = None
+
+    def __getstate__(self):
+        return {"held": self.held, "read": None}
+
+    @property
+    def value(self):
+        if self.read is None:
+            self.read = pickle.loads(self.held.value)
+        return self.read
+
+
 def free_name(taken: Sequence[str], wish: str) -> str:
     """``wish``, lengthened until no column in ``taken`` has it, in whatever case."""
     lower = {c.lower() for c in taken}

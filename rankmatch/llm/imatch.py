@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankmatch.llm.common import WORD, by_texts, plain
+from rankmatch.llm.common import WORD, Shared, by_texts, plain
 from rankmatch.session import store
 
 # Candidates that are frequent in some run of documents are counted by tasks that hold them all,
@@ -193,7 +193,7 @@ def fingerprints(
 ) -> DataFrame:
     """doc_id and ``fingerprint`` of every row."""
     texts = plain(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = Shared(docs.sparkSession, words)
 
     def run(batches):
         for batch in batches:
@@ -259,7 +259,7 @@ def edited(text: str, following: str) -> str:
 
 def compare_edited(docs: DataFrame, words: Lexicon) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how alike they and the next document's are."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = Shared(docs.sparkSession, words)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankmatch.llm.common import by_texts, column, free_name, plain, small_batches
+from rankmatch.llm.common import Shared, by_texts, column, free_name, plain, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -433,7 +433,7 @@ def scan(
 ) -> DataFrame:
     """doc_id, ``base`` and ``spans``: arrays of (kind, start, end) for every row of ``docs``."""
     texts = plain(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = Shared(docs.sparkSession, field)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -467,7 +467,7 @@ def redact(
     chars_col: str | None = "n_chars",
 ) -> DataFrame:
     """``docs`` with personal data replaced in the text; ``chars_col``, if there is one, is counted anew."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = Shared(docs.sparkSession, field)
     name = free_name(docs.columns, "__redacted")
 
     def run(batches):

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch.llm.common import (
+    Shared,
     WordHashes,
     blocks,
     by_texts,
@@ -178,7 +179,7 @@ def train(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ``score``: how likely class 1 is, between 0 and 1, for every row of ``docs``."""
     texts = plain(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         hashes = WordHashes(1 << 16)
@@ -193,7 +194,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose score is ``threshold`` or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     helper = free_name(docs.columns, "__text")
     tagged = docs.withColumn(helper, F.coalesce(column(text_col).cast("string"), F.lit("")))
 

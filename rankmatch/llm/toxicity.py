@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankmatch.llm.common import by_texts, column, plain, sampled_ids
+from rankmatch.llm.common import Shared, by_texts, column, plain, sampled_ids
 
 # The words of each class, in English, German, French and Spanish.
 WORDS = {
@@ -362,7 +362,7 @@ def train(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ``score``: how likely a document is toxic, between 0 and 1, for every row of ``docs``."""
     texts = plain(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         for batch in batches:
