@@ -6,10 +6,11 @@ hashed as a whole and once for each of several random subsets of the lexicon.  T
 are alike as far as the hashes of their subsets agree; a document that was edited a little still
 agrees in the subsets that hold none of the edited terms.
 
-The lexicon is exact and covers all documents, in two passes.  A term with a share of all
-documents above the band's lower end has that share in some run of documents as well, so the
-first pass only passes on the terms that are frequent in a run of a few thousand documents; the
-second counts these.  With ``d`` distinct terms in a document on average and a lower end of
+The lexicon is exact and covers all documents, in two passes.  The first passes on the terms that
+are frequent in a run of a few thousand documents, with their counts.  In every other run a term
+has less than a known share, so these counts bound what it can have in all documents; the second
+pass counts the terms whose bound reaches the band's lower end, which are few more than the
+lexicon.  With ``d`` distinct terms in a document on average and a lower end of
 ``s``, the lexicon has at most d / s terms whatever the corpus; where that is above
 ``max_terms``, the lower end is raised to d / max_terms.  So it can be broadcast.
 
@@ -42,6 +43,8 @@ from rankmatch.session import store
 # up to this number of them; beyond, all terms are counted by a shuffle.
 MAX_CANDIDATES = 1_000_000
 _RUN_DOCS, _RUN_BYTES = 4096, 1 << 25
+# A term is passed on if its share of a run is at least this part of the band's lower end.
+_SLACK = 0.75
 _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -124,18 +127,23 @@ def likeness(a: str, b: str, repeats: int = Settings.repeats) -> float:
     return sum(some) / len(some) if some else 0.0
 
 
-def _frequent_in_runs(least: float):
-    """Terms that have at least that share of some run of documents; a null term tells a run's totals."""
+def _frequent_in_runs(share: float):
+    """Terms with at least that share of a run of documents, and by how many they exceed it.
+
+    A null term tells a run's totals.
+    """
 
     def run(batches):
         seen, docs, size, distinct = Counter(), 0, 0, 0
 
         def told():
-            kept = [t for t, n in seen.items() if n >= least * docs]
+            low = share * docs
+            kept = [(t, n - low) for t, n in seen.items() if n >= low]
+            zeros = [0] * len(kept)
             return pa.RecordBatch.from_arrays(
-                [pa.array([None, *kept], pa.binary()), pa.array([docs, *[0] * len(kept)], pa.int64()),
-                 pa.array([distinct, *[0] * len(kept)], pa.int64())],
-                names=["term", "docs", "distinct"],
+                [pa.array([None, *(t for t, _ in kept)], pa.binary()), pa.array([0.0, *(x for _, x in kept)]),
+                 pa.array([docs, *zeros], pa.int64()), pa.array([distinct, *zeros], pa.int64())],
+                names=["term", "above", "docs", "distinct"],
             )
 
         for batch in batches:
@@ -169,12 +177,17 @@ def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "t
     """The terms of all documents within the band; see the module's text for its bound."""
     spark = docs.sparkSession
     texts = plain(docs, text_col, text_col).select("text")
-    found = store(by_texts(texts, _frequent_in_runs(settings.least), "term binary, docs bigint, distinct bigint"), "runs")
+    share = _SLACK * settings.least
+    found = by_texts(texts, _frequent_in_runs(share), "term binary, above double, docs bigint, distinct bigint")
+    found = store(found, "runs")
     total, distinct = found.agg(F.sum("docs"), F.sum("distinct")).first()
     if not total:
         return Lexicon(settings)
     least = max(settings.least, distinct / total / settings.max_terms)
-    candidates = store(found.where("term IS NOT NULL").select("term").distinct(), "candidates")
+    # What a term has at most: what exceeds the share where it was passed on, and the share of all documents.
+    above = found.where("term IS NOT NULL").groupBy("term").agg(F.sum("above").alias("above"))
+    possible = above.where(F.col("above") + share * total >= least * total - 1e-6)
+    candidates = store(possible.select("term"), "candidates")
     if candidates.count() <= MAX_CANDIDATES:
         shared = spark.sparkContext.broadcast({bytes(r.term) for r in candidates.toLocalIterator()})
         parts = by_texts(texts, _counted(shared), "term binary, n bigint")
