@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankmatch.llm.common import by_texts, column
+from rankmatch.llm.common import by_texts, column, free_name
 from rankmatch.session import store
 
 SYMBOLS = b"#*$%&|<>"
@@ -250,5 +250,6 @@ def judge(
 def keep(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", **columns: str) -> DataFrame:
     """The rows of ``docs`` that the rules keep; a row without an id goes with the verdict on any such row."""
     verdict = judge(docs, settings, id_col, **columns).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    good = verdict.where("kept").select(F.col("doc_id").alias("__good"))
-    return docs.join(good, column(id_col).eqNullSafe(F.col("__good")), "left_semi")
+    name = free_name(docs.columns, "__good")
+    good = verdict.where("kept").select(F.col("doc_id").alias(name))
+    return docs.join(good, column(id_col).eqNullSafe(column(name)), "left_semi")
