@@ -10,9 +10,10 @@ style, by a simple selector of the page's own style sheet, or in a closed ``deta
 
 Defined results: a null or empty page has an empty text; broken tags and stray ends never fail;
 nesting of any depth is walked without recursion, and tables within :data:`TABLES` tables are
-laid out as plain blocks; a cell wider than :data:`PAD` is whole and only not padded for; rows
-with a null or repeated id, and equal rows, are each rendered alone; an empty table gives an
-empty result.  Columns other than the id and the page are not read.
+laid out as plain blocks; every cell is whole, counts for the width of its column and has two blanks
+after it, and only where that would pad a table to over :data:`ROOM` characters are lines wider
+than :data:`PAD` not padded for; rows with a null or repeated id, and equal rows, are each rendered
+alone; an empty table gives an empty result.  Columns other than the id and the page are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from rankmatch.llm.common import by_texts, column
 
-# Widest column that shorter cells are padded for, and deepest nesting of laid-out tables.
-PAD, TABLES = 60, 8
+# Widest column that shorter cells are always padded for, characters up to which a table is padded for wider
+# ones too, and deepest nesting of laid-out tables.
+PAD, ROOM, TABLES = 60, 1_000_000, 8
 
 
 def names(text: str) -> frozenset[str]:
@@ -426,17 +428,19 @@ class Renderer:
                     cells.append(self.render(cell_element).split("\n") if k == 0 else [])
             self.skip(cells, below)
             grid.append(cells)
+        height = sum(max([0, *map(len, cells)]) for cells in grid)
+        most = max(PAD, ROOM // max(height * max([0, *map(len, grid)]), 1))
         wide: dict[int, int] = {}
         for cells in grid:
             for i, lines in enumerate(cells):
-                wide[i] = max([wide.get(i, 0), *(w for line in lines if (w := _width(line)) <= PAD)])
+                wide[i] = max([wide.get(i, 0), *(w for line in lines if (w := _width(line)) <= most)])
         out = []
         for cells in grid:
             for k in range(max([0, *map(len, cells)])):
                 line = ""
                 for i, lines in enumerate(cells):
                     part = lines[k] if k < len(lines) else ""
-                    line += part + " " * (wide[i] - _width(part) + 2)
+                    line += part + " " * max(2, wide[i] - _width(part) + 2)
                 out.append(line.rstrip(" "))
         head = self.render(before)
         return "\n".join(([head] if head else []) + out)

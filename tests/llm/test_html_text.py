@@ -34,6 +34,17 @@ def test_layout(page, text):
     assert page_text(page) == text
 
 
+def test_wide_cells_are_padded_for():
+    wide = "x" * 100
+    assert page_text(f"<table><tr><td>{wide}<td>next<tr><td>a<td>b</table>") == f"{wide}  next\na{' ' * 101}b"
+
+
+def test_cells_too_wide_to_pad_for_stay_apart():
+    wide = "x" * 50_000
+    lines = page_text(f"<table><tr><td>{wide}<td>next{'<tr><td>a<td>b' * 1000}</table>").split("\n")
+    assert lines == [f"{wide}  next"] + ["a  b"] * 1000
+
+
 def test_every_visible_word_stays_in_order():
     rng = random.Random(5)
     tags = "p div ul li table tr td b i h1 section span blockquote dl dt dd thead".split()
