@@ -6,7 +6,8 @@ following tag implies.  All text that is visible is then written in order: block
 their own, paragraphs, headings, lists and tables apart by an empty line, list items with bullets
 or numbers and indented by depth, preformatted text as it is, and table cells in columns padded
 to one width.  What is hidden is left out: by its element, by the ``hidden`` attribute, by its
-style, by a simple selector of the page's own style sheet, or in a closed ``details``.
+style, by the page's own style sheets as :mod:`page_style` reads them, or in a closed ``details``.
+What ``visibility`` hides can hold elements that are visible again.
 
 Defined results: a null or empty page has an empty text; broken tags and stray ends never fail;
 nesting of any depth is walked without recursion, and tables within :data:`TABLES` tables are
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch.llm.common import by_texts, column
+from rankmatch.llm.page_style import Said, Sheets, on_screen, own_style
 
 # Widest column that shorter cells are always padded for, characters up to which a table is padded for wider
 # ones too, and deepest nesting of laid-out tables.
@@ -80,16 +82,15 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
-_HIDES = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"[.#]?[\w-]+")
+# Whether an element is shown: not at all, without its own text, or with it.
+NONE, MUTE, SHOWN = range(3)
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "state")
 
     def __init__(self, tag: str, attributes: dict[str, str] | None = None):
-        self.tag, self.attributes, self.children = tag, attributes or {}, []
+        self.tag, self.attributes, self.children, self.state = tag, attributes or {}, [], SHOWN
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -126,13 +127,15 @@ class Tree:
             if match[1]:
                 self.end(tag)
                 continue
-            self.begin(tag, _attributes(match[3]))
+            attributes = _attributes(match[3])
+            self.begin(tag, attributes)
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 content = page[at : stop.start() if stop else len(page)]
                 at = stop.end() if stop else len(page)
                 if tag == "style":
-                    self.sheet.append(content)
+                    if not self.open.get("noscript") and on_screen(attributes.get("media", "")):
+                        self.sheet.append(content)
                 elif tag in ("textarea", "xmp") and content:
                     self.stack[-1].children.append(unescape(content) if tag == "textarea" else content)
                 self.pop(len(self.stack) - 1)
@@ -212,16 +215,6 @@ class Tree:
                     break
 
 
-def _hiding_selectors(sheets: list[str]) -> frozenset[str]:
-    """Selectors of one element name, class or id whose rule hides what they match."""
-    found = set()
-    for sheet in sheets:
-        for selectors, body in _RULE.findall(sheet):
-            if _HIDES.search(body):
-                found.update(s for x in selectors.split(",") if _SIMPLE.fullmatch(s := x.strip()))
-    return frozenset(found)
-
-
 def _width(text: str) -> int:
     return len(text) if text.isascii() else sum(2 if east_asian_width(c) in "WF" else 1 for c in text)
 
@@ -287,32 +280,45 @@ class Writer:
 
 class Renderer:
     def __init__(self, tree: Tree):
-        self.hiding = _hiding_selectors(tree.sheet)
-        self.tables = 0
+        self.sheets, self.styles, self.tables = Sheets(tree.sheet), {}, 0
+        stack = [(tree.root, True)]
+        while stack:
+            e, visible = stack.pop()
+            display, visibility = self.styled(e)
+            if display == "none" or visibility == "collapse" and (e.tag == "tr" or e.tag in GROUPS):
+                e.state = NONE
+                continue
+            if visibility != "inherit":
+                visible = visibility == "visible"
+            e.state = SHOWN if visible else MUTE
+            stack.extend((c, visible) for c in e.children if isinstance(c, Element))
 
-    def hidden(self, e: Element) -> bool:
-        if e.tag in HIDDEN:
-            return True
+    def styled(self, e: Element) -> tuple[str, str]:
+        """Whether an element's ``display`` is "none", and its ``visibility``."""
         a = e.attributes
-        if self.hiding and (
-            e.tag in self.hiding
-            or "id" in a and f"#{a['id']}" in self.hiding
-            or "class" in a and any(f".{c}" in self.hiding for c in a["class"].split())
+        if e.tag in HIDDEN or (
+            e.tag == "input" and a.get("type", "").lower() not in ("submit", "button", "reset")
         ):
-            return True
-        if not a:
-            return False
-        if "hidden" in a or "style" in a and _HIDES.search(a["style"]):
-            return True
-        return e.tag == "input" and a.get("type", "").lower() not in ("submit", "button", "reset") or (
-            e.tag == "dialog" and "open" not in a
-        )
+            return "none", "inherit"
+        said: Said = self.sheets.of(e.tag, a) if self.sheets.rules else {}
+        if "style" in a:
+            if (text := a["style"]) not in self.styles:
+                self.styles[text] = own_style(text)
+            own = self.styles[text]
+            said = said | {x: max(ranked, said.get(x, ranked)) for x, ranked in own.items()}
+        display = said["display"][1] if "display" in said else "default"
+        if display == "default" and ("hidden" in a or e.tag == "dialog" and "open" not in a):
+            display = "none"
+        return display, said["visibility"][1] if "visibility" in said else "inherit"
+
+    def hidden(self, e: Element) -> bool:
+        return e.state == NONE
 
     def render(self, top: Element) -> str:
         """The visible text of an element, walked with a stack of its own."""
         out = Writer()
         numbers: list[int | None] = []
-        stack: list[tuple[object, bool]] = [(c, True) for c in reversed(top.children)]
+        stack: list[tuple[object, bool]] = [(c, True) for c in reversed(self.shown(top, top.children))]
         literal = 1 if top.tag == "pre" else 0
         while stack:
             node, enter = stack.pop()
@@ -339,7 +345,8 @@ class Renderer:
                 out.broken(1)
                 continue
             if tag == "input":
-                out.inline(f" {node.attributes.get('value', '')} ")
+                if node.state == SHOWN:
+                    out.inline(f" {node.attributes.get('value', '')} ")
                 continue
             if tag in BLOCK:
                 out.broken(size)
@@ -365,6 +372,8 @@ class Renderer:
                     out.bullet = f"{numbers[-1]}. "
                     numbers[-1] += 1
                 out.indents.append(" " * len(out.bullet))
+                if node.state == MUTE:
+                    out.bullet = ""
             elif tag in ("blockquote", "dd"):
                 out.indents.append("  ")
             if tag in ("pre", "textarea", "xmp"):
@@ -372,9 +381,13 @@ class Renderer:
                 if children and isinstance(children[0], str) and children[0].startswith("\n"):
                     children = [children[0][1:], *children[1:]]
             stack.append((node, False))
-            stack.extend((c, True) for c in reversed(children))
+            stack.extend((c, True) for c in reversed(self.shown(node, children)))
         return out.text()
 
+    @staticmethod
+    def shown(e: Element, children: list) -> list:
+        return children if e.state == SHOWN else [c for c in children if isinstance(c, Element)]
+
     def shown_options(self, select: Element) -> list[Element]:
         found, stack = [], list(reversed(select.children))
         while stack:
@@ -390,7 +403,7 @@ class Renderer:
 
     def table(self, table: Element) -> str:
         """Rows on lines, cells in columns of one width; what is no cell comes before."""
-        before, rows, stack = Element("div"), [], list(reversed(table.children))
+        before, rows, stack = Element("div"), [], list(reversed(self.shown(table, table.children)))
         while stack:
             node = stack.pop()
             if isinstance(node, str):
@@ -398,7 +411,7 @@ class Renderer:
             elif self.hidden(node):
                 continue
             elif node.tag in GROUPS:
-                stack.extend(reversed(node.children))
+                stack.extend(reversed(self.shown(node, node.children)))
             elif node.tag == "tr":
                 rows.append(node)
             else:
@@ -407,7 +420,7 @@ class Renderer:
         below: dict[int, int] = {}
         for row in rows:
             cells: list[list[str]] = []
-            for cell in row.children:
+            for cell in self.shown(row, row.children):
                 if isinstance(cell, str):
                     if not cell.strip(" \t\n\r\f\v"):
                         continue

@@ -45,6 +45,52 @@ def test_cells_too_wide_to_pad_for_stay_apart():
     assert lines == [f"{wide}  next"] + ["a  b"] * 1000
 
 
+@pytest.mark.parametrize(
+    "sheet, text",
+    [
+        ("@media print{.a{display:none}}", "A B C"),
+        ("@media (max-width:600px){.a{display:none}}", "A B C"),
+        ("@media screen and (min-width:40em) and (max-width:2000px){.a{display:none}}", "C"),
+        ("@media (400px <= width <= 700px), print{.a{display:none}} .b{display:none}", "A C"),
+        ("@media not print{.b{display:none}}", "A C"),
+        ("@media not (min-width:9999px){@supports (display:grid){.b{display:none}}}", "A C"),
+        ("@supports not (display:grid){.a{display:none}}", "A B C"),
+        ("@keyframes x{from{visibility:hidden}} @import 'x'; .b{display:none}", "A C"),
+        ("/* .a{display:none} */ .b/**/{/*}*/display:none}", "A C"),
+        ("i{content:'}.a{display:none}'} .b{display:none", "A C"),
+        (".a{display:none} .a{display:block}", "A B C"),
+        (".a{display:none!important} .a{display:block}", "C"),
+        ("#x{display:none} .a{display:inline}", "C"),
+        (".a{display:none} i.a{display:inline}", "A B C"),
+        (".a{display:none} .a:hover{display:inline} .z .a{display:inline}", "C"),
+        (".a{@media print{display:none}}", "A B C"),
+        (".sm\\:on{display:inline} .b{display:none}", "A C"),
+        (":not(.a,.b,.c){display:none}", "A B C"),
+        ("#x{visibility:hidden} .b{visibility:visible}", "B C"),
+    ],
+)
+def test_style_sheets(sheet, text):
+    page = f"<style>{sheet}</style><i class='a' id=x>A <b class='b'>B</b></i> <u>C</u>"
+    assert page_text(page) == text
+
+
+def test_styles_of_elements_and_of_media():
+    assert page_text("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p>no</div>") == "yes"
+    assert page_text("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>") == "  yes"
+    assert page_text("<style>.x{display:none!important}</style><i class=x style='display:block'>no</i>yes") == "yes"
+    assert page_text("<style>.x{display:none}</style><i class=x style='display:block'>yes</i>") == "yes"
+    assert page_text("<style>.x{display:flex}</style><i class=x hidden>yes</i><i hidden>no</i>") == "yes"
+    assert page_text("<style media=print>i{display:none}</style><i>yes</i>") == "yes"
+    assert page_text("<noscript><style>i{display:none}</style></noscript><i>yes</i>") == "yes"
+
+
+def test_broken_style_sheets_never_fail():
+    rng = random.Random(8)
+    parts = ["{", "}", ";", ":", "@media", "(", ")", "print", ".a", "#", "display:none", "/*", "*/", "\"", "@", "\\", "not", "min-width", "<", ","]
+    for _ in range(5000):
+        page_text("<style>" + "".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) + "</style><i class=a>x")
+
+
 def test_every_visible_word_stays_in_order():
     rng = random.Random(5)
     tags = "p div ul li table tr td b i h1 section span blockquote dl dt dd thead".split()
