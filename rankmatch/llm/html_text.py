@@ -7,7 +7,8 @@ their own, paragraphs, headings, lists and tables apart by an empty line, list i
 or numbers and indented by depth, preformatted text as it is, and table cells in columns padded
 to one width.  What is hidden is left out: by its element, by the ``hidden`` attribute, by its
 style, by the page's own style sheets as :mod:`page_style` reads them, or in a closed ``details``.
-What ``visibility`` hides can hold elements that are visible again.
+What ``visibility`` hides can hold elements that are visible again.  Formulas, the labels of drawings,
+the contents of image maps and the values of inputs are text like any other.
 
 Defined results: a null or empty page has an empty text; broken tags and stray ends never fail;
 nesting of any depth is walked without recursion, and tables within :data:`TABLES` tables are
@@ -44,9 +45,25 @@ VOID = names("area base br col embed hr img input link meta param source track w
 RAW = names("script style textarea title xmp iframe noembed noframes")
 HEAD = names("base link meta script style template title")
 HIDDEN = names(
-    "head script style template title noscript iframe noembed noframes object audio video canvas svg math "
-    "datalist map area param source track meta link base col colgroup"
+    "head script style template title noscript iframe noembed noframes object audio video canvas "
+    "datalist area param source track meta link base col colgroup annotation annotation-xml"
 )
+# In drawings only text elements, which are told from HTML by name, and these are shown, and nothing of those.
+LABEL, DRAWN = "svg:text", names("foreignobject")
+UNDRAWN = names(
+    "title desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter script style"
+)
+# Formulas whose parts stand over, under or beside one another.
+APART = names("mfrac msub msup msubsup munder mover munderover mmultiscripts mroot mtable mtr mlabeledtr")
+# HTML tags that end a drawing or a formula, and elements inside these that hold HTML.
+LEAVES = names(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var"
+)
+HOLDS = names("svg math")
+MARKS = HOLDS | names("foreignobject desc mi mo mn ms mtext annotation-xml")
+# Inputs that show no text: marks, pickers, pictures, and what is to be unseen.
+UNREAD = names("hidden password checkbox radio file image color range")
 MARGIN = names("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset")
 BLOCK = MARGIN | names(
     "html body address article aside center details dialog dd div dir dt fieldset figcaption footer form header "
@@ -81,6 +98,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+_UNQUOTED = re.compile(r"=\s*+[^\s\"'][^\s]*+\Z")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 # Whether an element is shown: not at all, without its own text, or with it.
 NONE, MUTE, SHOWN = range(3)
@@ -112,6 +130,8 @@ class Tree:
         self.stack = [self.root, self.body]
         self.open: dict[str, int] = {"html": 1, "body": 1}
         self.begun = False
+        # Where drawings and formulas, and elements in them that hold HTML, are in the stack.
+        self.marks: list[int] = []
         self.sheet: list[str] = []
         at = 0
         while True:
@@ -128,6 +148,10 @@ class Tree:
                 self.end(tag)
                 continue
             attributes = _attributes(match[3])
+            if self.foreign(tag, match[3]):
+                self.push(Element(tag, attributes))
+                self.pop(len(self.stack) - 1)
+                continue
             self.begin(tag, attributes)
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
@@ -149,6 +173,8 @@ class Tree:
 
     def push(self, element: Element, parent: Element | None = None) -> None:
         (parent or self.stack[-1]).children.append(element)
+        if element.tag in MARKS:
+            self.marks.append(len(self.stack))
         self.stack.append(element)
         self.open[element.tag] = self.open.get(element.tag, 0) + 1
 
@@ -157,6 +183,8 @@ class Tree:
         for element in self.stack[max(depth, 2) :]:
             self.open[element.tag] -= 1
         del self.stack[max(depth, 2) :]
+        while self.marks and self.marks[-1] >= len(self.stack):
+            self.marks.pop()
 
     def close(self, wanted: frozenset[str], bounds: frozenset[str]) -> bool:
         """Close the outermost open element of these names above the first bound."""
@@ -174,6 +202,17 @@ class Tree:
         self.pop(found)
         return True
 
+    def foreign(self, tag: str, attributes: str) -> bool:
+        """Whether this is an element without content of a drawing or formula; HTML tags end these."""
+        closed = attributes.endswith("/") and not _UNQUOTED.search(attributes)
+        if tag in HOLDS:
+            return closed
+        inside = self.stack[self.marks[-1]].tag in HOLDS if self.marks else False
+        if inside and tag in LEAVES:
+            self.pop(self.marks[-1])
+            return False
+        return inside and closed
+
     def begin(self, tag: str, attributes: dict[str, str]) -> None:
         if tag in ("html", "head", "body"):
             if tag == "body":
@@ -281,23 +320,35 @@ class Writer:
 class Renderer:
     def __init__(self, tree: Tree):
         self.sheets, self.styles, self.tables = Sheets(tree.sheet), {}, 0
-        stack = [(tree.root, True)]
+        stack = [(tree.root, True, False)]
         while stack:
-            e, visible = stack.pop()
+            e, visible, drawing = stack.pop()
             display, visibility = self.styled(e)
+            if drawing and e.tag in UNDRAWN:
+                display = "none"
             if display == "none" or visibility == "collapse" and (e.tag == "tr" or e.tag in GROUPS):
                 e.state = NONE
                 continue
             if visibility != "inherit":
                 visible = visibility == "visible"
-            e.state = SHOWN if visible else MUTE
-            stack.extend((c, visible) for c in e.children if isinstance(c, Element))
+            visible &= e.tag != "mphantom"
+            if drawing and e.tag == "text":
+                e.tag = LABEL
+                drawing = False
+            drawing = e.tag == "svg" or drawing and e.tag not in DRAWN
+            e.state = SHOWN if visible and not drawing else MUTE
+            children = [c for c in e.children if isinstance(c, Element)]
+            if drawing and e.tag == "switch":
+                for child in children:
+                    child.state = NONE
+                children = [c for c in children if "requiredextensions" not in c.attributes][:1]
+            stack.extend((c, visible, drawing) for c in children)
 
     def styled(self, e: Element) -> tuple[str, str]:
         """Whether an element's ``display`` is "none", and its ``visibility``."""
         a = e.attributes
         if e.tag in HIDDEN or (
-            e.tag == "input" and a.get("type", "").lower() not in ("submit", "button", "reset")
+            e.tag == "input" and a.get("type", "").strip().lower() in UNREAD
         ):
             return "none", "inherit"
         said: Said = self.sheets.of(e.tag, a) if self.sheets.rules else {}
@@ -336,6 +387,8 @@ class Renderer:
                 literal -= tag in ("pre", "textarea", "xmp")
                 if tag in BLOCK:
                     out.broken(size)
+                elif tag == LABEL:
+                    out.inline(" ")
                 continue
             if self.hidden(node):
                 continue
@@ -350,7 +403,11 @@ class Renderer:
                 continue
             if tag in BLOCK:
                 out.broken(size)
+            elif tag == LABEL:
+                out.inline(" ")
             children = node.children
+            if tag in APART:
+                children = [part for child in children for part in (child, " ")]
             if tag == "table" and self.tables < TABLES:
                 self.tables += 1
                 text = self.table(node)

@@ -74,6 +74,27 @@ def test_style_sheets(sheet, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds", "so x=1 2 holds"),
+        ("<math><semantics><msup><mi>c</mi><mn>2</mn></msup><annotation>c^2</annotation></semantics></math>", "c 2"),
+        ("<math><mphantom><mi>no</mi></mphantom><mspace/><mi>y</mi></math>", "y"),
+        ("a<svg><title>no</title><desc>no</desc><g>no<text>A<tspan>B</tspan></text><text>C</text></g></svg>b", "a AB C b"),
+        ("<svg><defs><text>no</text></defs><metadata>no</metadata><title/><defs/><rect/><text>yes</text></svg>", "yes"),
+        ("<svg><foreignObject><div>in</div></foreignObject></svg>out", "in\nout"),
+        ("<svg><switch><foreignObject><p>one</p></foreignObject><text>two</text></switch></svg>", "one"),
+        ("<svg/>a<svg><path d='M0 0'>no<p>yes", "a\n\nyes"),
+        ("<svg style='visibility:hidden'><text>no</text></svg><text>y</text>es", "yes"),
+        ("<map name=m><a href=x>yes</a><area alt=no></map>", "yes"),
+        ("<input value=a> <input type=email value=b><input type=hidden value=no><input type=password value=no>", "a b"),
+        ("<input type=checkbox value=no><input type=radio value=no>x<input type=submit value=go>", "x go"),
+    ],
+)
+def test_formulas_drawings_maps_and_inputs(page, text):
+    assert page_text(page) == text
+
+
 def test_styles_of_elements_and_of_media():
     assert page_text("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p>no</div>") == "yes"
     assert page_text("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>") == "  yes"
@@ -84,6 +105,14 @@ def test_styles_of_elements_and_of_media():
     assert page_text("<noscript><style>i{display:none}</style></noscript><i>yes</i>") == "yes"
 
 
+def test_broken_and_deep_drawings_never_fail():
+    rng = random.Random(9)
+    parts = ["<svg>", "</svg>", "<text>", "<g/>", "<math>", "<mi>", "</mi>", "<p>", "x", "<foreignObject>", "</table>", "<table>", "<td>"]
+    for _ in range(5000):
+        page_text("".join(rng.choice(parts) for _ in range(rng.randint(0, 20))))
+    assert page_text("<svg>" + "<g>" * 50_000 + "<text>x") == "x" == page_text("<math>" + "<mrow>" * 50_000 + "x")
+
+
 def test_broken_style_sheets_never_fail():
     rng = random.Random(8)
     parts = ["{", "}", ";", ":", "@media", "(", ")", "print", ".a", "#", "display:none", "/*", "*/", "\"", "@", "\\", "not", "min-width", "<", ","]
