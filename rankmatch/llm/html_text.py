@@ -13,7 +13,7 @@ the contents of image maps and the values of inputs are text like any other.
 Defined results: a null or empty page has an empty text; broken tags and stray ends never fail;
 nesting of any depth is walked without recursion, and tables within :data:`TABLES` tables are
 laid out as plain blocks; every cell is whole, counts for the width of its column and has two blanks
-after it, and only where that would pad a table to over :data:`ROOM` characters are lines wider
+after it, rows reach as far as their section and columns to HTML's own 1000, and only where that would pad a table to over :data:`ROOM` characters are lines wider
 than :data:`PAD` not padded for; rows with a null or repeated id, and equal rows, are each rendered
 alone; an empty table gives an empty result.  Columns other than the id and the page are not read.
 """
@@ -460,23 +460,34 @@ class Renderer:
 
     def table(self, table: Element) -> str:
         """Rows on lines, cells in columns of one width; what is no cell comes before."""
-        before, rows, stack = Element("div"), [], list(reversed(self.shown(table, table.children)))
+        before, rows = Element("div"), []
+        # Nodes with the section of the table that they are in.
+        stack: list[tuple[object, Element]] = [(c, table) for c in reversed(self.shown(table, table.children))]
         while stack:
-            node = stack.pop()
+            node, section = stack.pop()
             if isinstance(node, str):
                 before.children.append(node)
             elif self.hidden(node):
                 continue
             elif node.tag in GROUPS:
-                stack.extend(reversed(self.shown(node, node.children)))
+                stack.extend((c, node) for c in reversed(self.shown(node, node.children)))
             elif node.tag == "tr":
-                rows.append(node)
+                rows.append((node, section))
             else:
                 before.children.append(node)
-        grid: list[list[list[str]]] = []
-        below: dict[int, int] = {}
-        for row in rows:
-            cells: list[list[str]] = []
+        ends = list(range(1, len(rows) + 1))
+        for r in range(len(rows) - 2, -1, -1):
+            if rows[r][1] is rows[r + 1][1]:
+                ends[r] = ends[r + 1]
+        # The cells of each row by their first column.
+        grid: list[dict[int, list[str]]] = []
+        # Columns, from and to, that cells of earlier rows reach into, and the row before which they end.
+        below: list[tuple[int, int, int]] = []
+        for r, (row, _) in enumerate(rows):
+            cells: dict[int, list[str]] = {}
+            below = [b for b in below if b[2] > r]
+            reaching: list[tuple[int, int, int]] = []
+            at = met = 0
             for cell in self.shown(row, row.children):
                 if isinstance(cell, str):
                     if not cell.strip(" \t\n\r\f\v"):
@@ -490,42 +501,52 @@ class Renderer:
                     if cell.tag not in ("td", "th"):
                         cell_element = Element("td")
                         cell_element.children.append(cell)
-                    span, down = _span(cell, "colspan"), _span(cell, "rowspan")
-                self.skip(cells, below)
-                for k in range(span):
-                    if down > 1:
-                        below[len(cells)] = down - 1
-                    cells.append(self.render(cell_element).split("\n") if k == 0 else [])
-            self.skip(cells, below)
+                    span, down = min(max(_span(cell, "colspan"), 1), 1000), _span(cell, "rowspan")
+                while met < len(below) and below[met][0] <= at:
+                    at = max(at, below[met][1])
+                    met += 1
+                cells[at] = self.render(cell_element).split("\n")
+                until = min(r + down, ends[r]) if down else ends[r]
+                if until > r + 1:
+                    reaching.append((at, at + span, until))
+                at += span
             grid.append(cells)
-        height = sum(max([0, *map(len, cells)]) for cells in grid)
-        most = max(PAD, ROOM // max(height * max([0, *map(len, grid)]), 1))
-        wide: dict[int, int] = {}
+            if reaching:
+                joined: list[tuple[int, int, int]] = []
+                for b in sorted(below + reaching):
+                    if joined and joined[-1][1] >= b[0] and joined[-1][2] == b[2]:
+                        b = (joined[-1][0], max(joined.pop()[1], b[1]), b[2])
+                    joined.append(b)
+                below = joined
+        wide: dict[int, int] = dict.fromkeys(sorted({i for cells in grid for i in cells}), 0)
+        height = sum(max([0, *map(len, cells.values())]) for cells in grid)
+        most = max(PAD, ROOM // max(height * len(wide), 1))
         for cells in grid:
-            for i, lines in enumerate(cells):
-                wide[i] = max([wide.get(i, 0), *(w for line in lines if (w := _width(line)) <= most)])
+            for i, lines in cells.items():
+                wide[i] = max([wide[i], *(w for line in lines if (w := _width(line)) <= most)])
+        # Columns in which no cell begins take no room.
+        starts, upto = {}, 0
+        for i, width in wide.items():
+            starts[i] = upto
+            upto += width + 2
         out = []
         for cells in grid:
-            for k in range(max([0, *map(len, cells)])):
-                line = ""
-                for i, lines in enumerate(cells):
-                    part = lines[k] if k < len(lines) else ""
-                    line += part + " " * max(2, wide[i] - _width(part) + 2)
-                out.append(line.rstrip(" "))
+            for k in range(max([0, *map(len, cells.values())])):
+                line, width = [], 0
+                for i, lines in cells.items():
+                    if k < len(lines) and lines[k]:
+                        gap = max(starts[i] - width, 2 if line else 0)
+                        line += (" " * gap, lines[k])
+                        width += gap + _width(lines[k])
+                out.append("".join(line).rstrip(" "))
         head = self.render(before)
         return "\n".join(([head] if head else []) + out)
 
-    @staticmethod
-    def skip(cells: list[list[str]], below: dict[int, int]) -> None:
-        """Leave out the columns that a cell of an earlier row still reaches into."""
-        while below.get(len(cells), 0):
-            below[len(cells)] -= 1
-            cells.append([])
-
 
 def _span(cell: Element, name: str) -> int:
-    value = cell.attributes.get(name, "1")
-    return min(max(int(value), 1), 100) if re.fullmatch(r"[0-9]{1,6}", value) else 1
+    """A number of columns or rows; 0 rows are all that the section still has."""
+    digits = re.match(r"\s*\+?([0-9]{1,9})", cell.attributes.get(name, "1"))
+    return int(digits[1]) if digits else 1
 
 
 def page_text(page: str | None) -> str:

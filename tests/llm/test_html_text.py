@@ -39,6 +39,24 @@ def test_wide_cells_are_padded_for():
     assert page_text(f"<table><tr><td>{wide}<td>next<tr><td>a<td>b</table>") == f"{wide}  next\na{' ' * 101}b"
 
 
+def test_cells_over_many_rows_and_columns():
+    rows = "<tr><td>b" * 299
+    assert page_text(f"<table><tr><td rowspan=300>a<td>b{rows}</table>").split("\n") == ["a  b"] + ["   b"] * 299
+    assert page_text(f"<table><tr><td rowspan=0>a<td>b{rows}</table>").split("\n") == ["a  b"] + ["   b"] * 299
+    # A cell does not reach out of its section.
+    text = page_text("<table><thead><tr><th rowspan=0>h<th>i<tr><th>j</thead><tbody><tr><td rowspan=9>a<td>b</tbody></table>")
+    assert text == "h  i\n   j\na  b"
+    assert page_text("<table><tr><td>a<td rowspan=2>b<td rowspan=3>c<tr><td>d<tr><td>e<td>f</table>") == "a  b  c\nd\ne  f"
+    cells = "".join(f"<td>{i % 10}" for i in range(150))
+    lines = page_text(f"<table><tr>{cells}<td>x<tr><td colspan=150>w<td>x</table>").split("\n")
+    assert lines[0].index("x") == lines[1].index("x") == 450
+
+
+def test_tables_of_wide_spans_stay_small():
+    for cell in ("<td colspan=1000>", "<td colspan=1000 rowspan=0>"):
+        assert page_text(f"<table><tr>{cell * 20_000}x{'<tr><td>y' * 500}</table>").count("y") == 500
+
+
 def test_cells_too_wide_to_pad_for_stay_apart():
     wide = "x" * 50_000
     lines = page_text(f"<table><tr><td>{wide}<td>next{'<tr><td>a<td>b' * 1000}</table>").split("\n")
