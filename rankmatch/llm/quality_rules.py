@@ -8,7 +8,7 @@ rejected, as is one that breaks a plain rule.
 The estimate takes concentration steps over all rows: each is one aggregate that finds, per
 group, the distance below which three quarters of the rows lie, and one that sums the vectors
 below it.  Both are combined per task, so a group with a third of all rows is no single task's
-work.  Two starts are carried at once, the medians with the median deviations, and the means
+work.  A group takes steps until its determinant settles.  Two starts are carried at once, the medians with the median deviations, and the means
 with the covariance of all rows; the one of smaller determinant stays.
 
 Groups of fewer than ``least`` rows are pooled by language, and what is still too small over all
@@ -16,14 +16,15 @@ languages; a pool that remains too small rejects nothing.
 
 Defined results: a null or empty text has no words and fails the base rule; null languages and
 sources are groups like any other; a null or repeated id and equal rows are each judged alone; a
-statistic that is the same in nearly all rows has a floor under its spread, so it cannot make a
-covariance singular; an empty table gives an empty result.  Other columns are not read.
+statistic, or mix of them, that is the same in nearly all rows has a floor under its spread, so it
+cannot make a covariance singular, and any larger spread stays as estimated; an empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,19 +87,21 @@ def statistics(
 @dataclass(frozen=True)
 class Settings:
     """``inner``: share of a group's rows its estimate is fitted to.  ``floor``: least spread of each vector
-    element.  ``distance``: squared Mahalanobis distance, scaled so that its median is that of a chi-square,
-    above which a document is rejected; the default is its 0.9999 quantile.
+    element, which stands in for smaller ones only.  ``distance``: squared Mahalanobis distance, scaled so that
+    its median is that of a chi-square with as many degrees of freedom as spreads above the floor, above which
+    a document is rejected; the default is the 0.9999 quantile for five.  ``settled``: decrease of the
+    logarithm of a determinant up to which it has settled.
     """
 
     inner: float = 0.75
-    floor: tuple[float, ...] = (0.25, 0.1, 0.1, 0.1, 0.15)
+    floor: tuple[float, ...] = (0.05, 0.02, 0.05, 0.05, 0.05)
     distance: float = 25.74
     least: int = 50
-    steps: int = 4
+    settled: float = 1e-3
 
 
-# Median of the chi-square distribution with five degrees of freedom.
-_MIDDLE = 4.351460191
+# Medians of the chi-square distributions with one to five degrees of freedom.
+_MIDDLES = (0.454936423, 1.386294361, 2.365973884, 3.356693980, 4.351460191)
 _SIZE = len(COUNTS)
 
 
@@ -136,13 +139,18 @@ def _moments() -> list[Column]:
     ]
 
 
-def _shape(n: float, sums: np.ndarray, squares: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shape(
+    n: float, sums: np.ndarray, squares: np.ndarray, floor: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean, covariance, and how many of its spreads are above the floor."""
     mean = sums / n
     cov = np.zeros((_SIZE, _SIZE))
     for (i, j), value in zip(_MOMENTS, squares):
         cov[i, j] = cov[j, i] = value / n - mean[i] * mean[j]
-    # What rounding leaves of a spread of zero may be below it; the floor keeps the matrix regular.
-    return mean, cov + np.diag(floor**2)
+    # In units of the floor, each spread along an axis of the ellipsoid is one or more.
+    spreads, axes = np.linalg.eigh(cov / np.outer(floor, floor))
+    raised = (axes * np.maximum(spreads, 1)) @ axes.T
+    return mean, (cov if spreads[0] >= 1 else raised * np.outer(floor, floor)), int((spreads > 1).sum())
 
 
 def _params(settings: Settings):
@@ -153,10 +161,10 @@ def _params(settings: Settings):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                mean, cov = _shape(r["n"], np.array(r["s"]), np.array(r["q"]), floor)
+                mean, cov, free = _shape(r["n"], np.array(r["s"]), np.array(r["q"]), floor)
                 rows.append(
                     {"cell": r["cell"], "start": r["start"], "m": mean.tolist(),
-                     "p": np.linalg.inv(cov).ravel().tolist(), "det": float(np.linalg.slogdet(cov)[1])}
+                     "p": np.linalg.inv(cov).ravel().tolist(), "det": float(np.linalg.slogdet(cov)[1]), "free": free}
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_PARAMS)
 
@@ -165,9 +173,10 @@ def _params(settings: Settings):
 
 _LIST = pa.list_(pa.float64())
 _PARAMS = pa.schema(
-    [("cell", pa.string()), ("start", pa.int32()), ("m", _LIST), ("p", _LIST), ("det", pa.float64())]
+    [("cell", pa.string()), ("start", pa.int32()), ("m", _LIST), ("p", _LIST), ("det", pa.float64()),
+     ("free", pa.int32())]
 )
-_PARAMS_DDL = "cell string, start int, m array<double>, p array<double>, det double"
+_PARAMS_DDL = "cell string, start int, m array<double>, p array<double>, det double, free int"
 
 
 def cells(rows: DataFrame, least: int) -> DataFrame:
@@ -197,28 +206,42 @@ def estimates(points: DataFrame, settings: Settings, few: bool) -> DataFrame:
     away = points.join(near(centres), "cell")
     spread = away.groupBy("cell").agg(*[middle(F.abs(_x(i) - F.col(f"c{i}"))).alias(f"d{i}") for i in range(_SIZE)])
     # 1.4826 median deviations are a standard deviation of normal numbers.
-    variance = [F.pow(F.col(f"d{i}") * 1.4826, 2) + settings.floor[i] ** 2 for i in range(_SIZE)]
+    least = [F.lit(x) for x in settings.floor]
+    variance = [F.pow(F.greatest(F.col(f"d{i}") * 1.4826, least[i]), F.lit(2)) for i in range(_SIZE)]
     inverse = [1 / variance[i] if i == j else F.lit(0.0) for i in range(_SIZE) for j in range(_SIZE)]
     medians = centres.join(near(spread), "cell").select(
         "cell",
         F.lit(0).alias("start"),
         F.array(*[F.col(f"c{i}") for i in range(_SIZE)]).alias("m"),
         F.array(*inverse).alias("p"),
-        F.lit(0.0).alias("det"),
+        F.lit(None).cast("double").alias("det"),
+        F.lit(0).alias("free"),
     )
     whole = points.groupBy("cell").agg(*_moments()).withColumn("start", F.lit(1))
     now = store(medians.union(whole.mapInArrow(_params(settings), _PARAMS_DDL)), "estimates")
-    for _ in range(settings.steps):
+    now = now.withColumn("det", F.lit(None).cast("double"))
+    done: list[DataFrame] = []
+    while True:
         placed = points.join(near(now), "cell")
         limits = placed.groupBy("cell", "start").agg(middle(_distance(), settings.inner).alias("limit"))
         limits = store(now.join(near(limits), ["cell", "start"]), "limits")
         inside = points.join(near(limits), "cell").where(_distance() <= F.col("limit"))
-        fitted = inside.groupBy("cell", "start").agg(*_moments())
-        now = store(fitted.mapInArrow(_params(settings), _PARAMS_DDL), "estimates")
-    best = now.groupBy("cell").agg(F.min(F.struct("det", "start", "m", "p")).alias("b")).select("cell", "b.m", "b.p")
+        fitted = inside.groupBy("cell", "start").agg(*_moments()).mapInArrow(_params(settings), _PARAMS_DDL)
+        before = now.select("cell", "start", F.col("det").alias("before"))
+        moves = F.coalesce(F.col("det") < F.col("before") - settings.settled, F.lit(True))
+        # Of each group and start only the settled estimate is kept.
+        now = store(fitted.join(near(before), ["cell", "start"]).withColumn("moves", moves).drop("before"), "estimates")
+        done.append(now.where(~F.col("moves")).drop("moves"))
+        now = now.where("moves").drop("moves")
+        if now.isEmpty():
+            break
+    best = reduce(DataFrame.union, done).groupBy("cell").agg(F.min(F.struct("det", "start", "m", "p", "free")).alias("b"))
+    best = best.select("cell", "b.m", "b.p", "b.free")
     best = store(best, "best")
     middles = points.join(near(best), "cell").groupBy("cell").agg(middle(_distance()).alias("middle"))
-    scale = F.greatest(F.lit(1.0), F.col("middle") / _MIDDLE)
+    # The distances of most rows vary along the axes with a spread only; without any there is nothing to scale.
+    usual = F.get(F.array(*map(F.lit, _MIDDLES)), F.col("free") - 1)
+    scale = F.when((F.col("free") > 0) & (F.col("middle") > 0), F.col("middle") / usual).otherwise(1.0)
     return best.join(near(middles), "cell").join(near(centres.select("cell", "n")), "cell").select(
         "cell", "n", "m", "p", scale.alias("scale")
     )

@@ -73,6 +73,34 @@ def test_estimate_is_that_of_plain_concentration_steps(spark):
     assert np.abs(np.array(r.m)).max() < 0.5
 
 
+def estimate(spark, data, settings=quality_rules.Settings()):
+    columns = "cell string, " + ", ".join(f"x{i} double" for i in range(5))
+    points = spark.createDataFrame([("c", *map(float, r)) for r in data], columns)
+    r = quality_rules.estimates(points, settings, True).first()
+    return np.array(r.m), np.linalg.inv(np.array(r.p).reshape(5, 5)), r.scale
+
+
+def test_floor_is_a_minimum_of_the_spread():
+    floor = np.array(quality_rules.Settings().floor)
+    cov = np.diag((4 * floor) ** 2)
+    cov[3, 3] = cov[4, 4] = 0.0
+    squares = [cov[i, j] for i, j in quality_rules._MOMENTS]
+    _, got, *free = quality_rules._shape(1.0, np.zeros(5), np.array(squares), floor)
+    assert np.allclose(got, np.diag([*(4 * floor[:3]) ** 2, *floor[3:] ** 2]))
+    assert free == [3]
+
+
+def test_steps_go_on_until_the_estimate_settles(spark):
+    rng = np.random.default_rng(5)
+    # A wide cloud around a dense one that is not in the middle of it: the estimate moves slowly.
+    data = np.vstack([rng.normal(0, 1, (1200, 5)), rng.normal(0.0, 3, (1600, 5)) + [3, 3, 0, 0, 0]])
+    mean, cov, _ = estimate(spark, data)
+    off = data - mean
+    d = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+    inner = data[d <= np.sort(d)[int(0.75 * len(data)) - 1]]
+    assert np.linalg.slogdet(np.cov(inner.T, bias=True))[1] > np.linalg.slogdet(cov)[1] - 0.01
+
+
 def test_groups_by_shuffle_instead_of_broadcast(spark, monkeypatch):
     rows = corpus()[:150]
     want = sorted((r.doc_id, r.kept) for r in quality_rules.judge(docs(spark, rows)).collect())
