@@ -5,8 +5,9 @@ target, negation, reported speech or other; a slur is an insult only where it co
 the first softens what a negation governs, the second marks what is reported or quoted, the
 third ties insults and threats to a target close before or after them.  Their composition is
 one automaton, whose arcs carry the weights of the patterns they complete.  A clause's score is
-the weight of its path, and a document's log-odds are those of its matched clauses together; a
-word outside any pattern scores nothing.
+the weight of its path, and a document's log-odds are those of its matched clauses together, of each
+pattern at most eight matches.  A hostile word without a target is a pattern too, of less prior weight
+than a direct one; a word of another class outside any pattern scores nothing.
 
 The lexicon has fixed words for targets, negations, reports and threats.  Insults are learned:
 stems, that is word beginnings or whole words, whose first, second or third occurrence tells toxic
