@@ -67,7 +67,7 @@ def _with_earlier(step: int) -> Callable[[Column], Column]:
 
     def all_of(a: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            before = [F.coalesce(F.get(a, (i - j * step).cast("int")), F.lit(0)) for j in range(1, 8)]
+            before = [F.coalesce(F.get(a, (i - j * step).cast("int")), F.lit(0)) for j in range(1, 8) if j * step < 2**31]
             return x + sum(before[1:], before[0])
 
         return F.when(F.size(a) > step, F.transform(a, one)).otherwise(a)
@@ -76,8 +76,11 @@ def _with_earlier(step: int) -> Callable[[Column], Column]:
 
 
 def prefix_sums(values: Column) -> Column:
-    """Running sums of an array of up to two million numbers, in at most seven rounds of seven steps."""
-    for k in range(7):
+    """Running sums of an array, in rounds of seven steps: as many as its size asks for, at most 11.
+
+    Sizes are below 2 ** 31, and 11 rounds reach 8 ** 11 elements.
+    """
+    for k in range(11):
         values = let(values, _with_earlier(8**k))
     return values
 

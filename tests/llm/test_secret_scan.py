@@ -61,6 +61,13 @@ def test_running_sums(spark):
         assert got == [k * (k + 1) // 2 for k in range(1, n + 1)]
 
 
+def test_running_sums_of_over_two_million_numbers(spark):
+    n = 8**7 + 1
+    sums = secret_scan.prefix_sums(F.array_repeat(F.lit(1), F.col("n")))
+    got = spark.range(1).select(F.lit(n).alias("n")).select(F.element_at(sums, -1).alias("s")).first().s
+    assert got == n
+
+
 def test_plan_has_no_python(spark, model):
     plan = secret_scan.scan(docs(spark, edge_rows()), model)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
