@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmatch.llm import html_text, imatch, mixing, packing, pii, quality_model, quality_rules, secret_scan, simhash, toxicity
+from rankmatch.llm import (
+    filter_audit,
+    html_text,
+    imatch,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+    source_divergence,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +126,95 @@ def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+t AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+full_counts AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept ON g.lang = kept.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (
+  SELECT f.lang, f.source, f.term, f.n,
+    1 + (1000000000 * (f.n + 5)) // (sum(f.n) OVER (PARTITION BY f.lang, f.source) + 5 * v.v)::BIGINT AS p
+  FROM full_counts f JOIN v ON f.lang = v.lang),
+l AS (SELECT lang, term, sum(n)::BIGINT AS n FROM full_counts GROUP BY lang, term),
+q AS (
+  SELECT l.lang, l.term, 1 + (1000000000 * (l.n + 5)) // (sum(l.n) OVER (PARTITION BY l.lang) + 5 * v.v)::BIGINT AS q
+  FROM l JOIN v ON l.lang = v.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term
+  WHERE p.n > 0 AND p.p > q.q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.masks(docs, labels))
+
+
+ORACLE["op13_filter_audit"] = r"""
+WITH known AS (
+  SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
+  FROM documents),
+f AS (
+  SELECT d.part, coalesce(known.good, false) AS good, coalesce(known.toxic, false) AS toxic,
+    concat(CASE WHEN len(words) < 100 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS mask
+  FROM d LEFT JOIN known ON d.doc_id = known.doc_id),
+m AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS s FROM orders),
+lost AS (
+  SELECT m.*, o, (SELECT min(instr(o, x)) FROM letters WHERE contains(mask, x)) AS hit FROM m, orders),
+counted AS (
+  SELECT lost.part, steps.o, steps.s, sum(n) FILTER (hit IS NULL OR hit > s) AS kept,
+    sum(n) FILTER (hit = s) AS removed, sum(n) FILTER (hit < s AND contains(mask, o[s])) AS redundant,
+    sum(n) FILTER (mask = o[s]) AS unique_fails,
+    sum(good) FILTER (hit = s) AS good_lost, sum(toxic) FILTER (hit = s) AS toxic_lost
+  FROM lost JOIN steps USING (o) GROUP BY ALL)
+SELECT part, o AS filter_order, s::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept,
+  coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, o[s]), 0)::BIGINT AS shapley
+FROM counted
+"""
