@@ -17,6 +17,7 @@ from rankmatch.llm import (
     quality_model,
     quality_rules,
     secret_scan,
+    shingle_join,
     simhash,
     source_divergence,
     toxicity,
@@ -218,3 +219,27 @@ SELECT part, o AS filter_order, s::INTEGER AS step, coalesce(kept, 0)::BIGINT AS
   coalesce(sum(removed) OVER (PARTITION BY part, o[s]), 0)::BIGINT AS shapley
 FROM counted
 """
+
+
+@query
+def op12_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+ORACLE["op12_shingle_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS shingles
+  FROM d),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(shingles) AS n_shingles, min(reach.b) AS component_id
+FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, shingles
+"""
