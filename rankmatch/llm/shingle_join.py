@@ -384,7 +384,11 @@ def links(
     pairs = met.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct()
     pairs = store(attach(pairs, tried, ["a", "b"], "left_anti"), "later-pairs")
     second = _verified(pairs, sets, percent)
-    return components(first.union(second), "a", "b")
+    known = roots.withColumnRenamed("set_id", "node")
+    if second.isEmpty():
+        return known
+    # The stars found first stand for their links.
+    return components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second), "a", "b")
 
 
 def near_duplicates(
