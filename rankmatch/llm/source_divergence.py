@@ -197,8 +197,13 @@ def _price_tiles(key: tuple, table: pa.Table) -> pa.Table:
     row = np.repeat(np.arange(len(sources)), lengths)
     counts[row, places.flatten().to_numpy()] = table["counts"].combine_chunks().flatten().to_numpy()
     a, b = np.nonzero((tile[:, None] == low) & (tile[None, :] == high))
+    # A pair has the same first source in every block.
+    place = np.empty(len(sources), np.int64)
+    place[sorted(range(len(sources)), key=sources.__getitem__)] = np.arange(len(sources))
     if low == high:
-        a, b = a[a < b], b[a < b]
+        a, b = a[place[a] < place[b]], b[place[a] < place[b]]
+    else:
+        a, b = np.where(place[a] < place[b], a, b), np.where(place[a] < place[b], b, a)
     value = np.zeros(len(a), np.int64)
     if terms:
         forest = Forest(counts)

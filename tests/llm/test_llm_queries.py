@@ -2,11 +2,12 @@
 
 import hashlib
 
+import duckdb
 import pytest
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from rankmatch.llm import pii
+from rankmatch.llm import filter_audit, pii
 from rankmatch.llm.queries import ORACLE, QUERIES
 from tests.llm.helpers import HAVE_TABLES, SMALL, WORD
 from tests.llm.test_simhash import slow_print, slow_roots
@@ -24,11 +25,16 @@ COLUMNS = {
     "op8_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
     "op9_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_toxicity_grammar": ["doc_id", "held_out", "score", "predicted"],
+    "op12_shingle_join": ["doc_id", "n_shingles", "component_id"],
+}
+AUDITS = {
+    "op11_source_divergence": ["lang", "source", "part", "item", "value", "rank"],
+    "op13_filter_audit": ["part", "filter_order", "step", *filter_audit.COUNTS],
 }
 
 
 def test_registry():
-    assert set(COLUMNS) == set(QUERIES) and {*COLUMNS, "pipeline"} <= set(registry.queries())
+    assert {*COLUMNS, *AUDITS} == set(QUERIES) and {*COLUMNS, "pipeline"} <= set(registry.queries())
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -45,6 +51,17 @@ def test_query_covers_its_whole_table(spark, name):
         assert len(rows) == table.count()
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    df = registry.queries()[name](spark, SMALL)
+    want = con.execute(registry.oracle_sql()[name])
+    assert {**COLUMNS, **AUDITS}[name] == df.columns and [d[0] for d in want.description] == df.columns
+    assert sorted(map(tuple, df.collect())) == sorted(want.fetchall())
+
+
 def test_digests_of_base_spans(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     for r in registry.queries()["op1_pii_skip_chain"](spark, SMALL).collect():
