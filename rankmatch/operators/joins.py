@@ -25,11 +25,15 @@ HOT_ROWS = 1_000_000
 # A table is broadcast when its values take no more bytes than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# A task makes at most about so many pairs of one key.
+CELL_PAIRS = 1_000_000
+
 # A table with this column says itself how many rows have each key.
 ROWS = "__rows"
 
 _SALT = "__salt"
 _PARTS = "__parts"
+_ROW, _COLUMN = "__grid_row", "__grid_column"
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -149,7 +153,19 @@ def attach_stored(
     if table_bytes(table) <= BROADCAST_BYTES:
         columns = _columns(left, table, keys, how)
         return left.join(F.broadcast(table), list(keys), how).select(columns)
-    return lookup(left, table, keys, how, hot=hot_keys(left if source is None else source, keys))
+    return lookup(left, table, keys, how, hot=_hot_list(left if source is None else source, keys))
+
+
+def _hot_list(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The :func:`hot_keys` of ``df`` that fit a broadcast: where they do not, those of the most rows.
+
+    Keys with at least p parts are at most a p-th of all, so a few doublings of p suffice; a key left out
+    has fewer rows than any that is spread.
+    """
+    hot, parts = store(hot_keys(df, keys), "hot"), 1
+    while table_bytes(hot.where(F.col(_PARTS) >= parts)) > BROADCAST_BYTES:
+        parts *= 2
+    return hot.where(F.col(_PARTS) >= parts)
 
 
 def attach(
@@ -164,6 +180,72 @@ def attach(
     return attach_stored(left, store(table, "lookup", base), keys, how, source)
 
 
+def grid(left: DataFrame, table: DataFrame, keys: Sequence[str], cell_pairs: int | None = None) -> DataFrame:
+    """Every key with more than ``cell_pairs`` pairs of rows, and the grid its pairs are cut into.
+
+    The left rows of such a key go to ``__grid_row`` rows of cells and its table rows to
+    ``__grid_column`` columns.  Both follow from both counts, so that a cell has about ``cell_pairs``
+    pairs at most and as few rows as possible are repeated: each left row once per column, each table
+    row once per row.  Counts are combined per task before the shuffle.
+    """
+    most = CELL_PAIRS if cell_pairs is None else cell_pairs
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.where(~_any_null(keys)).groupBy(*map(quote, keys)).agg(F.count("*").cast("double").alias(name))
+
+    both = counted(left, "__n").join(counted(table, "__m"), list(keys))
+    cells = F.ceil(F.col("__n") * F.col("__m") / most).cast("double")
+    rows = F.least(F.col("__n"), cells, F.greatest(F.lit(1.0), F.ceil(F.sqrt(cells * F.col("__n") / F.col("__m"))).cast("double")))
+    return both.where(F.col("__n") * F.col("__m") > most).select(
+        *map(quote, keys), rows.cast("long").alias(_ROW), F.ceil(cells / rows).cast("long").alias(_COLUMN)
+    )
+
+
+def attach_pairs(
+    left: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    source: DataFrame | None = None,
+    base: str | None = None,
+    cell_pairs: int | None = None,
+) -> DataFrame:
+    """Join ``left`` to a ``table`` with many rows per key, of which some may be hot on both sides.
+
+    The pairs of a hot key are a grid of cells, each cell a task's work: no task makes more than
+    about ``cell_pairs`` pairs of one key, however its rows are dealt to the two sides.  Without
+    such a key this is :func:`attach`.  The list of hot keys is broadcast if it is small, else
+    looked up.
+    """
+    stored = store(table, "lookup", base)
+    if how not in ("inner", "left"):
+        return attach_stored(left, stored, keys, how, source)
+    keys = list(keys)
+    cut = store(grid(left if source is None else source, stored, keys, cell_pairs), "grid", base)
+    if cut.isEmpty():
+        return attach_stored(left, stored, keys, how, source)
+    columns = _columns(left, stored, keys, how)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def cells(df: DataFrame, own: str, other: str, alone: Column) -> DataFrame:
+        number = _spread(df)
+        flagged = attach_stored(df.withColumn("__number", number), cut, keys, "left")
+        mine = F.when(F.col(own).isNotNull(), F.pmod("__number", own)).otherwise(alone)
+        each = F.explode(F.sequence(zero, F.coalesce(other, one) - 1))
+        kept = [quoted(c) for c in df.columns]
+        wide = flagged.select(*kept, mine.alias("__own"), F.col(own).isNotNull().alias("__cut"), each.alias("__other"))
+        return wide.withColumnsRenamed({"__own": own, "__other": other})
+
+    # Rows without a key match nothing, so each may lie anywhere.
+    lonely = F.when(_any_null(keys), F.col("__number")).otherwise(zero)
+    one_side = cells(left, _ROW, _COLUMN, lonely)
+    two_side = cells(stored, _COLUMN, _ROW, zero).drop("__cut").withColumn("__met", F.lit(True))
+    # A hint, as a broadcast would put all pairs of a left task into one task again.
+    joined = one_side.join(two_side.hint("merge"), [*keys, _ROW, _COLUMN], how)
+    # A left row of a cut key meets some cell of its row of cells; the copies that meet none are no rows.
+    return joined.where(F.col("__met").isNotNull() | ~F.col("__cut")).select(columns)
+
+
 def _columns(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> list[str]:
     extra = [c for c in table.columns if c not in keys]
     clash = [c for c in extra if c in left.columns]

@@ -167,11 +167,15 @@ def rank_match(
     parent_id: str = S.PARENT_ID,
     keep_level: bool = False,
     join: Join = lookup,
+    pair_join: Join | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """The records that find a parent at their level, with the parent's id.
 
     ``multi="all"`` gives one row per parent, ``"first"`` the smallest parent id only.
-    ``extra_keys``, for instance the kingdom, must agree as well.
+    ``extra_keys``, for instance the kingdom, must agree as well.  ``pair_join`` puts records and
+    nodes together where a name may be hot on both sides; by default that is ``join``.  ``seen`` are
+    the :func:`within_values` if the records are only some of those that count for them.
     """
     columns = [c for c in records.columns if c != parent_id]
     out = list(map(quote, [*columns, parent_id]))
@@ -184,8 +188,9 @@ def rank_match(
         raise ValueError(f"multi must be 'all' or 'first', not {multi!r}")
     leveled = record_levels(records, levels, extra_keys)
     served = node_levels(nodes, levels, extra_keys, node_id)
-    served = keep_within(served, within_values(leveled, levels), levels, join)
-    pairs = join(leveled, served.withColumnRenamed(node_id, parent_id), [LEVEL_KEY], "inner")
+    seen = within_values(leveled, levels) if seen is None else seen
+    served = keep_within(served, seen, levels, join)
+    pairs = (pair_join or join)(leveled, served.withColumnRenamed(node_id, parent_id), [LEVEL_KEY], "inner")
     return pairs.withColumn("level", F.col(LEVEL_KEY)["level"]).select(out)
 
 

@@ -95,3 +95,58 @@ def test_repeated_ids_count_nulls_as_equal(spark):
     assert rows(joins.split_repeated(df.where("n <> 5"), "id")[0]) == sorted([("", 6), ("b", 3), (None, 4)], key=repr)
     longs = spark.createDataFrame([(1,), (1,), (2,)], "id long")
     assert rows(joins.split_repeated(longs, "id")[0]) == [(2,)]
+
+
+@pytest.fixture(scope="module")
+def both_hot(spark):
+    """A key with a third of the rows on either side, others with few, some without."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 40))
+    left = spark.range(900).select("id", key.alias("k"))
+    table = spark.range(240).select(F.col("id").alias("v"), key.alias("k"))
+    return left, table.where("k IS NULL OR k <> 'k5'")
+
+
+@pytest.mark.parametrize("limit", [0, joins.BROADCAST_BYTES])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("cell_pairs", [1, 50, 700, None])
+def test_pairs_of_keys_hot_on_both_sides(monkeypatch, both_hot, how, cell_pairs, limit):
+    left, table = both_hot
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    if how in ("left_semi", "left_anti"):
+        table = table.select("k").distinct()
+    got = joins.attach_pairs(left, table, ["k"], how, cell_pairs=cell_pairs)
+    assert rows(got) == rows(left.join(table, "k", how).select(*got.columns))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("__grid_row" in plan) == (cell_pairs is not None and how in ("inner", "left"))
+
+
+def test_cells_of_the_grid_are_bounded_and_full(both_hot):
+    left, table = both_hot
+    for most in (50, 700, 5000):
+        cut = {r["k"]: (r["__grid_row"], r["__grid_column"]) for r in joins.grid(left, table, ["k"], most).collect()}
+        n, m = (dict(df.where("k IS NOT NULL").groupBy("k").count().collect()) for df in (left, table))
+        assert set(cut) == {k for k in n if n[k] * m.get(k, 0) > most}
+        for k, (a, b) in cut.items():
+            # As few copies as a grid of this many cells can have, give or take the rounding.
+            assert (n[k] / a) * (m[k] / b) <= most and a <= n[k] and b <= 2 * m[k]
+            assert n[k] * b + m[k] * a <= 3 * (n[k] * m[k] / most * n[k] * m[k]) ** 0.5 + n[k] + m[k]
+
+
+def test_pairs_of_one_hot_key_lie_in_many_tasks(spark, both_hot):
+    left, table = both_hot
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = joins.attach_pairs(left, table, ["k"], cell_pairs=500).where("k = 'hot'")
+        tasks = got.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+        assert tasks[1] == 300 * 80 and tasks[0] <= tasks[1] / 4 and tasks[2] > 12
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_the_list_of_hot_keys_fits_a_broadcast(monkeypatch, spark, skewed):
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 60)
+    kept = joins._hot_list(skewed, ["k"])
+    assert rows(kept.select("k")) == [("hot",)]
