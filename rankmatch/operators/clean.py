@@ -21,6 +21,7 @@ from rankmatch.functions.names import (
     trim_blanks,
 )
 from rankmatch.operators.joins import Join, lookup
+from rankmatch.session import store_observed
 from rankmatch.settings import Correction
 
 
@@ -180,3 +181,58 @@ def clean_records(
             "taxonName": strip_markup(quoted("taxonName"), markup),
         }
     )
+
+
+def clean_and_store(
+    df: DataFrame,
+    keep: Sequence[str] = ("taxonName", "genericName", *S.RANKS),
+    base: str | None = None,
+    **options: object,
+) -> DataFrame:
+    """:func:`clean_records` as a stored table, with the raw checklist read once.
+
+    The values of every column are counted while the table is written, and the columns without a
+    value are left out when it is read back.
+    """
+    full = clean_records(df, empty_columns=(), keep=keep, **options)
+    counted = {c: F.count(quoted(c)) for c in full.columns if c not in keep}
+    stored, values = store_observed(full, "cleaned", counted, base)
+    return stored.drop(*[c for c, n in values.items() if n == 0])
+
+
+# Text that is a whole number, and text that is a number with a fraction or an exponent.
+_WHOLE = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """One row per column of strings: ``feature``, ``n_values``, ``n_long``, ``n_double`` and its ``type``.
+
+    A column is long if all its values are whole numbers in range, else double if all are numbers,
+    else string; a column without a value is a string.  All rows are looked at, in one aggregate:
+    a prefix could miss the one value that is no number.
+    """
+    struct = []
+    for name in df.columns:
+        value = quoted(name).cast("string")
+        # A failing try_cast is slow; the pattern keeps it to text that looks like a number.
+        whole = F.when(value.rlike(_WHOLE), value.try_cast("long")).isNotNull()
+        number = value.rlike(_NUMBER)
+        struct.append(
+            F.struct(
+                F.count(value).alias("n_values"), F.count_if(whole).alias("n_long"), F.count_if(number).alias("n_double")
+            ).alias(name)
+        )
+    one = df.agg(*struct)
+    long = one.unpivot([], [quoted(c) for c in df.columns], "feature", "counts").select("feature", "counts.*")
+    some = F.col("n_values") > 0
+    kind = F.when(some & (F.col("n_long") == F.col("n_values")), "long").when(
+        some & (F.col("n_double") == F.col("n_values")), "double"
+    )
+    return long.withColumn("type", kind.otherwise("string"))
+
+
+def with_inferred_types(df: DataFrame) -> DataFrame:
+    """``df`` with the types of :func:`infer_types`; one row per column comes to the driver."""
+    kinds = {r["feature"]: r["type"] for r in infer_types(df).collect()}
+    return df.select([quoted(c).cast(kinds[c]).alias(c) if kinds[c] != "string" else quoted(c) for c in df.columns])

@@ -1,18 +1,20 @@
-"""The whole matching job, from raw checklist and authority table to its six results."""
+"""The whole matching job, from raw checklist and authority table to its six results.
+
+Results are computed on request: a stage is stored when the first result that reads it is asked for.
+"""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Mapping, Sequence
-from functools import partial
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cached_property, partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmatch import settings as S
 from rankmatch.functions.names import quote
 from rankmatch.operators.homonyms import accepted_names, homonym_parents, parent_table, parents_by_rank
-from rankmatch.operators.joins import Join, attach, attach_stored, drop_keys
+from rankmatch.operators.joins import Join, attach, attach_pairs, attach_stored, drop_keys
 from rankmatch.operators.levels import (
     count_parents,
     rank_backbone,
@@ -27,10 +29,10 @@ from rankmatch.operators.match import (
     prepare_backbone,
     split_candidates,
 )
-from rankmatch.operators.reconcile import match_summary, reconcile
-from rankmatch.session import shared_dir, store
+from rankmatch.operators.reconcile import inspect, match_summary
+from rankmatch.session import shared_dir, store, store_observed
 from rankmatch.settings import Level
-from rankmatch.sources.files import write_csv
+from rankmatch.sources.files import read_records, string_schema, write_csv
 
 
 def assign_parents(
@@ -45,6 +47,7 @@ def assign_parents(
     parent_id: str = S.PARENT_ID,
     base: str | None = None,
     extra_keys: Sequence[str] = (),
+    only: Column | str | None = None,
 ) -> DataFrame:
     """Every unmatched record once: ``stage``, ``level``, ``n_parents`` and its parent.
 
@@ -55,6 +58,9 @@ def assign_parents(
 
     ``records`` should be a stored table: it is read once in full and, for the few columns
     each needs, to find lone targets and the orders of the family level.
+
+    ``only`` keeps the records that satisfy it.  What a parent depends on, the lone targets and the
+    orders of the family level, is still taken from all records; the searches see the kept ones.
     """
     columns = [c for c in records.columns if c != parent_id]
     records = records.select(*map(quote, columns))
@@ -76,7 +82,8 @@ def assign_parents(
             "lowest_rank", "level"
         )
 
-    first = homonym_parents(records, table, ranks, attach_stored)
+    wanted = records if only is None else records.where(only)
+    first = homonym_parents(wanted, table, ranks, attach_stored)
     found = count_parents(
         first,
         rank_backbone(backbone, kingdoms, ranks),
@@ -85,7 +92,7 @@ def assign_parents(
         waiting=F.col("homonym_parent").isNull(),
         seen=seen,
         join=attach_here,
-        source=records,
+        source=wanted,
     )
     is_first, is_second = F.col("homonym_parent").isNotNull(), F.col("n_parents") > 0
     return found.select(
@@ -110,6 +117,204 @@ def find_unmatched(
     return label_unmatched(split_candidates(found)[1])
 
 
+# Results that are written as CSV.
+RESULTS = (
+    "first_matches",
+    "second_matches_phylum",
+    "second_matches_genus",
+    "second_matches",
+    "all_matches",
+    "remainder",
+)
+
+
+class Results(Mapping[str, DataFrame]):
+    """The results of :func:`match_checklist` by name, each computed from the stages it needs.
+
+    ``exact`` and ``ambiguous`` need the candidates; ``unmatched``, ``first_matches`` and
+    ``remainder`` also the parents; the others also the pairs of records and parents.
+    """
+
+    NAMES = ("exact", "ambiguous", "unmatched", *RESULTS)
+
+    def __init__(
+        self,
+        cleaned: DataFrame,
+        backbone: DataFrame,
+        statuses: Sequence[str],
+        kingdoms: Sequence[str],
+        levels: Sequence[Level],
+        multi: str,
+        base: str | None,
+        on_ambiguous: str,
+        generic_name: str,
+        genus_from_generic: bool,
+        extra_keys: Sequence[str],
+        tie_rank: str | None,
+        tie_columns: Sequence[str],
+        labels: Mapping[str, str],
+    ):
+        self.cleaned, self.backbone, self.base = cleaned, backbone, base
+        self.kingdoms, self.levels, self.multi, self.extra_keys = kingdoms, levels, multi, extra_keys
+        self.on_ambiguous, self.generic_name, self.labels = on_ambiguous, generic_name, labels
+        self.ties = {"tie_rank": tie_rank, "tie_columns": tie_columns}
+        self.nodes = prepare_backbone(backbone, statuses, genus_from_generic)
+        self.attach = partial(attach, base=base)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self, f"_{name}")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    @cached_property
+    def found(self) -> DataFrame:
+        """Stage: every record with its number of nodes."""
+        carry = ("genericName",) if self.generic_name == "node" else ()
+        return store(candidates(self.cleaned, self.nodes, carry=carry, join=self.attach), "candidates", self.base)
+
+    @cached_property
+    def backed(self) -> DataFrame:
+        """Stage: the pairs of ambiguous records that are kept."""
+        pairs = backed_pairs(self.found, self.nodes, generic_name=self.generic_name, join=self.attach)
+        return store(pairs, "backed", self.base)
+
+    @cached_property
+    def _exact(self) -> DataFrame:
+        exact = split_candidates(self.found)[0]
+        return exact if self.on_ambiguous == "drop" else exact.unionByName(self.backed)
+
+    @cached_property
+    def _ambiguous(self) -> DataFrame:
+        ambiguous = split_candidates(self.found)[2]
+        if self.on_ambiguous == "drop":
+            return ambiguous
+        return drop_keys(ambiguous, self.backed, [S.RECORD_ID], self.attach)
+
+    @cached_property
+    def bare(self) -> DataFrame:
+        return label_unmatched(split_candidates(self.found)[1], self.labels)
+
+    @property
+    def columns(self) -> list[str]:
+        return list(map(quote, self.bare.columns))
+
+    @cached_property
+    def _counted(self) -> tuple[DataFrame, dict[str, int]]:
+        """Stage: every unmatched record with its parent, and how many there are of each kind."""
+        records = store(self.bare, "unmatched", self.base)
+        assigned = assign_parents(
+            records, self.backbone, self.kingdoms, levels=self.levels, base=self.base, extra_keys=self.extra_keys, **self.ties
+        )
+        measures = {}
+        for kind, test in self._kinds.items():
+            measures[kind] = F.count_if(F.expr(test))
+            measures[f"{kind} ids"] = F.count_if(F.expr(f"({test}) AND {quote(S.RECORD_ID)} IS NOT NULL"))
+        return store_observed(assigned, "assigned", measures, self.base)
+
+    _kinds = {
+        "unmatched": "true",
+        "first_matches": "stage = 'first'",
+        "second_matches": "stage = 'second'",
+        "second_matches_phylum": "stage = 'second' AND level = 'phylum'",
+        "second_matches_genus": "stage = 'second' AND level = 'genus'",
+        "all_matches": "stage <> 'none'",
+        "remainder": "stage = 'none'",
+    }
+
+    @property
+    def assigned(self) -> DataFrame:
+        return self._counted[0]
+
+    @cached_property
+    def _leveled(self) -> tuple[DataFrame, dict[str, int]]:
+        """Stage: the records of the second search, once per parent, with their level."""
+        if self.multi == "first":
+            return self.assigned.where("stage = 'second'").select(*self.columns, "level"), {}
+        waiting = self.assigned.where("stage = 'second'").select(self.columns)
+        # Which orders are wanted at the family level follows from all records that wait.
+        seen = within_values(record_levels(self.assigned.where("stage <> 'first'"), self.levels), self.levels)
+        pairs = rank_match(
+            waiting, rank_backbone(self.backbone, self.kingdoms), self.levels, self.multi, self.extra_keys,
+            keep_level=True, join=self.attach, pair_join=partial(attach_pairs, base=self.base), seen=seen,
+        )
+        measures = {
+            "second_matches": F.count("*"),
+            "second_matches_phylum": F.count_if(F.col("level") == "phylum"),
+            "second_matches_genus": F.count_if(F.col("level") == "genus"),
+        }
+        return store_observed(pairs, "leveled", measures, self.base)
+
+    @property
+    def leveled(self) -> DataFrame:
+        return self._leveled[0]
+
+    @property
+    def _unmatched(self) -> DataFrame:
+        none = F.lit(None).cast("long").alias(S.PARENT_ID)
+        return self.assigned.select(*[none if c == S.PARENT_ID else quote(c) for c in self.bare.columns])
+
+    @property
+    def _first_matches(self) -> DataFrame:
+        return self.assigned.where("stage = 'first'").select(self.columns)
+
+    @property
+    def _second_matches_phylum(self) -> DataFrame:
+        return self.leveled.where("level = 'phylum'").select(self.columns)
+
+    @property
+    def _second_matches_genus(self) -> DataFrame:
+        return self.leveled.where("level = 'genus'").select(self.columns)
+
+    @property
+    def _second_matches(self) -> DataFrame:
+        return self.leveled.select(self.columns)
+
+    @property
+    def _all_matches(self) -> DataFrame:
+        return self._second_matches.unionByName(self._first_matches)
+
+    @property
+    def _remainder(self) -> DataFrame:
+        return self.assigned.where("stage = 'none'").select(self.columns)
+
+    def counts(self) -> list[tuple[str, int, int]]:
+        """(result, rows, different ids), as counted while the stages were stored.
+
+        Ids are not repeated among the unmatched records, so a stage has as many ids as records.
+        """
+        records, pairs = self._counted[1], self._leveled[1]
+        rows = {kind: pairs.get(kind, records[kind]) for kind in self._kinds}
+        rows["all_matches"] = rows["first_matches"] + rows["second_matches"]
+        return [(kind, rows[kind], records[f"{kind} ids"]) for kind in ("unmatched", *RESULTS)]
+
+    def tagged(self) -> DataFrame:
+        """Every row of every written result with the name of its ``result``, from one pass over each stage."""
+        level = F.col("level")
+
+        def tags(*cases: tuple[str, Column | None]) -> Column:
+            names = F.array(*[F.lit(n) if c is None else F.when(c, F.lit(n)) for n, c in cases])
+            return F.explode(F.array_compact(names)).alias("result")
+
+        first, rest = F.col("stage") == "first", F.col("stage") == "none"
+        own = self.assigned.where("stage <> 'second'").select(
+            *self.columns, tags(("first_matches", first), ("all_matches", first), ("remainder", rest))
+        )
+        pairs = self.leveled.select(
+            *self.columns,
+            tags(
+                ("second_matches", None), ("all_matches", None),
+                ("second_matches_phylum", level == "phylum"), ("second_matches_genus", level == "genus"),
+            ),
+        )
+        return own.unionByName(pairs)
+
+
 def match_checklist(
     cleaned: DataFrame,
     backbone: DataFrame,
@@ -125,8 +330,8 @@ def match_checklist(
     tie_rank: str | None = S.TIE_RANK,
     tie_columns: Sequence[str] = S.TIE_COLUMNS,
     labels: Mapping[str, str] = S.UNMATCHED_LABELS,
-) -> dict[str, DataFrame]:
-    """All results of the job on a cleaned checklist.
+) -> Results:
+    """All results of the job on a cleaned checklist, by name; see :class:`Results`.
 
     Stages that several results need are written once to the shared folder (``base``, by
     default the one the session names), so a lost executor costs a stage and not the job.
@@ -138,72 +343,51 @@ def match_checklist(
         raise ValueError(f"on_ambiguous must be 'drop' or 'accepted_backed', not {on_ambiguous!r}")
     if generic_name not in ("node", "record"):
         raise ValueError(f"generic_name must be 'node' or 'record', not {generic_name!r}")
-    base = base or shared_dir(cleaned.sparkSession)
-    attach_here = partial(attach, base=base)
-    nodes = prepare_backbone(backbone, statuses, genus_from_generic)
-    carry = ("genericName",) if generic_name == "node" else ()
-    found = store(candidates(cleaned, nodes, carry=carry, join=attach_here), "candidates", base)
-    exact, bare, ambiguous = split_candidates(found)
-    if on_ambiguous == "accepted_backed":
-        backed = store(backed_pairs(found, nodes, generic_name=generic_name, join=attach_here), "backed", base)
-        exact = exact.unionByName(backed)
-        ambiguous = drop_keys(ambiguous, backed, [S.RECORD_ID], attach_here)
-    unmatched = label_unmatched(bare, labels)
-    assigned = store(
-        assign_parents(
-            store(unmatched, "unmatched", base), backbone, kingdoms, levels=levels, tie_rank=tie_rank,
-            tie_columns=tie_columns, base=base, extra_keys=extra_keys,
-        ),
-        "assigned",
-        base,
+    if multi not in ("all", "first"):
+        raise ValueError(f"multi must be 'all' or 'first', not {multi!r}")
+    return Results(
+        cleaned, backbone, statuses, kingdoms, levels, multi, base or shared_dir(cleaned.sparkSession), on_ambiguous,
+        generic_name, genus_from_generic, extra_keys, tie_rank, tie_columns, labels,
     )
-    columns = list(map(quote, unmatched.columns))
-    if multi == "first":
-        leveled = assigned.where("stage = 'second'").select(*columns, "level")
-    else:
-        waiting = assigned.where("stage <> 'first'").select(columns)
-        parents = rank_backbone(backbone, kingdoms)
-        leveled = store(
-            rank_match(waiting, parents, levels, multi, extra_keys, keep_level=True, join=attach_here), "leveled", base
-        )
-    first = assigned.where("stage = 'first'").select(columns)
-    second = leveled.select(columns)
-    # What is in neither stage is known already.
-    matches, _ = reconcile(unmatched, first, second)
-    remainder = assigned.where("stage = 'none'").select(columns)
-    return {
-        "exact": exact,
-        "ambiguous": ambiguous,
-        "unmatched": assigned.select(
-            *[F.lit(None).cast("long").alias(c) if c == S.PARENT_ID else quote(c) for c in unmatched.columns]
-        ),
-        "first_matches": first,
-        "second_matches_phylum": leveled.where("level = 'phylum'").select(columns),
-        "second_matches_genus": leveled.where("level = 'genus'").select(columns),
-        "second_matches": second,
-        "all_matches": matches,
-        "remainder": remainder,
-    }
 
 
-# Results that are written as CSV.
-RESULTS = (
-    "first_matches",
-    "second_matches_phylum",
-    "second_matches_genus",
-    "second_matches",
-    "all_matches",
-    "remainder",
-)
+def inspect_parents(
+    records: DataFrame,
+    backbone: DataFrame,
+    columns: Sequence[str],
+    where: Column | str,
+    order_by: Sequence[str] = (),
+    **options: object,
+) -> DataFrame:
+    """Chosen columns of the unmatched ``records`` that satisfy ``where``, with their parents.
+
+    Two phases: what a parent depends on is counted over all records, from the rank columns alone;
+    the parents are then looked up for the rows asked for only.  ``where`` is about the records'
+    own columns.  ``options`` are those of :func:`assign_parents`.
+    """
+    return inspect(assign_parents(records, backbone, only=where, **options), columns, order_by=order_by)
+
+
+def write_results(results: Results, folder: str, mode: str = "errorifexists") -> None:
+    """The six results as CSV, columns in output order, a folder ``result=<name>`` for each.
+
+    One job writes all of them: a row goes to the folders of all results it is in.
+    """
+    table = results.tagged().select("result", *map(quote, S.OUTPUT_COLUMNS))
+    write_csv(table, folder, mode, ["result"])
 
 
-def write_results(results: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> None:
-    """One CSV folder per result, columns in output order."""
-    for name in RESULTS:
-        table = results[name].select(*map(quote, S.OUTPUT_COLUMNS))
-        write_csv(table, os.path.join(folder, name), mode)
+def read_results(spark: SparkSession, folder: str) -> DataFrame:
+    """What :func:`write_results` wrote: ``result`` and the output columns, null and ``''`` told apart."""
+    ids = [S.MATCHED_ID, S.ACCEPTED_ID, S.PARENT_ID]
+    return read_records(spark, folder, string_schema(S.OUTPUT_COLUMNS), ids)
 
 
-def summarise(results: dict[str, DataFrame]) -> DataFrame:
-    """Rows and distinct records of every result and of the unmatched records."""
+def summarise(results: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and distinct records of every result and of the unmatched records.
+
+    For :class:`Results` they were counted while the stages were stored; other tables are read.
+    """
+    if isinstance(results, Results):
+        return results.cleaned.sparkSession.createDataFrame(results.counts(), "stage string, n_rows long, n_records long")
     return match_summary(**{name: results[name] for name in ("unmatched", *RESULTS)})

@@ -582,3 +582,63 @@ def _counted_level(levels: list[str] | None, keys: list[str], extra: str = "") -
 for _level, (_, _, _keys) in _LEVELS.items():
     ORACLE[f"q_rank_match_{_level.lower()}"] = _counted_level([_level], _keys)
 ORACLE["q_rank_match_kingdom"] = _counted_level(None, [], " AND r.kingdom = n.kingdom")
+
+ORACLE["q_rank_match_grid"] = ORACLE["q_rank_match_pairs"]
+
+ORACLE["q_read_records"] = _with(
+    """SELECT *, CASE WHEN query = 'F' THEN coalesce(subspecies, '') END AS log FROM raw""", "raw"
+)
+
+_BACKBONE_COLUMNS = ["taxonID", "acceptedNameUsageID", "taxonRank", "taxonomicStatus", "canonicalName", "genericName"]
+_BACKBONE_COLUMNS += ["kingdom", "phylum", "class", '"order"', "family", "genus", "specificEpithet", "infraspecificEpithet"]
+
+ORACLE["q_read_backbone"] = _with("SELECT * FROM backbone WHERE taxonID % 97 <> 0 AND taxonID % 89 <> 0", "backbone")
+ORACLE["q_read_rejects"] = _with(
+    "SELECT "
+    + " || chr(9) || ".join(
+        f"coalesce(CAST({c} AS VARCHAR), '')"
+        if c != "acceptedNameUsageID"
+        else f"CASE WHEN taxonID % 89 = 0 THEN 'none' ELSE coalesce(CAST({c} AS VARCHAR), '') END"
+        for c in _BACKBONE_COLUMNS
+    )
+    + " || CASE WHEN taxonID % 97 = 0 THEN chr(9) || 'surplus' ELSE '' END AS line,"
+    " CASE WHEN taxonID % 97 = 0 THEN 'columns' ELSE 'id acceptedNameUsageID' END AS reason"
+    " FROM backbone WHERE taxonID % 97 = 0 OR taxonID % 89 = 0",
+    "backbone",
+)
+
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_WHOLE, _NUMBER = "[+-]?[0-9]+", "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+ORACLE["q_infer_schema"] = (
+    "SELECT *, CASE WHEN n_values > 0 AND n_long = n_values THEN 'long' WHEN n_values > 0 AND n_double = n_values"
+    " THEN 'double' ELSE 'string' END AS type FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count({c}) AS n_values,"
+        f" count(*) FILTER (regexp_full_match(CAST({c} AS VARCHAR), '{_WHOLE}') AND TRY_CAST({c} AS BIGINT) IS NOT NULL)"
+        f" AS n_long, count(*) FILTER (regexp_full_match(CAST({c} AS VARCHAR), '{_NUMBER}')) AS n_double FROM lineitem"
+        for c in _LINE_COLUMNS
+    )
+    + ")"
+)
+
+_LEVELED = "(SELECT w.*, p.parent, p.level FROM waiting w JOIN second_pairs p ON p.speciesID = w.speciesID)"
+ORACLE["q_written_results"] = _with(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS result, {_output(parent)} FROM {source}"
+        for name, parent, source in (
+            ("first_matches", "parent", "first_stage"),
+            ("second_matches_phylum", "parent", f"{_LEVELED} WHERE level = 'phylum'"),
+            ("second_matches_genus", "parent", f"{_LEVELED} WHERE level = 'genus'"),
+            ("second_matches", "parent", "second_full"),
+            ("all_matches", "parent", "second_full"),
+            ("all_matches", "parent", "first_stage"),
+            ("remainder", "CAST(NULL AS BIGINT)", "waiting WHERE speciesID NOT IN (SELECT speciesID FROM second_stage)"),
+        )
+    ),
+    "first_stage",
+    "second_full",
+    "second_stage",
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,20 @@ from rankmatch import settings as S
 from rankmatch.functions.names import category, first_token, quote, strip_markup
 from rankmatch.functions.ranks import lowest_name, lowest_rank
 from rankmatch.operators import clean, homonyms, joins, levels, match, reconcile
+from rankmatch.operators.joins import attach, attach_pairs
 from rankmatch.plans import tables as T
-from rankmatch.operators.joins import attach
-from rankmatch.plans.flow import assign_parents, find_unmatched, match_checklist, summarise
-from rankmatch.session import store
+from rankmatch.plans.flow import (
+    Results,
+    assign_parents,
+    find_unmatched,
+    inspect_parents,
+    match_checklist,
+    read_results,
+    summarise,
+    write_results,
+)
+from rankmatch.session import case_sensitive, store, working_folder
+from rankmatch.sources.files import read_backbone_checked, read_records, string_schema, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,7 +130,51 @@ def q_derive_token(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_clean_records(spark: SparkSession, sf: str) -> DataFrame:
-    return T.cleaned_checklist(spark, sf)
+    return T.stored_checklist(spark, sf)
+
+
+@query
+def q_infer_schema(spark: SparkSession, sf: str) -> DataFrame:
+    lines = T.table(spark, sf, "lineitem")
+    return clean.infer_types(lines.select([F.col(c).cast("string").alias(c) for c in lines.columns]))
+
+
+# --- files -----------------------------------------------------------------------------
+
+
+@query
+def q_read_records(spark: SparkSession, sf: str) -> DataFrame:
+    # Headers that differ in case only, and empty strings beside nulls.
+    log = F.when(F.col("query") == "F", F.when(F.col("subspecies").isNull(), "").otherwise(F.col("subspecies")))
+    with case_sensitive(spark):
+        folder = working_folder(spark, "checklist-csv")
+        write_csv(T.raw_checklist(spark, sf).withColumn("Query", log), folder)
+        read = clean.rename_strict(read_records(spark, folder), {"Query": "log"})
+        return store(read, "records")
+
+
+def _checked_backbone(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes written as lines, some with a column too many or an id that is no number, and read again."""
+    nodes = T.backbone(spark, sf)
+    schema = string_schema(nodes.columns)
+    shown = nodes.withColumn(
+        S.ACCEPTED_ID, F.when(F.col(S.NODE_ID) % 89 == 0, "none").otherwise(F.col(S.ACCEPTED_ID).cast("string"))
+    )
+    fields = [F.coalesce(F.col(quote(c)).cast("string"), F.lit("")) for c in nodes.columns]
+    more = F.when(F.col(S.NODE_ID) % 97 == 0, "\tsurplus").otherwise("")
+    folder = working_folder(spark, "backbone-tsv")
+    shown.select(F.concat(F.concat_ws("\t", *fields), more).alias("value")).write.text(folder)
+    return read_backbone_checked(spark, folder, schema, header=False)
+
+
+@query
+def q_read_backbone(spark: SparkSession, sf: str) -> DataFrame:
+    return _checked_backbone(spark, sf)[0]
+
+
+@query
+def q_read_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return _checked_backbone(spark, sf)[1]
 
 
 # --- exact match ---------------------------------------------------------------------
@@ -132,7 +187,7 @@ def q_backbone_prepare(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned checklist as a table, for queries that read it more than once."""
-    return store(T.cleaned_checklist(spark, sf), "cleaned")
+    return T.stored_checklist(spark, sf)
 
 
 def _backbone(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +259,7 @@ def q_accepted_backed(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_accepted_backed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     nodes = match.prepare_backbone(_backbone(spark, sf))
-    found = store(match.candidates(T.cleaned_checklist(spark, sf), nodes, join=attach), "candidates")
+    found = store(match.candidates(_cleaned(spark, sf), nodes, join=attach), "candidates")
     exact, bare, _ = match.split_candidates(found)
     backed = match.backed_pairs(found, nodes, join=attach)
     return exact.unionByName(bare).unionByName(backed).select(_PAIR_COLUMNS)
@@ -254,7 +309,8 @@ def q_homonyms(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_homonym_features(spark: SparkSession, sf: str) -> DataFrame:
     found = homonyms.homonym_features(_names(spark, sf))
-    return found.orderBy("features").select(
+    # The name breaks ties, so that equal lists are split over the ranges and the order is total.
+    return found.orderBy("features", S.CANONICAL).select(
         S.CANONICAL, "features_text", F.size("features").cast("long").alias("n_features")
     )
 
@@ -347,6 +403,14 @@ def q_rank_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(S.RECORD_ID, "level", S.PARENT_ID)
 
 
+@query
+def q_rank_match_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairs of all levels with the pairs of every name over 2000 cut into a grid of cells."""
+    cut = partial(attach_pairs, cell_pairs=2000)
+    pairs = levels.rank_match(_filled(spark, sf), _nodes(spark, sf), keep_level=True, join=attach, pair_join=cut)
+    return pairs.select(S.RECORD_ID, "level", S.PARENT_ID)
+
+
 @query
 def q_rank_match_kingdom(spark: SparkSession, sf: str) -> DataFrame:
     found = levels.count_parents(
@@ -402,8 +466,8 @@ def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _results(spark: SparkSession, sf: str, **options: str) -> dict[str, DataFrame]:
-    return match_checklist(T.cleaned_checklist(spark, sf), _backbone(spark, sf), kingdoms=T.KINGDOMS, **options)
+def _results(spark: SparkSession, sf: str, **options: str) -> Results:
+    return match_checklist(T.stored_checklist(spark, sf), _backbone(spark, sf), kingdoms=T.KINGDOMS, **options)
 
 
 def _checklist(name: str) -> Query:
@@ -428,11 +492,24 @@ def q_checklist_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summarise(_results(spark, sf))
 
 
+@query
+def q_written_results(spark: SparkSession, sf: str) -> DataFrame:
+    folder = working_folder(spark, "results")
+    write_results(_results(spark, sf), folder)
+    return read_results(spark, folder)
+
+
 @query
 def q_inspect(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.inspect(
-        _assigned(spark, sf),
+    bb = _backbone(spark, sf)
+    columns = [S.RECORD_ID, "taxonName", *S.RANKS]
+    # Only the columns that are looked at, or that a parent depends on, are stored.
+    records = store(find_unmatched(_cleaned(spark, sf), bb).select(columns), "unmatched")
+    return inspect_parents(
+        records,
+        bb,
         [S.RECORD_ID, "taxonName", S.PARENT_ID, *S.RANKS],
         where=F.col("phylum") == "Brand#21",
         order_by=[S.PARENT_ID, S.RECORD_ID],
+        kingdoms=T.KINGDOMS,
     )

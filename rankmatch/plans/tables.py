@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankmatch import settings as S
 from rankmatch.functions.names import quoted
-from rankmatch.operators.clean import clean_records
+from rankmatch.operators.clean import clean_and_store, clean_records
 from rankmatch.settings import Correction
 
 # The rules for the derived checklist, the same as in the SQL.
@@ -94,16 +94,23 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CLEANING = {
+    "renames": RENAMES,
+    "log_columns": LOG_COLUMNS,
+    "corrections": CORRECTIONS,
+    "kingdoms": KINGDOM_BY_PHYLUM,
+    "default_kingdom": DEFAULT_KINGDOM,
+}
+
+
 def cleaned_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned checklist; that ``tribe`` is empty is found in the data."""
-    return clean_records(
-        raw_checklist(spark, sf_dir),
-        renames=RENAMES,
-        log_columns=LOG_COLUMNS,
-        corrections=CORRECTIONS,
-        kingdoms=KINGDOM_BY_PHYLUM,
-        default_kingdom=DEFAULT_KINGDOM,
-    )
+    """The cleaned checklist with its empty columns, for queries that choose columns."""
+    return clean_records(raw_checklist(spark, sf_dir), empty_columns=(), **_CLEANING)
+
+
+def stored_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned checklist as a table; that ``tribe`` is empty is found while it is written."""
+    return clean_and_store(raw_checklist(spark, sf_dir), **_CLEANING)
 
 
 def backbone(spark: SparkSession, sf_dir: str) -> DataFrame:

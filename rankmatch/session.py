@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -68,3 +73,41 @@ def store(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def store_observed(
+    df: DataFrame, name: str, measures: Mapping[str, Column], base: str | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`store` and the values of aggregates, taken while the rows are written.
+
+    The rows pass once: nothing is read again for the aggregates.
+    """
+    seen, names = Observation(), list(measures)
+    # Names of measures may be any text, metric names are numbered.
+    watched = df.observe(seen, *[measures[m].alias(f"m{i}") for i, m in enumerate(names)]) if names else df
+    stored = store(watched, name, base)
+    if stored.is_cached:
+        stored.count()
+    found = seen.get if names else {}
+    return stored, {m: found[f"m{i}"] for i, m in enumerate(names)}
+
+
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A new path for files: in the shared folder, or in a local session without one in a folder that goes with it."""
+    base = shared_dir(spark)
+    if base is None:
+        base = tempfile.mkdtemp(prefix="rankmatch-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def case_sensitive(spark: SparkSession) -> Iterator[None]:
+    """Names that differ in case only are different in here."""
+    key = "spark.sql.caseSensitive"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 from rankmatch import settings as S
 from rankmatch.functions.names import quoted
 from rankmatch.operators.clean import cast_ids, map_strings
+from rankmatch.session import store
 
 # Stands for a quoted empty string while the file is parsed; an unquoted one is null.
 _EMPTY = "\u0001"
@@ -28,7 +29,7 @@ def read_records(
     An unquoted empty field is null, a quoted one is ``''``.  ``multi_line`` allows line
     breaks inside quotes; such files cannot be split, so it is off by default.
     """
-    if spark.conf.get("spark.sql.caseSensitive") != "true":
+    if schema is None and spark.conf.get("spark.sql.caseSensitive") != "true":
         raise ValueError(
             "set spark.sql.caseSensitive=true: headers that differ in case only get renamed otherwise"
         )
@@ -54,13 +55,54 @@ def read_backbone(
     return cast_ids(reader.csv(path), ids)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV folder with header: null is blank, ``''`` is ``""``, inner quotes are doubled."""
+# An id as text: what a cast to long accepts.
+_ID = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def read_backbone_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | None = None,
+    ids: Sequence[str] = (S.NODE_ID, S.ACCEPTED_ID),
+    header: bool = True,
+    base: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(nodes, rejects) of an authority TSV: a malformed line costs that line and not the job.
+
+    ``rejects`` has the ``line`` and the ``reason``: another number of columns than the schema
+    (``columns``), or an id that is no whole number in range (``id <name>``, the first one).  The
+    file is parsed once, into a table that both results read.  Without ``schema`` the columns are
+    those of the header.
+    """
+    reader = spark.read.options(header=header, sep="\t", quote="", escape="")
+    if schema is None:
+        if not header:
+            raise ValueError("a file without header needs a schema")
+        schema = reader.csv(path).schema
+    raw = "__line"
+    wide = StructType([*schema.fields, StructType().add(raw, StringType()).fields[0]])
+    rows = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=raw).schema(wide).csv(path)
+    wrong = F.when(quoted(raw).isNotNull(), F.lit("columns"))
+    for name in ids:
+        good = F.when(quoted(name).rlike(_ID), quoted(name).try_cast("long")).isNotNull()
+        wrong = wrong.when(quoted(name).isNotNull() & ~good, F.lit(f"id {name}"))
+    parsed = store(rows.withColumn("__reason", wrong), "parsed", base)
+    line = F.coalesce(quoted(raw), F.concat_ws("\t", *[F.coalesce(quoted(c), F.lit("")) for c in schema.names]))
+    nodes = parsed.where("__reason IS NULL").drop(raw, "__reason")
+    rejects = parsed.where("__reason IS NOT NULL").select(line.alias("line"), F.col("__reason").alias("reason"))
+    return cast_ids(nodes, ids), rejects
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
+    """CSV folder with header: null is blank, ``''`` is ``""``, inner quotes are doubled.
+
+    ``partition_by`` columns become folders of their values, all written by one job.
+    """
     nulls = [
         quoted(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "void" else quoted(f.name)
         for f in df.schema.fields
     ]
-    df.select(nulls).write.mode(mode).options(
+    df.select(nulls).write.mode(mode).partitionBy(*partition_by).options(
         header=True,
         quote='"',
         escape='"',

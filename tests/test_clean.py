@@ -115,3 +115,31 @@ def test_fill_and_blank(spark):
     filled = clean.fill_blank(df)
     assert [tuple(r) for r in filled.collect()] == [("", None)]
     assert clean.blank_to_null(filled, ["a"]).where(F.col("a").isNull()).count() == 1
+
+
+def test_empty_columns_are_found_while_storing(spark):
+    ddl = "speciesId string, taxonName string, `domain ` string, phylum string, `class` string, `order` string, family string,"
+    ddl += " genus string, species string, subspecies string, `data cleanup changes` string, tribe string, `odd.name` string"
+    blank = {"speciesId": "1", "domain ": "d", "data cleanup changes": "y", "odd.name": " "}
+    raw = frame(spark, [blank, {**blank, "phylum": "P"}], ddl)
+    options = {"log_columns": ["data cleanup changes 1"]}
+    got, want = clean.clean_and_store(raw, **options), clean.clean_records(raw, **options)
+    assert "tribe" not in got.columns and "odd.name" in got.columns and "family" in got.columns
+    assert rows(got) == rows(want) and got.columns == want.columns
+    assert clean.clean_and_store(raw.limit(0), **options).count() == 0
+
+
+def test_types_are_inferred_from_all_rows(spark):
+    values = [("1", "1", "1.5", "", "9223372036854775807", None), ("-2", "x", ".5e3", "1", "+7", None)]
+    df = spark.createDataFrame(values, "a string, `b c` string, d string, e string, f string, g string")
+    got = {r["feature"]: (r["n_values"], r["n_long"], r["n_double"], r["type"]) for r in clean.infer_types(df).collect()}
+    assert got == {
+        "a": (2, 2, 2, "long"), "b c": (2, 1, 1, "string"), "d": (2, 0, 2, "double"), "e": (2, 1, 1, "string"),
+        "f": (2, 2, 2, "long"), "g": (0, 0, 0, "string"),
+    }
+    typed = clean.with_inferred_types(df)
+    assert [f.dataType.simpleString() for f in typed.schema] == ["bigint", "string", "double", "string", "bigint", "string"]
+    assert rows(typed) == sorted([(1, "1", 1.5, "", 2**63 - 1, None), (-2, "x", 500.0, "1", 7, None)], key=repr)
+    # One value out of range, or one word at the end, makes another type.
+    late = df.unionByName(spark.createDataFrame([("9223372036854775808", *[None] * 5)], df.schema))
+    assert {r["feature"]: r["type"] for r in clean.infer_types(late).collect()}["a"] == "double"

@@ -8,8 +8,17 @@ from rankmatch import session
 from rankmatch import settings as S
 from rankmatch.operators import joins
 from rankmatch.operators.clean import clean_records
-from rankmatch.plans.flow import RESULTS, assign_parents, match_checklist, summarise, write_results
-from rankmatch.session import shared_dir, store
+from rankmatch.operators.reconcile import match_summary
+from rankmatch.plans.flow import (
+    RESULTS,
+    assign_parents,
+    inspect_parents,
+    match_checklist,
+    read_results,
+    summarise,
+    write_results,
+)
+from rankmatch.session import shared_dir, store, store_observed, working_folder
 from tests.helpers import frame, loop_homonyms, loop_levels, node, nodes_frame, record, records_frame, rows
 from tests.test_homonyms import sample as homonym_sample
 from tests.test_levels import sample as level_sample
@@ -83,9 +92,9 @@ def test_summary_has_all_stages(results):
 
 
 def test_results_are_written_in_output_order(results, tmp_path):
-    write_results(results, str(tmp_path))
+    write_results(results, str(tmp_path / "out"))
     for name in RESULTS:
-        part = sorted(glob.glob(f"{tmp_path}/{name}/part-*"))[0]
+        part = sorted(glob.glob(f"{tmp_path}/out/result={name}/part-*"))[0]
         with open(part, encoding="utf-8") as f:
             assert f.readline().strip() == ",".join(S.OUTPUT_COLUMNS)
 
@@ -165,3 +174,57 @@ def test_stored_tables_keep_schema_and_rows(spark):
     df = records_frame(spark, [record("1", kingdom="Animalia")]).withColumn("n", F.lit(None).cast("long"))
     stored = store(df, "x")
     assert stored.schema == df.schema and rows(stored) == rows(df)
+
+
+def test_counts_taken_while_storing_equal_counts_of_the_results(spark, results):
+    again = match_summary(**{name: results[name] for name in ("unmatched", *RESULTS)})
+    assert rows(summarise(results)) == rows(again)
+    first = match_checklist(cleaned_sample(spark), nodes_frame(spark, NODES), multi="first")
+    assert rows(summarise(first)) == rows(match_summary(**{n: first[n] for n in ("unmatched", *RESULTS)}))
+    with pytest.raises(ValueError, match="multi"):
+        match_checklist(cleaned_sample(spark), nodes_frame(spark, NODES), multi="some")
+
+
+def test_a_result_computes_only_what_it_needs(spark, tmp_path):
+    got = match_checklist(cleaned_sample(spark), nodes_frame(spark, NODES), base=str(tmp_path))
+    stages = lambda: {p.rsplit("-", 1)[0] for p in os.listdir(tmp_path)}
+    got["exact"].count()
+    assert "candidates" in stages() and not {"unmatched", "assigned", "leveled"} & stages()
+    got["remainder"].count()
+    assert "assigned" in stages() and "leveled" not in stages()
+    got["second_matches"].count()
+    assert "leveled" in stages() and set(got) == {"exact", "ambiguous", "unmatched", *RESULTS}
+
+
+def test_written_results_are_read_back(spark, results, tmp_path):
+    write_results(results, str(tmp_path / "out"))
+    back = read_results(spark, str(tmp_path / "out"))
+    for name in RESULTS:
+        own = back.where(F.col("result") == name).drop("result")
+        assert rows(own) == rows(results[name].select(*own.columns))
+    # Rows of several results are in several folders, and all come from one write.
+    assert sorted(p for p in os.listdir(tmp_path / "out") if "=" in p) == sorted(f"result={n}" for n in RESULTS)
+
+
+@pytest.mark.parametrize("sample,seed", [(homonym_sample, 17), (level_sample, 18)])
+def test_inspected_parents_are_those_of_the_whole_job(spark, sample, seed):
+    records, nodes = sample(seed, 150, 80)
+    table, backbone = store(records_frame(spark, records), "records"), nodes_frame(spark, nodes)
+    whole = assign_parents(table, backbone)
+    test = F.col("family") != ""
+    got = inspect_parents(table, backbone, ["speciesID", "stage", "parentNameUsageID"], test, ["speciesID"])
+    assert rows(got) == rows(whole.where(test).select(*got.columns))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # The filter lies below the joins that look parents up.
+    assert plan.index("Join") < plan.index("Filter")
+
+
+def test_observed_measures_equal_aggregates(monkeypatch, spark):
+    df = spark.range(50).withColumn("a b", F.when(F.col("id") % 3 == 0, F.col("id")))
+    measures = {"x.y": F.count("`a b`"), "rows": F.count("*")}
+    for shared in (shared_dir(spark), None):
+        monkeypatch.setattr(session, "shared_dir", lambda _, shared=shared: shared)
+        stored, got = store_observed(df, "watched", measures)
+        assert got == {"x.y": 17, "rows": 50} and rows(stored) == rows(df)
+        assert store_observed(df, "watched", {})[1] == {}
+        assert os.path.isdir(os.path.dirname(working_folder(spark, "x")))

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from rankmatch import settings as S
 from rankmatch.operators.levels import rank_backbone, rank_match
-from rankmatch.sources import read_backbone, read_records, write_csv
+from rankmatch.sources import read_backbone, read_backbone_checked, read_records, write_csv
+from rankmatch.sources.files import string_schema
 from tests.helpers import node, nodes_frame
 
 def lines(folder):
@@ -93,3 +94,28 @@ def test_phylum_level_writes_the_expected_file(spark, tmp_path):
     found = rank_match(records, rank_backbone(nodes_frame(spark, nodes)))
     write_csv(found.select(*[f"`{c}`" for c in S.OUTPUT_COLUMNS]), str(tmp_path / "out"))
     assert lines(tmp_path / "out") == sorted(phylum_lines(parent=True))
+
+
+LINES = ["1\t\t\"Aus\tBus", "2\t1\tx", "z3\t\ty\tq", "4\t5\tok\tC\\us\tmore", "5\t 7x\ta\tb", "99999999999999999999\t\ta\tb", "\t\ta\tb"]
+REJECTED = [
+    ("2\t1\tx", "columns"),
+    ("4\t5\tok\tC\\us\tmore", "columns"),
+    ("5\t 7x\ta\tb", "id acceptedNameUsageID"),
+    ("99999999999999999999\t\ta\tb", "id taxonID"),
+    ("z3\t\ty\tq", "id taxonID"),
+]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_malformed_lines_are_rejects(spark, tmp_path, header):
+    names = ["taxonID", "acceptedNameUsageID", "canonicalName", "genus"]
+    path = tmp_path / "in.tsv"
+    path.write_text("\n".join((["\t".join(names)] if header else []) + LINES) + "\n")
+    nodes, rejects = read_backbone_checked(spark, str(path), None if header else string_schema(names), header=header)
+    assert sorted((tuple(r) for r in nodes.collect()), key=repr) == [(1, None, '"Aus', "Bus"), (None, None, "a", "b")]
+    assert sorted(map(tuple, rejects.collect())) == REJECTED
+    # One column alone is right as well, though fewer columns are parsed then.
+    assert nodes.select("genus").count() == 2 and rejects.select("reason").count() == 5
+    if not header:
+        with pytest.raises(ValueError, match="schema"):
+            read_backbone_checked(spark, str(path), header=False)
