@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rankmatch import settings as S
 from rankmatch.functions.names import quoted
 from rankmatch.operators.clean import clean_and_store, clean_records
+from rankmatch.session import spread
 from rankmatch.settings import Correction
 
 # The rules for the derived checklist, the same as in the SQL.
@@ -66,8 +67,10 @@ def _ranks_of_part() -> dict[str, Column]:
 
 def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checklist as it would come from a file: padded names, markup, gaps, log columns."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+        )
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rank = _ranks_of_part()

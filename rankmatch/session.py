@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -75,6 +76,23 @@ def store(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table just read, dealt out to the session's tasks if it is smaller than one split for each core.
+
+    Such a table, above all one of a single row group, would keep all work on it, and every table
+    stored from it, in a few tasks.  Dealing it out costs a shuffle of less than a split per core;
+    larger tables have splits enough and are not shuffled.  Rows go by their hash, so a task that is
+    run again gives the same.
+    """
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if size >= split * spark.sparkContext.defaultParallelism:
+        return df
+    names = ["`" + f.name.replace("`", "``") + "`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartition(F.xxhash64(*names)) if names else df
+
+
 def store_observed(
     df: DataFrame, name: str, measures: Mapping[str, Column], base: str | None = None
 ) -> tuple[DataFrame, dict[str, int]]:

@@ -18,7 +18,7 @@ from rankmatch.plans.flow import (
     summarise,
     write_results,
 )
-from rankmatch.session import shared_dir, store, store_observed, working_folder
+from rankmatch.session import shared_dir, spread, store, store_observed, working_folder
 from tests.helpers import frame, loop_homonyms, loop_levels, node, nodes_frame, record, records_frame, rows
 from tests.test_homonyms import sample as homonym_sample
 from tests.test_levels import sample as level_sample
@@ -228,3 +228,16 @@ def test_observed_measures_equal_aggregates(monkeypatch, spark):
         assert got == {"x.y": 17, "rows": 50} and rows(stored) == rows(df)
         assert store_observed(df, "watched", {})[1] == {}
         assert os.path.isdir(os.path.dirname(working_folder(spark, "x")))
+
+
+def test_small_tables_are_dealt_out_and_large_ones_are_not(spark, tmp_path):
+    df = spark.range(4000).withColumn("x y", F.lit("v")).coalesce(1)
+    df.write.parquet(str(tmp_path / "one"))
+    read = spark.read.parquet(str(tmp_path / "one"))
+    dealt = spread(read)
+    assert "Repartition" in dealt._jdf.queryExecution().optimizedPlan().toString() and rows(dealt) == rows(read)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        assert spread(read) is read
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
