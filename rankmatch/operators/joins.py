@@ -25,6 +25,10 @@ HOT_ROWS = 1_000_000
 # A table is broadcast when its values take no more bytes than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Bits of the filter of wanted keys that goes ahead of a shuffle: at most a word of 64 for each 64 bits
+# is broadcast, whatever the tables' sizes.
+FILTER_BITS = 1 << 25
+
 # A task makes at most about so many pairs of one key.
 CELL_PAIRS = 1_000_000
 
@@ -134,25 +138,59 @@ def table_bytes(df: DataFrame) -> int:
     return rows * (32 + sum(_width(f.dataType) for f in df.schema.fields)) + texts
 
 
+def key_filter(table: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
+    """A Bloom filter of the keys of ``table``: ``__word`` and its ``__bits``.
+
+    Every key sets one of ``bits`` bits, by its hash.  Bits are gathered per word and combined per task
+    before the shuffle, so the result has at most ``bits / 64`` rows.
+    """
+    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(FILTER_BITS if bits is None else bits).cast("long"))
+    one = F.expr("shiftleft(1L, cast(pmod(__at, 64) as int))")
+    words = table.where(~_any_null(keys)).select(at.alias("__at")).select(F.expr("__at div 64").alias("__word"), one.alias("__bit"))
+    return words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+
+
+def maybe_in(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
+    """The rows of ``left`` whose key may be in ``words``, those of :func:`key_filter`; no key in it is missed."""
+    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(FILTER_BITS if bits is None else bits).cast("long"))
+    found = left.withColumn("__at", at).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word")
+    kept = found.where(F.expr("shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L"))
+    return kept.select([quoted(c) for c in left.columns])
+
+
+def _reduced(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` without most rows that a join to ``table`` drops anyway, ahead of its shuffle.
+
+    A filter with over half of its bits set would let most rows pass, so then none is applied.
+    """
+    words = store(key_filter(table, keys), "key-filter")
+    fill = words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0]
+    return maybe_in(left, words, keys) if 2 * fill <= FILTER_BITS else left
+
+
 def attach_stored(
     left: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     how: str = "left",
     source: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """:func:`lookup` in a stored table, choosing how to join by its measured size.
 
     Up to :data:`BROADCAST_BYTES` the table is broadcast and ``left`` is not shuffled at
-    all; beyond that both sides are shuffled and the hot keys of ``left`` are spread.
+    all; beyond that (or ``limit``) both sides are shuffled and the hot keys of ``left`` are spread.
+    A join that drops rows of ``left`` then first drops most of them by a :func:`key_filter`.
     They are counted in ``source`` if it is given: rows that have the keys of ``left``, or
     more, and are cheaper to compute.  A table with the column :data:`ROWS` knows them.
     """
     if ROWS in table.columns:
         source = table
-    if table_bytes(table) <= BROADCAST_BYTES:
+    if table_bytes(table) <= (BROADCAST_BYTES if limit is None else limit):
         columns = _columns(left, table, keys, how)
         return left.join(F.broadcast(table), list(keys), how).select(columns)
+    if how in ("inner", "left_semi"):
+        left = _reduced(left, table, keys)
     return lookup(left, table, keys, how, hot=_hot_list(left if source is None else source, keys))
 
 
@@ -175,9 +213,10 @@ def attach(
     how: str = "left",
     source: DataFrame | None = None,
     base: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """:func:`attach_stored`, writing the table to the shared folder, or to ``base``, first."""
-    return attach_stored(left, store(table, "lookup", base), keys, how, source)
+    return attach_stored(left, store(table, "lookup", base), keys, how, source, limit)
 
 
 def grid(left: DataFrame, table: DataFrame, keys: Sequence[str], cell_pairs: int | None = None) -> DataFrame:

@@ -642,3 +642,6 @@ ORACLE["q_written_results"] = _with(
     "second_full",
     "second_stage",
 )
+
+ORACLE["q_semi_filtered"] = """SELECT l_partkey AS p_partkey, l_orderkey, l_linenumber FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_brand LIKE 'Brand#2%')"""

@@ -292,6 +292,14 @@ def q_anti(spark: SparkSession, sf: str) -> DataFrame:
     return joins.drop_keys(T.table(spark, sf, "customer").select("c_custkey", "c_name"), urgent, ["c_custkey"], attach)
 
 
+@query
+def q_semi_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the parts of some brands, as where the wanted keys exceed a broadcast."""
+    lines = T.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linenumber")
+    wanted = T.table(spark, sf, "part").where(F.col("p_brand").startswith("Brand#2"))
+    return joins.keep_keys(lines, wanted, ["p_partkey"], partial(attach, limit=0))
+
+
 # --- shared names --------------------------------------------------------------------
 
 

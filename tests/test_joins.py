@@ -150,3 +150,26 @@ def test_the_list_of_hot_keys_fits_a_broadcast(monkeypatch, spark, skewed):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 60)
     kept = joins._hot_list(skewed, ["k"])
     assert rows(kept.select("k")) == [("hot",)]
+
+
+def test_key_filter_misses_no_key(spark, skewed, table):
+    for bits in (64, 1 << 12, 1 << 20):
+        words = joins.key_filter(table, ["k"], bits)
+        assert words.count() <= bits // 64
+        kept = joins.maybe_in(skewed, words, ["k"], bits)
+        assert rows(kept.join(table, "k", "left_semi")) == rows(skewed.join(table, "k", "left_semi"))
+        passed = kept.where("k IS NULL OR k NOT IN ('hot') AND pmod(cast(substring(k, 2, 9) as int), 2) = 1").count()
+        assert bits < 1 << 20 or passed == 0
+    assert joins.key_filter(table.where("false"), ["k"]).count() == 0
+
+
+def test_filter_goes_ahead_of_the_shuffle(monkeypatch, skewed, table):
+    for how in ("inner", "left_semi", "left", "left_anti"):
+        got = joins.attach(skewed, table, ["k"], how, limit=0)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("__bits" in plan) == (how in ("inner", "left_semi"))
+        assert rows(got) == rows(skewed.join(table, "k", how).select(*got.columns))
+    monkeypatch.setattr(joins, "FILTER_BITS", 64)
+    full = joins.attach(skewed, skewed.select("k").distinct(), ["k"], "left_semi", limit=0)
+    assert "__bits" not in full._jdf.queryExecution().optimizedPlan().toString()
+    assert full.count() == skewed.where("k IS NOT NULL").count()
