@@ -5,14 +5,18 @@ than ``max_epochs`` is clamped there, and its excess goes to the others by weigh
 above.  Every document is taken as often as the target divided by its source's size has whole
 epochs.  For the rest of an epoch, documents are taken in the order of a seeded hash; of the one
 across the mark only the words up to it are, so each source meets its target to the word.
+Rows that share the mark, copies of one row, are numbered by the task that reads them and their
+place there; the words up to the mark go to the first of them.
 
 The mark is found by counting: sizes are summed by the leading bits of the hash, then by the
 next bits within the one interval that holds the mark, then by the hash itself.  So a source
 with a third of all rows is never sorted and never in one task.
 
 Defined results: a null or empty text has size 0 and is repeated like its source; a null source is a source of its own, last in
-order; a null or repeated id is a document like any other; equal rows have equal hashes and are
-taken alike, sharing the words up to the mark; an empty table gives an empty result.  Other columns only pass through.
+order; a null or repeated id is a document like any other; equal rows have equal hashes, and where the
+mark falls on them, so many are taken once more as the target has words left, and of one more the rest:
+which of the equal rows makes no difference.  Very long texts are counted, and cut, one at a time; an
+empty table gives an empty result.  Other columns only pass through.
 """
 
 from __future__ import annotations
@@ -105,11 +109,11 @@ def _crossing(sums: DataFrame, digit: str) -> DataFrame:
 
 
 def plan(narrow: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: float = 3) -> DataFrame:
-    """One row per source: ``source_size``, ``target``, ``epochs``, ``cut``, ``part_mark``, ``part_words``.
+    """One row per source: ``source_size``, ``target``, ``epochs``, ``cut``, ``part_mark``, ``part_words``, ``part_rows``.
 
     ``narrow`` has ``source``, ``size`` and ``mark`` of every document.  A document is taken
-    ``epochs`` times, once more if its mark is at most ``cut``, and ``part_words`` of its words
-    once more if its mark is ``part_mark``.
+    ``epochs`` times, once more if its mark is at most ``cut``, and of the ``part_rows`` documents
+    whose mark is ``part_mark``, ``part_words`` words are taken once more.
     """
     sources = narrow.groupBy("source").agg(F.sum("size").alias("size"))
     share = targets(sources, weights, max_epochs)
@@ -146,13 +150,13 @@ def plan(narrow: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: fl
     upto = F.sum("size").over(W.partitionBy("id").orderBy("mark"))
     begin = F.shiftleft("high", 63 - _LEVEL) + F.shiftleft("low", 63 - 2 * _LEVEL)
     under = F.col("upto") <= F.col("wanted")
-    left = F.floor((F.col("wanted") - F.col("upto") + F.col("size")) / F.col("rows") + 0.5)
+    left = F.floor(F.col("wanted") - F.col("upto") + F.col("size") + 0.5)
     cuts = (
         last.withColumn("upto", upto)
         .groupBy("id")
         .agg(
             F.coalesce(F.max(F.when(under, F.col("mark"))), F.min(begin) - 1).alias("cut"),
-            F.min(F.when(~under, F.struct("mark", left.alias("left")))).alias("part"),
+            F.min(F.when(~under, F.struct("mark", left.alias("left"), "rows"))).alias("part"),
         )
     )
     found = share.join(hint(cuts), "id", "left")
@@ -162,6 +166,7 @@ def plan(narrow: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: fl
             F.coalesce("cut", F.lit(-1).cast("long")).alias("cut"),
             F.coalesce("part.mark", F.lit(-1).cast("long")).alias("part_mark"),
             F.coalesce("part.left", F.lit(0).cast("long")).alias("part_words"),
+            F.coalesce("part.rows", F.lit(0).cast("long")).alias("part_rows"),
         ),
         "plan",
     )
@@ -173,6 +178,28 @@ def _with_plan(rows: DataFrame, source: Column, made: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(made) if small else made, source.eqNullSafe(column(made.columns[0])))
 
 
+def _numbered(rows: DataFrame, source: str, size: str, left: str, extra: str) -> DataFrame:
+    """Rows that share their source's mark, with the words ``extra`` that are taken of each.
+
+    The ``left`` words of a source go to its rows one after the other, in the order of the tasks that
+    read them and of their places there, so the sums need no task but the rows' own.  The numbers are
+    stored with the rows: a task that is run again meets the same ones.
+    """
+    task, place, before, within = (free_name(rows.columns, f"__{c}") for c in ("task", "place", "before", "within"))
+    number = {task: F.spark_partition_id(), place: F.monotonically_increasing_id()}
+    held = store(rows.withColumns(number), "same-mark")
+    up_to = (W.unboundedPreceding, -1)
+    sums = held.groupBy(column(source).alias("of"), column(task).alias("in_task")).agg(F.sum(column(size)).alias("words"))
+    sums = sums.select("of", "in_task", F.sum("words").over(W.partitionBy("of").orderBy("in_task").rowsBetween(*up_to)).alias(before))
+    inner = F.sum(column(size)).over(W.partitionBy(column(source), column(task)).orderBy(column(place)).rowsBetween(*up_to))
+    same = column(source).eqNullSafe(F.col("of")) & (column(task) == F.col("in_task"))
+    joined = held.withColumn(within, inner).join(sums, same)
+    zero = F.lit(0).cast("long")
+    rest = column(left) - F.coalesce(column(before), zero) - F.coalesce(column(within), zero)
+    words_of = F.greatest(zero, F.least(column(size), rest))
+    return joined.select(*[column(c) for c in rows.columns], words_of.alias(extra))
+
+
 def amounts(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
@@ -194,11 +221,17 @@ def amounts(
         "narrow",
     )
     made = plan(narrow, weights, max_epochs)
-    part = F.when(F.col("mark") == F.col("part_mark"), F.col("part_words")).otherwise(0)
-    taken = F.col("size") * (F.col("epochs") + (F.col("mark") <= F.col("cut")).cast("long")) + part
-    return _with_plan(narrow.withColumnRenamed("source", "own"), F.col("own"), made).select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken")
-    )
+    at_mark = F.col("mark") == F.col("part_mark")
+    whole = F.col("size") * (F.col("epochs") + (F.col("mark") <= F.col("cut")).cast("long"))
+    wide = _with_plan(narrow.withColumnRenamed("source", "own"), F.col("own"), made)
+    result = ["doc_id", "size", "source_size", "target"]
+    part = F.when(at_mark, F.col("part_words")).otherwise(0)
+    several = at_mark & (F.col("part_rows") > 1)
+    taken = wide.where(~several).select(*result, (whole + part).alias("taken"))
+    if made.where("part_rows > 1").isEmpty():
+        return taken
+    shared = _numbered(wide.where(several), "own", "size", "part_words", "extra")
+    return taken.union(shared.select(*result, (whole + F.col("extra")).alias("taken")))
 
 
 def mix(
@@ -226,11 +259,23 @@ def mix(
     made = made.withColumnsRenamed(names)
     own = {c: column(name) for c, name in names.items()}
     part = free_name([*docs.columns, *made.columns], "__part")
-    times = (own["epochs"] + (marked <= own["cut"]).cast("long")).cast("int")
-    cut = (marked == own["part_mark"]) & (own["part_words"] > 0)
+    size, extra = (free_name([*docs.columns, *made.columns, part], f"__{c}") for c in ("size", "extra"))
+    wide = _with_plan(docs, source, made)
+    at_mark = marked == own["part_mark"]
+    several = at_mark & (own["part_rows"] > 1)
+    rest = wide.where(~several).withColumn(extra, F.when(at_mark, own["part_words"]).otherwise(F.lit(0).cast("long")))
+    rest = rest.withColumn(size, F.lit(None).cast("long"))
+    if not made.where(own["part_rows"] > 1).isEmpty():
+        same = wide.where(several).withColumn(size, words(text))
+        shared = _numbered(same, names["source"], size, names["part_words"], extra)
+        rest = rest.unionByName(shared.select([column(c) for c in rest.columns]))
+    # A row taken whole is a copy, not a cut.
+    full = column(extra) == column(size)
+    times = (own["epochs"] + (marked <= own["cut"]).cast("long") + F.coalesce(full, F.lit(False)).cast("long")).cast("int")
+    cut = (column(extra) > 0) & ~F.coalesce(full, F.lit(False))
     copies = F.concat(F.array_repeat(F.lit(False), times), F.array_repeat(F.lit(True), cut.cast("int")))
-    taken = _with_plan(docs, source, made).withColumn(part, F.explode(copies))
-    some = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), own["part_words"].cast("int"))
+    taken = rest.withColumn(part, F.explode(copies))
+    some = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), column(extra).cast("int"))
     shown = F.when(column(part), F.array_join(some, " ")).otherwise(text)
     fresh = {text_col: shown}
     if chars_col in docs.columns:
