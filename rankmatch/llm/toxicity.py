@@ -4,10 +4,14 @@ A lexicon transducer reads the letters of a word and writes its class: insult, s
 target, negation, reported speech or other; a slur is an insult only where it comes repeatedly.  Three small transducers then read the classes of a clause:
 the first softens what a negation governs, the second marks what is reported or quoted, the
 third ties insults and threats to a target close before or after them.  Their composition is
-one automaton, whose arcs carry the weights of the patterns they complete.  A clause's score is
-the weight of its path, and a document's log-odds are those of its matched clauses together, of each
-pattern at most eight matches.  A hostile word without a target is a pattern too, of less prior weight
-than a direct one; a word of another class outside any pattern scores nothing.
+one automaton, whose arcs carry the weights of the patterns they complete.  A last transducer, with
+one register, reads its output over the whole text: a hostile word soon after another one is a
+barrage, and a clause that is little more than a hostile word is an outcry.  A document's log-odds
+are those of its matched patterns, each weighed by the logarithm of one more than its matches.
+
+A single hostile word outside these patterns scores nothing, however often the same one is repeated:
+"the loser of the match" is no insult, "you loser", "Loser!" or "the pathetic loser" is.  A threat
+needs a target.
 
 The lexicon has fixed words for targets, negations, reports and threats.  Insults are learned:
 stems, that is word beginnings or whole words, whose first, second or third occurrence tells toxic
@@ -17,8 +21,8 @@ weights of the patterns are learned from the same sample around prior weights.
 
 Defined results: a null or empty text has no clause and gets the log-odds of a document without
 a match; a null id, a repeated row and a tie are scored like any other; without a labelled
-document of each class the prior weights stay and no insult is learned beyond the fixed ones; an
-empty table gives an empty result.  Columns other than the id and the text are not read.
+document of each class the prior weights stay and no insult is learned beyond the fixed ones; very
+long texts are scored whole, one at a time; an empty table gives an empty result.  Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +55,19 @@ WORDS = {
 
 HOSTILE = ("insult", "slur", "threat")
 CLASSES = ("other", "slur", *WORDS, "quote")
-# What the grammar writes, and the prior weight of each: fixed values.
+# The patterns, and the prior weight of each: fixed values.
 PATTERNS = {
-    "insult": 1.5, "direct insult": 2.5, "aimed": 1.0, "soft insult": 0.2, "told insult": 0.4,
-    "slur": 0.7, "direct slur": 1.0, "soft slur": 0.1, "told slur": 0.2,
-    "threat": 0.3, "direct threat": 1.5, "soft threat": 0.0, "told threat": 0.1,
+    "direct insult": 2.5, "aimed": 1.0, "soft insult": 0.2, "told insult": 0.4,
+    "direct slur": 1.0, "soft slur": 0.1, "told slur": 0.2,
+    "direct threat": 1.5, "soft threat": 0.0, "told threat": 0.1,
+    "barrage": 1.5, "barrage of slurs": 0.7, "outcry": 2.0,
 }
 _NUMBER = {name: i for i, name in enumerate(PATTERNS)}
-_MOST = 8
+# What the grammar writes for a hostile word that is neither negated nor reported, without threats.
+_OPEN = {"insult": "barrage", "direct insult": "barrage", "slur": "barrage of slurs", "direct slur": "barrage of slurs"}
+# Clauses between two hostile words of a barrage, and words of an outcry, at most.
+_REACH = 12
+_SHORT = 2
 _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;\n]|[\"“”„«»]")
 _WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 _ENDS = ".!?;\n"
@@ -187,35 +197,48 @@ def matches(text: str, words: Lexicon) -> np.ndarray:
     if not set(HOSTILE) & set(kinds.values()):
         return counts
     arcs, state, hostile, path = GRAMMAR.arcs, GRAMMAR.start, False, []
-    for match in _TOKEN.finditer(low):
-        token = match[0]
+    register, clause, since, length, own = None, 0, 0, 0, False
+    for match in chain(_TOKEN.finditer(low), (None,)):
+        token = match[0] if match else "."
         if token in _ENDS:
             if hostile:
                 for out in path:
                     counts[out] += 1
-            state, hostile, path = GRAMMAR.start, False, []
+                counts[_NUMBER["outcry"]] += own and length <= _SHORT
+            state, hostile, path, length, own = GRAMMAR.start, False, [], 0, False
+            clause += 1
             continue
-        kind = kinds.get(token, "other") if token[0].isalnum() else "quote"
+        word = token[0].isalnum()
+        kind = kinds.get(token, "other") if word else "quote"
+        length += word
         state, out = arcs[state, kind]
         hostile |= kind in HOSTILE
         if out in _NUMBER:
             path.append(_NUMBER[out])
-    if hostile:
-        for out in path:
-            counts[out] += 1
+        if out in _OPEN:
+            own = True
+            # The register holds the last such word: only another one goes on with a barrage.
+            if register not in (None, token) and clause - since <= _REACH:
+                path.append(_NUMBER[_OPEN[out]])
+            register, since = token, clause
     return counts
 
 
+def weighed(counts: np.ndarray) -> np.ndarray:
+    """What the weights are multiplied with: further matches of a pattern add ever less, without an end."""
+    return np.log1p(counts)
+
+
 @dataclass(frozen=True)
 class Settings:
     """``per_class`` bounds the training sample: so many labelled documents of either class, chosen by a
-    seeded hash of the id among those of at most ``max_chars`` code points.  Stems have from
+    seeded hash of the id, one row of each, among those of at most ``max_chars`` code points.  Stems have from
     ``shortest`` to ``longest`` letters; a document is explained once it has ``times`` stems.
     A stem is a sure sign if the share of other documents that have it is at most ``doubt`` of that of toxic ones.
     """
 
     per_class: int = 1500
-    max_chars: int = 100_000
+    max_chars: int = 20_000
     shortest: int = 3
     longest: int = 10
     occurrences: int = 3
@@ -233,7 +256,7 @@ class Model:
     bias: float
 
     def log_odds(self, text: str) -> float:
-        return self.bias + float(np.minimum(matches(text, self.words), _MOST) @ self.weights)
+        return self.bias + float(weighed(matches(text, self.words)) @ self.weights)
 
 
 # Letters, whether they begin a word, and from which occurrence in a document on they count.
@@ -311,7 +334,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, settings: Settings =
         return Model(lexicon(), weights, prior)
     toxic = [t for t, y in zip(texts, labels) if y]
     words = lexicon(learned_stems(toxic, [t for t, y in zip(texts, labels) if not y], settings))
-    rows = np.minimum(np.array([matches(t, words) for t in texts]), _MOST)
+    rows = weighed(np.array([matches(t, words) for t in texts]))
     rows = np.hstack([rows, np.ones((len(rows), 1))])
     centre = np.append(weights, -2.0)
 
@@ -353,7 +376,9 @@ def train(
         plain(docs, id_col, text_col)
         .join(F.broadcast(ids), "doc_id")
         .where(F.length("text") <= settings.max_chars)
-        .select("doc_id", "text", "label")
+        # One row of each id, so that the bound on ids bounds the texts that reach the driver.
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.min("label").alias("label"))
         .toPandas()
         .sort_values(["doc_id", "label", "text"])
     )

@@ -136,7 +136,33 @@ def test_clauses_and_not_words_are_scored():
     assert direct > told > soft > -2.0
     assert model.log_odds("you. he said nothing!") == -2.0 == model.log_odds("")
     # A target in another clause makes nothing direct.
-    assert toxicity.matches("you. blorg", words)[0] == 1
+    pattern = lambda t: {n: c for n, c in zip(toxicity.PATTERNS, toxicity.matches(t, words)) if c}
+    assert pattern("you. a blorg came by") == {} and pattern("you blorg") == {"direct insult": 1, "outcry": 1}
+    assert pattern("Blorg! Go") == {"outcry": 1} and pattern("not blorg!") == {"soft insult": 1}
+
+
+def test_a_lone_word_scores_nothing_at_any_repetition():
+    words = toxicity.lexicon([("blorg", True, True), ("zork", False, False)])
+    model = toxicity.Model(words, np.array(list(toxicity.PATTERNS.values())), -2.0)
+    for times in (1, 5, 500):
+        for text in ("The loser of the match shook hands. ", "To destroy and beat the old wall kills time; "):
+            assert model.log_odds(text * times) == -2.0
+    pattern = lambda t: {n: c for n, c in zip(toxicity.PATTERNS, toxicity.matches(t, words)) if c}
+    assert pattern("the stupid loser of the match came. what a blorgish day") == {"barrage": 2}
+    assert pattern("the loser came home" + ". and so on" * 11 + ". with a blorg at home") == {"barrage": 1}
+    assert pattern("the loser came home" + ". and so on" * 12 + ". with a blorg at home") == {}
+    assert pattern("the old blorg saw the zork here") == {"barrage of slurs": 1}
+    # Twice as many matches of a pattern always weigh more.
+    assert model.log_odds("you are a blorg. " * 40) > model.log_odds("you are a blorg. " * 20)
+
+
+def test_repeated_ids_reach_the_driver_once(spark, monkeypatch):
+    rows = [(1, f"you are a moron {i}", "en", "a") for i in range(300)] + [(2, "fine", "en", "a"), (3, "x" * 30_000, "en", "a")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, *_: seen.append(texts))
+    toxicity.train(docs(spark, rows), labels)
+    assert seen == [["you are a moron 0", "fine"]]
 
 
 def test_learned_stems_explain_toxic_documents():
