@@ -13,7 +13,7 @@ Spans are (kind, start, end) in code points, end exclusive.  Spans of the models
 they touch none of a pattern; spans of the patterns always stay.
 
 Defined results: a null or empty text has no spans; rows with a null or repeated id, and equal
-rows, are each looked at alone; an empty table gives an empty result, its models trained on the
+rows, are each looked at alone; very long texts are looked at whole, one at a time; an empty table gives an empty result, its models trained on the
 drawn strings alone.  Other columns are not read.
 """
 
@@ -45,13 +45,14 @@ _RUN = r"[A-Za-z0-9+/_=-]"
 @dataclass(frozen=True)
 class Settings:
     """A run of at least ``shortest`` characters is a secret if its log-likelihood ratio, in nats, is
-    ``total`` or more, and ``mean`` or more per character.  ``sample_docs`` bounds the documents the
+    ``total`` or more, and ``mean`` or more per character.  Random characters give about four nats each,
+    so the likelihood decides from 12 characters on; shorter runs are too near to ordinary names.  ``sample_docs`` bounds the documents the
     models are trained on, chosen by a seeded hash; ``drawn`` is the number of drawn strings.
     """
 
-    shortest: int = 20
+    shortest: int = 12
     total: float = 20.0
-    mean: float = 1.0
+    mean: float = 1.5
     sample_docs: int = 2000
     drawn: int = 6000
     seed: int = 31

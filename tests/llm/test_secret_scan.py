@@ -1,5 +1,6 @@
 import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,33 @@ def test_edge_rows_and_empty_table(spark, model):
     assert len(got) == len(rows)
     assert all(r.base == [] for r in got)
     assert secret_scan.scan(empty(spark), secret_scan.train(empty(spark))).count() == 0
+
+
+def test_short_random_strings_are_found_and_names_are_not(spark):
+    rng = random.Random(77)
+    prose = "the service reads customer records from the shared folder and writes daily reports about every order "
+    table = docs(spark, [(i, prose * 3 + f" row {i}", "en", "a") for i in range(200)])
+    model = secret_scan.train(table)
+    notations = (string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits)
+    keys = ["".join(rng.choice(rng.choice(notations[i % 3 : i % 3 + 1])) for _ in range(rng.randint(12, 19))) for i in range(300)]
+    names = "customer_id daily_reports_about shared-folder-order getCustomerRecords every_order_service recordsFromFolder"
+    rows = [(i, f"x {k} y", "en", "a") for i, k in enumerate(keys)] + [(1000 + i, f"a {n} b", "en", "a") for i, n in enumerate(names.split())]
+    got = {r.doc_id: [s["kind"] for s in r.spans] for r in secret_scan.scan(docs(spark, rows), model).collect()}
+    assert sum(bool(got[i]) for i in range(300)) > 0.9 * 300
+    assert not any(got[1000 + i] for i in range(len(names.split())))
+
+
+def test_ratio_equals_a_plain_sum(spark):
+    table = docs(spark, [(1, "plain words and aB3xK9qLm2Zt8 token: abcdef0123", "en", "a")])
+    model = secret_scan.train(table)
+    numbers = [float(x) for x in model.split(",")]
+    code = {c: i + 1 for i, c in enumerate(secret_scan.ALPHABET)}
+    width = len(secret_scan.ALPHABET) + 1
+    rng = random.Random(78)
+    tokens = ["a", "é-é", *("".join(rng.choice(secret_scan.ALPHABET + ".é") for _ in range(rng.randint(1, 40))) for _ in range(60))]
+    frame = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for r in frame.select("t", secret_scan.ratio(F.col("t"), model).alias("x")).collect():
+        want, before = 0.0, 0
+        for c in r.t:
+            want, before = want + numbers[before * width + code.get(c, 0)], code.get(c, 0)
+        assert abs(r.x - want) < 1e-6
