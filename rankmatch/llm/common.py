@@ -83,6 +83,32 @@ def sampled_ids(labels: DataFrame, label: str, per_class: int, seed: int) -> Dat
     )
 
 
+def training_rows(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, seed: int, id_col: str, text_col: str
+) -> tuple[list[str], np.ndarray, float]:
+    """Texts and labels to learn from, and the share of class 1 among all labelled rows.
+
+    One row of each of at most ``per_class`` ids of either class is taken, the least of its texts of at most
+    ``max_chars`` code points: so at most ``2 * per_class * max_chars`` code points reach the driver,
+    however many rows have one id.  An id labelled as both classes counts as class 0.
+    """
+    known = labels.select(column(id_col).alias("doc_id"), column(label).alias("label")).where(
+        "doc_id IS NOT NULL AND label IN (0, 1)"
+    )
+    share = known.agg(F.avg(F.col("label").cast("double"))).first()[0]
+    ids = sampled_ids(known.distinct(), "label", per_class, seed)
+    rows = (
+        plain(docs, id_col, text_col)
+        .join(F.broadcast(ids), "doc_id")
+        .where(F.length("text") <= max_chars)
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.min("label").alias("label"))
+        .toPandas()
+        .sort_values("doc_id")
+    )
+    return rows["text"].tolist(), rows["label"].to_numpy(), 0.5 if share is None else share
+
+
 def strings(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and where each of its values begins and ends."""
     if isinstance(values, pa.ChunkedArray):
@@ -127,6 +153,35 @@ def blocks(data: np.ndarray, ends: np.ndarray, limit: int = BLOCK_BYTES) -> Iter
         yield data[begin : int(ends[-1])], np.array(starts) - begin, np.array(owners)
 
 
+def overlapping(data: np.ndarray, ends: np.ndarray, limit: int = BLOCK_BYTES, reach: int = 3) -> Iterator[tuple]:
+    """:func:`blocks`, and how many bytes at the begin of a block were in the block before as well.
+
+    A document over ``limit`` bytes comes as blocks of its own, each beginning with the last word of the one
+    before and at least ``reach`` of its bytes, so that no pair of words and no n-gram of up to ``reach`` + 1
+    bytes is lost at a cut.  Only a word over ``limit`` bytes counts as several.
+    """
+    first, n = 0, len(ends) - 1
+    for doc in [*np.flatnonzero(np.diff(ends) > limit).tolist(), n]:
+        if doc > first:
+            for block, starts, owners in blocks(data, ends[first : doc + 1], limit):
+                yield block, starts, owners + first, 0
+        if doc < n:
+            text = data[int(ends[doc]) : int(ends[doc + 1])]
+            at = back = 0
+            while at < len(text):
+                cut = len(text)
+                if cut - at > limit:
+                    blank = np.flatnonzero(_BLANK[text[at : at + limit]])
+                    cut = at + (int(blank[-1]) + 1 if len(blank) else limit)
+                yield text[back:cut], np.zeros(1, np.int64), np.array([doc]), at - back
+                low = max(cut - limit, 0)
+                ink = ~_BLANK[text[low:cut]]
+                begin = np.flatnonzero(ink[1:] & ~ink[:-1])
+                back = max(min(cut - reach, low + 1 + int(begin[-1]) if len(begin) else cut - reach), 0)
+                at = cut
+        first = doc + 1
+
+
 def word_bounds(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of every word of a block; a piece start always begins a new word."""
     ink = ~_BLANK[block]

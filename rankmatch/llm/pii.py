@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankmatch.llm.common import Shared, by_texts, column, free_name, plain, small_batches
+from rankmatch.session import store
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -384,23 +385,31 @@ def _labels(g: Graph, spans: list[Span]) -> list[int]:
 
 
 def train(
-    docs: DataFrame, sample_docs: int = 20_000, seed: int = 11, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    sample_docs: int = 20_000,
+    seed: int = 11,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_words: int = 4_000_000,
 ) -> Field:
     """Fit the field to the patterns' findings in about ``sample_docs`` documents, chosen by a seeded hash.
 
-    At most twice as many are taken.  Documents with a match of too many digits are left out, as
-    nobody knows what their words are.  Only words' features and ties reach the driver.
+    At most twice as many are taken, one row of each id.  Documents with a match of too many digits are
+    left out, as nobody knows what their words are.  Only words' features and ties reach the driver, together
+    at most ``max_words``: documents with over a hundredth of that are left out, and of the
+    others those with the least hashes are taken.
     """
     texts = plain(docs, id_col, text_col).where("doc_id IS NOT NULL")
     share = min(1.0, sample_docs / max(texts.count(), 1))
-    mark = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
-    some = texts.where(mark < int(share * 1_000_000)).withColumn("mark", mark)
+    some = texts.withColumn("mark", F.xxhash64(F.lit(seed), "doc_id"))
+    some = some.where(F.pmod("mark", F.lit(1_000_000)) < int(share * 1_000_000))
 
     def run(batches):
         for batch in batches:
             rows = []
             for text, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if (g := graph(text)) is not None:
+                g = graph(text)
+                if g is not None and 100 * (len(g.bits) + len(g.ties)) <= max_words:
                     spans, crowded = pattern_spans(text)
                     if not crowded:
                         rows.append((at, g.bits, _labels(g, spans), [x for tie in g.ties for x in tie]))
@@ -411,7 +420,13 @@ def train(
     lists = pa.list_(pa.int64())
     schema = pa.schema([("mark", pa.int64()), ("bits", lists), ("labels", lists), ("ties", lists)])
     found = by_texts(some, run, "mark bigint, bits array<bigint>, labels array<bigint>, ties array<bigint>")
-    rows = found.orderBy("mark", "bits", "labels").limit(2 * sample_docs).collect()
+    one = found.groupBy("mark").agg(F.min(F.struct("bits", "labels", "ties")).alias("one"))
+    held = store(one.select("mark", "one.*"), "words")
+    sizes = held.select("mark", (F.size("bits") + F.size("ties") / 3).cast("long").alias("n"))
+    first = sizes.orderBy("mark").limit(2 * sample_docs).collect()
+    fits = np.cumsum([r.n for r in first]) <= max_words
+    last = max((r.mark for r, ok in zip(first, fits) if ok), default=None)
+    rows = sorted(held.where(F.col("mark") <= F.lit(last)).collect(), key=lambda r: r.mark)
     starts = np.cumsum([0, *(len(r.bits) for r in rows)])
     bits = np.array([b for r in rows for b in r.bits], np.int64)
     labels = np.array([x for r in rows for x in r.labels], int)

@@ -10,7 +10,8 @@ needs a single look-up per n-gram and runs over whole texts in Arrow batches.
 
 Defined results: a null or empty text has no n-grams and gets the score of the class shares; a
 null id, a repeated row and a tie are scored like any other; an empty table gives an empty
-result; without a labelled row of each class every score is the share of class 1, or 0.5.
+result; without a labelled row of each class every score is the share of class 1, or 0.5; a text of
+any length is scored whole, in pieces that overlap, so that only a word over a mebibyte counts as several.
 Columns other than the id and the text are not read.
 """
 
@@ -27,15 +28,15 @@ from pyspark.sql import functions as F
 from rankmatch.llm.common import (
     Shared,
     WordHashes,
-    blocks,
     by_texts,
     column,
     free_name,
     mixed,
+    overlapping,
     plain,
-    sampled_ids,
     small_batches,
     strings,
+    training_rows,
     word_bounds,
 )
 
@@ -44,16 +45,16 @@ from rankmatch.llm.common import (
 class Settings:
     """Parameters of the classifier.
 
-    ``per_class`` bounds the training sample: so many labelled documents of either class, chosen
-    by a seeded hash of the id among those of at most ``max_chars`` code points.  The shares of
-    the classes are counted over all labelled rows.
+    ``per_class`` and ``max_chars`` bound the training sample: one row each of so many labelled ids of
+    either class, chosen by a seeded hash of the id, of at most so many code points.  The shares
+    of the classes are counted over all labelled rows.
     """
 
     bits: int = 16
     dim: int = 8
     char_ngrams: tuple[int, ...] = (3, 4)
     per_class: int = 1500
-    max_chars: int = 100_000
+    max_chars: int = 20_000
     epochs: int = 6
     rate: float = 40.0
     seed: int = 7
@@ -68,8 +69,13 @@ class Model:
     bias: float
 
 
-def features(block: np.ndarray, starts: np.ndarray, settings: Settings, hashes: WordHashes) -> Iterator[tuple]:
-    """(rows of the table, piece of each) for every kind of n-gram of a block of text."""
+def features(
+    block: np.ndarray, starts: np.ndarray, settings: Settings, hashes: WordHashes, seen: int = 0
+) -> Iterator[tuple]:
+    """(rows of the table, piece of each) for every kind of n-gram of a block of text.
+
+    N-grams that end within the first ``seen`` bytes are left out: the block before had them.
+    """
     shift = np.uint64(64 - settings.bits)
     bounds = np.append(starts, len(block))
     piece = np.repeat(np.arange(len(starts)), np.diff(bounds))
@@ -84,13 +90,14 @@ def features(block: np.ndarray, starts: np.ndarray, settings: Settings, hashes:
         code = (code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA77 + 2 * n)
         own = piece[: len(code)]
         inside = own == piece[n - 1 :]
+        inside[: max(seen - n + 1, 0)] = False
         yield (code >> np.uint32(32 - settings.bits))[inside], own[inside]
     begin, end = word_bounds(block, starts)
     if not len(begin):
         return
-    word, own = hashes(block, begin, end), piece[begin]
-    yield mixed(word) >> shift, own
-    inside = own[1:] == own[:-1]
+    word, own, new = hashes(block, begin, end), piece[begin], end > seen
+    yield (mixed(word) >> shift)[new], own[new]
+    inside = (own[1:] == own[:-1]) & new[1:]
     pair = mixed(word[1:] + mixed(word[:-1]))[inside]
     yield pair >> shift, own[1:][inside]
     # A word that follows itself is one n-gram whatever the word is.
@@ -98,11 +105,15 @@ def features(block: np.ndarray, starts: np.ndarray, settings: Settings, hashes:
     yield np.full(int(same.sum()), 1, np.uint64), own[1:][inside][same]
 
 
+def _reach(settings: Settings) -> int:
+    return max([1, *settings.char_ngrams]) - 1
+
+
 def log_odds(values: pa.Array, model: Model, hashes: WordHashes) -> np.ndarray:
     data, ends = strings(values)
     total, count = np.zeros(len(values)), np.zeros(len(values))
-    for block, starts, owners in blocks(data, ends):
-        for rows, piece in features(block, starts, model.settings, hashes):
+    for block, starts, owners, seen in overlapping(data, ends, reach=_reach(model.settings)):
+        for rows, piece in features(block, starts, model.settings, hashes, seen):
             k = len(starts)
             np.add.at(total, owners, np.bincount(piece, model.table[rows], k))
             np.add.at(count, owners, np.bincount(piece, minlength=k))
@@ -112,7 +123,8 @@ def log_odds(values: pa.Array, model: Model, hashes: WordHashes) -> np.ndarray:
 def _document(text: str, settings: Settings, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of the table that a training text uses, and the share of each."""
     data, ends = strings(pa.array([text]))
-    found = [r for b, s, _ in blocks(data, ends) for r, _ in features(b, s, settings, hashes)]
+    parts = overlapping(data, ends, reach=_reach(settings))
+    found = [r for b, s, _, seen in parts for r, _ in features(b, s, settings, hashes, seen)]
     rows, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
     return rows.astype(np.int64), counts / max(counts.sum(), 1)
 
@@ -160,20 +172,8 @@ def train(
     text_col: str = "text",
 ) -> Model:
     """Fit to the documents that ``labels`` (id, ``label`` 0 or 1) names; see :class:`Settings`."""
-    known = labels.select(column(id_col).alias("doc_id"), column(label).alias("label")).where(
-        "doc_id IS NOT NULL AND label IN (0, 1)"
-    )
-    texts = plain(docs, id_col, text_col)
-    share = known.agg(F.avg(F.col("label").cast("double"))).first()[0]
-    ids = sampled_ids(known.distinct(), "label", settings.per_class, settings.seed)
-    rows = (
-        texts.join(F.broadcast(ids), "doc_id")
-        .where(F.length("text") <= settings.max_chars)
-        .select("doc_id", "text", "label")
-        .toPandas()
-        .sort_values(["doc_id", "label", "text"])
-    )
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(), 0.5 if share is None else share, settings)
+    most = (settings.per_class, settings.max_chars, settings.seed)
+    return fit(*training_rows(docs, labels, label, *most, id_col, text_col), settings)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

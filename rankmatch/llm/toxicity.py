@@ -37,9 +37,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from rankmatch.llm.common import Shared, by_texts, column, plain, sampled_ids
+from rankmatch.llm.common import Shared, by_texts, plain, training_rows
 
 # The words of each class, in English, German, French and Spanish.
 WORDS = {
@@ -367,22 +366,8 @@ def train(
     text_col: str = "text",
 ) -> Model:
     """Fit to the documents that ``labels`` (id, ``label`` 0 or 1) names; see :class:`Settings`."""
-    known = labels.select(column(id_col).alias("doc_id"), column(label).alias("label")).where(
-        "doc_id IS NOT NULL AND label IN (0, 1)"
-    )
-    share = known.agg(F.avg(F.col("label").cast("double"))).first()[0]
-    ids = sampled_ids(known.distinct(), "label", settings.per_class, settings.seed)
-    rows = (
-        plain(docs, id_col, text_col)
-        .join(F.broadcast(ids), "doc_id")
-        .where(F.length("text") <= settings.max_chars)
-        # One row of each id, so that the bound on ids bounds the texts that reach the driver.
-        .groupBy("doc_id")
-        .agg(F.min("text").alias("text"), F.min("label").alias("label"))
-        .toPandas()
-        .sort_values(["doc_id", "label", "text"])
-    )
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(), 0.5 if share is None else share, settings)
+    most = (settings.per_class, settings.max_chars, settings.seed)
+    return fit(*training_rows(docs, labels, label, *most, id_col, text_col), settings)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,12 +3,15 @@
 import os
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rankmatch.llm import quality_model, toxicity
+from rankmatch.llm.common import overlapping, strings
 from rankmatch.llm.queries import held_out
 from tests.llm.helpers import docs, edge_rows, empty
 
@@ -20,15 +23,11 @@ def test_gradient_of_one_step_lowers_the_loss():
     texts = ["good plain words here", "BAD!! WORDS!! HERE!!"] * 20
     labels = np.array([1, 0] * 20)
     model = quality_model.fit(texts, labels, 0.5, quality_model.Settings(bits=12, epochs=2))
-    import pyarrow as pa
-
     odds = quality_model.log_odds(pa.array(texts[:2]), model, quality_model.WordHashes())
     assert odds[0] > 0 > odds[1]
 
 
 def test_score_does_not_depend_on_the_batch_or_on_blocks(monkeypatch):
-    import pyarrow as pa
-
     rng = random.Random(19)
     texts = ["".join(rng.choice("ab é\n") for _ in range(rng.randint(0, 300))) for _ in range(50)]
     model = quality_model.fit(texts, np.array([0, 1] * 25), 0.5, quality_model.Settings(bits=10, epochs=1))
@@ -46,6 +45,95 @@ def test_all_ngrams_are_counted():
     assert found == [9, 8, 3, 2, 2]
 
 
+def test_pieces_of_a_long_text_lose_no_ngram():
+    rng = random.Random(23)
+    settings, hashes = quality_model.Settings(bits=16), quality_model.WordHashes()
+
+    def counted(texts, limit):
+        data, ends = strings(pa.array(texts))
+        found = Counter()
+        for block, starts, owners, seen in overlapping(data, ends, limit):
+            for rows, piece in quality_model.features(block, starts, settings, hashes, seen):
+                found.update(zip(owners[piece].tolist(), rows.tolist()))
+        return found
+
+    for _ in range(30):
+        texts = ["".join(rng.choice("ab é \n") for _ in range(rng.randint(0, 400))) for _ in range(6)]
+        assert counted(texts, 64) == counted(texts, 1 << 20)
+
+
+def test_score_of_a_text_is_the_mean_over_its_ngrams_one_by_one():
+    """A plain version with a loop per n-gram; only the hashes are shared."""
+    settings, hashes = quality_model.Settings(bits=10, epochs=2), quality_model.WordHashes()
+    texts = ["good plain words", "bad bad words é", "", "x"] * 5
+    model = quality_model.fit(texts, np.array([1, 0, 1, 0] * 5), 0.5, settings)
+
+    def row(block, which, at):
+        found = list(quality_model.features(np.frombuffer(block, np.uint8), np.array([0]), settings, hashes))
+        return model.table[int(found[which][0][at])]
+
+    for text in ["good words words", "x y", "é"]:
+        raw, parts = text.encode(), []
+        for k, n in enumerate((3, 4)):
+            parts += [row(b"    " + raw[i : i + n], k, 4) for i in range(len(raw) - n + 1)]
+        words = raw.split()
+        parts += [row(b"    " + w, 2, 0) for w in words]
+        parts += [row(b"    " + a + b" " + b, 3, 0) for a, b in zip(words, words[1:])]
+        parts += [model.table[1] for a, b in zip(words, words[1:]) if a == b]
+        got = quality_model.log_odds(pa.array([text]), model, hashes)[0]
+        assert got == pytest.approx(model.bias + sum(parts) / max(len(parts), 1), abs=1e-6)
+
+
+def test_gradient_equals_finite_differences():
+    """One step from the drawn start moves vectors and layer against the slope of the loss."""
+    settings = quality_model.Settings(bits=6, dim=3, epochs=1, rate=0.001)
+    hashes, size = quality_model.WordHashes(), 64
+    texts, labels = ["aa bb", "cc dd ee"], np.array([1, 0])
+    random_ = np.random.default_rng(settings.seed)
+    vectors = random_.normal(0, 0.05, (size, 3)).astype(np.float32).astype(float)
+    layer = random_.normal(0, 1, (3, 2)).astype(np.float32).astype(float)
+    order = random_.permutation(2)
+
+    def loss(v, w, offset, i):
+        rows, weights = quality_model._document(texts[i], settings, hashes)
+        out = (weights @ v[rows]) @ w + offset
+        return np.log(np.exp(out).sum()) - out[labels[i]]
+
+    def slope(f, x):
+        found = np.zeros_like(x)
+        for at in np.ndindex(*x.shape):
+            up, down = x.copy(), x.copy()
+            up[at] += 1e-5
+            down[at] -= 1e-5
+            found[at] = (f(up) - f(down)) / 2e-5
+        return found
+
+    offset = np.zeros(2)
+    for step, i in enumerate(order):
+        rate = settings.rate * (1 - step / 2)
+        dv = slope(lambda x: loss(x, layer, offset, i), vectors)
+        dw = slope(lambda x: loss(vectors, x, offset, i), layer)
+        do = slope(lambda x: loss(vectors, layer, x, i), offset)
+        vectors, layer, offset = vectors - rate * dv, layer - 0.001 * rate * dw, offset - 0.001 * rate * do
+    model = quality_model.fit(texts, labels, 0.5, settings)
+    assert np.allclose(model.table, vectors @ (layer[:, 1] - layer[:, 0]), atol=1e-5)
+    assert model.bias == pytest.approx(offset[1] - offset[0], abs=1e-7)
+
+
+@pytest.mark.parametrize("operator, most", [(quality_model, 10), (toxicity, 10)])
+def test_an_id_on_many_rows_brings_one_text_to_the_driver(spark, monkeypatch, operator, most):
+    rows = [(1, f"text {i}", "en", "a") for i in range(3000)] + [(i, f"other {i}", "en", "a") for i in range(2, 40)]
+    rows.append((40, "long " * 9000, "en", "a"))
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(operator, "fit", lambda texts, labels, share, settings: taken.append((texts, labels)))
+    operator.train(docs(spark, rows), known, "quality", operator.Settings(per_class=most))
+    (texts, labels), = taken
+    assert len(texts) == len(labels) <= 2 * most and max(map(len, texts)) < 20_000
+    operator.train(docs(spark, rows), known, "quality", operator.Settings(per_class=100))
+    assert len(taken[1][0]) == 39 and taken[1][0].count("text 0") == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
 @pytest.mark.parametrize(
     "operator, label, part, least",

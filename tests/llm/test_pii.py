@@ -101,3 +101,19 @@ def test_scan_and_redact_edge_rows(spark):
 def test_empty_table(spark, operator):
     table = empty(spark)
     assert operator(table, pii.train(table)).count() == 0
+
+
+def test_training_is_bounded_by_words_and_takes_one_row_of_an_id(spark, monkeypatch):
+    rows = [(1, f"call +49 30 1234567{i % 10} now", "en", "a") for i in range(500)]
+    rows += [(i, f"mail a{i}@example.org or 10.0.0.{i}", "en", "a") for i in range(2, 102)]
+    rows.append((200, "".join(f"n{i} " for i in range(3000)), "en", "a"))
+    taken = []
+    monkeypatch.setattr(pii, "fit", lambda bits, labels, ties: taken.append((bits, labels, ties)))
+    table = docs(spark, rows)
+    pii.train(table)
+    pii.train(table, max_words=2000)
+    pii.train(table, max_words=100)
+    pii.train(table.limit(0))
+    whole, bounded, few, none = (len(b) + len(t) for b, _, t in taken)
+    assert whole > 3000 and all(len(b) == len(x) for b, x, _ in taken)
+    assert 0 < bounded <= 2000 and few <= 100 and none == 0
