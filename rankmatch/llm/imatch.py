@@ -17,8 +17,8 @@ lexicon.  With ``d`` distinct terms in a document on average and a lower end of
 Defined results: a null or empty text has no terms, and all such texts one fingerprint; a text
 without a term of the lexicon is fingerprinted by all its terms; equal texts have equal
 fingerprints whatever their ids; rows without an id come first in the order of documents, and
-rows of one id in the order of their texts; the only document of a table is its own next one;
-an empty table gives an empty result.  Other columns are not read.
+rows of one id in the order of their texts' hashes; the only document of a table is its own next one;
+a text of any length is fingerprinted whole; an empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -219,47 +219,67 @@ def fingerprints(
 _FIRST = -(1 << 63)
 
 
+class _Bounds:
+    """Where runs begin: after the rows before an id and, for an id cut m times, at each m-th of the hashes."""
+
+    def __init__(self, cuts: Iterable[int]):
+        found = sorted(Counter(cuts).items())
+        self.ids = np.array([c for c, _ in found], np.int64)
+        self.before = np.cumsum([0, *(m for _, m in found)])
+        # A step of 0 stands for the whole range of hashes.
+        self.steps = np.array([0, *((1 << 64) // m + 1 if m > 1 else 0 for _, m in found)], np.uint64)
+
+    def runs(self, keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Number of the run of every (id, hash of the text)."""
+        at = np.searchsorted(self.ids, keys, "right")
+        own = np.zeros(len(keys), bool)
+        own[at > 0] = self.ids[at[at > 0] - 1] == keys[at > 0]
+        steps = np.where(own, self.steps[at], np.uint64(0))
+        rising = hashes.view(np.uint64) ^ np.uint64(1 << 63)
+        part = np.where(steps > 0, rising // np.maximum(steps, np.uint64(1)), np.uint64(0)).astype(np.int64)
+        return np.where(own, self.before[at - 1] + part + 1, self.before[at]).astype(np.int32)
+
+
 def in_order(docs: DataFrame, run_docs: int = 1024, max_runs: int = 20_000) -> DataFrame:
     """``run``, ``tail``, ``doc_id`` and ``text``, dealt so that every document lies before its next one.
 
-    Ids are cut into runs at their quantiles; a run lies in one partition, sorted, and ends with
+    Rows are in the order of their ids, and those of one id in the order of their texts' hashes.  They are cut
+    into runs at the ids' quantiles; an id that takes several quantiles, above all the missing one, is cut by the
+    hashes too, so only equal rows must share a run.  A run lies in one partition, sorted, and ends with
     a copy of the next run's first document, marked as ``tail``; after the last comes the first.
-    Texts are shuffled once.  Only the runs' bounds reach the driver, ``max_runs`` at most.
+    Texts are shuffled once.  Only the runs' bounds reach the driver, ``max_runs`` at most; sorting a
+    run spills, and the scan after it holds two texts.
     """
     texts = plain(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    key = F.coalesce("doc_id", F.lit(_FIRST))
+    keyed = texts.withColumns({"key": F.coalesce("doc_id", F.lit(_FIRST)), "hash": F.xxhash64("text")})
     runs = min(max(-(-texts.count() // run_docs), 1), max_runs)
     shares = [i / runs for i in range(1, runs)]
-    cuts = []
-    if shares:
-        found = texts.select(key.alias("key")).agg(F.percentile_approx("key", shares, 8 * runs)).first()[0]
-        cuts = sorted(set(found or []))
-    bounds = np.array(cuts, np.int64)
+    found = keyed.agg(F.percentile_approx("key", shares, 8 * runs)).first()[0] if shares else None
+    bounds = _Bounds(found or [])
 
     @F.pandas_udf("int")
-    def run_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, keys.to_numpy(np.int64), "right").astype(np.int32))
+    def run_of(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(bounds.runs(keys.to_numpy(np.int64), hashes.to_numpy(np.int64)))
 
-    keyed = texts.withColumn("key", key)
-    heads = sorted(
-        keyed.select("key", run_of("key").alias("run")).groupBy("run").agg(F.min("key").alias("key")).collect()
-    )
+    own = keyed.select("key", "hash", run_of("key", "hash").alias("run"))
+    heads = sorted(own.groupBy("run").agg(F.min(F.struct("key", "hash")).alias("first")).collect())
     numbers = np.array([r.run for r in heads], np.int64)
-    firsts = np.array([r.key for r in heads], np.int64)
+    first_keys = np.array([r.first.key for r in heads], np.int64)
+    first_hashes = np.array([r.first.hash for r in heads], np.int64)
 
     @F.pandas_udf("array<int>")
-    def places(keys: pd.Series) -> pd.Series:
-        values = keys.to_numpy(np.int64)
-        own = np.searchsorted(bounds, values, "right")
+    def places(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        k, h = keys.to_numpy(np.int64), hashes.to_numpy(np.int64)
+        own = bounds.runs(k, h)
         at = np.searchsorted(numbers, own)
-        head = firsts[at] == values
-        before = numbers[at - 1]
-        return pd.Series([[int(o), int(b)] if h else [int(o)] for o, b, h in zip(own, before, head)])
+        # Of equal rows at the begin of a run, one in a batch is copied.
+        head = (first_keys[at] == k) & (first_hashes[at] == h) & ~pd.DataFrame({"k": k, "h": h}).duplicated().to_numpy()
+        return pd.Series([[int(o), int(b)] if f else [int(o)] for o, b, f in zip(own, numbers[at - 1], head)])
 
     return (
-        keyed.select("doc_id", "text", "key", F.posexplode(places("key")).alias("tail", "run"))
+        keyed.select("doc_id", "text", "key", "hash", F.posexplode(places("key", "hash")).alias("tail", "run"))
         .repartition("run")
-        .sortWithinPartitions("run", "tail", "key", "text")
+        .sortWithinPartitions("run", "tail", "key", "hash", "text")
         .select("run", "tail", "doc_id", "text")
     )
 

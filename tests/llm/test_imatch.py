@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from rankmatch.llm import imatch
 from tests.llm.helpers import docs, edge_rows, empty
@@ -51,6 +52,37 @@ def test_edited_texts_in_order(spark):
         assert r.near_next == imatch.likeness(r.fingerprint, words.fingerprint(after.encode()))
 
 
+def test_rows_of_one_id_are_cut_into_runs_too(spark):
+    rows = [(None, f"text {i}", "en", "s") for i in range(600)] + [(i, f"other {i}", "en", "s") for i in range(1200)]
+    rows += [(700, f"more {i}", "en", "s") for i in range(600)] + [(-5, "same", "en", "s")] * 3
+    table = docs(spark, rows).repartition(4)
+    found = imatch.in_order(table, run_docs=100).collect()
+    own, tails = [r for r in found if not r.tail], [r for r in found if r.tail]
+    sizes = Counter(r.run for r in own)
+    assert len(own) == len(rows) and max(sizes.values()) <= 250
+    # A run has its copy of the next one's first row once, or once a batch where equal rows are the first.
+    assert len(tails) <= len(sizes) + 3
+    hashes = {r.text: r.h for r in table.selectExpr("text", "xxhash64(text) AS h").collect()}
+
+    def place(row):
+        return (-(1 << 63) if row.doc_id is None else row.doc_id, hashes[row.text], row.text)
+
+    heads = {}
+    for r in own:
+        heads[r.run] = min(heads.get(r.run, place(r)), place(r))
+    ordered = sorted(sizes)
+    assert [heads[n] for n in ordered] == sorted(heads.values())
+    for run, after in zip(ordered, [*ordered[1:], ordered[0]]):
+        assert {place(t) for t in tails if t.run == run} == {heads[after]}
+    words = imatch.lexicon(table, SETTINGS)
+    texts = sorted(map(place, own))
+    want = Counter(
+        (p[0], hashlib.sha256(imatch.edited(p[2], q[2]).encode()).hexdigest()) for p, q in zip(texts, [*texts[1:], texts[0]])
+    )
+    got = imatch.compare_edited(table, words).collect()
+    assert Counter((-(1 << 63) if r.doc_id is None else r.doc_id, r.edited_sha256) for r in got) == want
+
+
 def test_fingerprint_is_of_the_set_of_terms():
     words = imatch.Lexicon.of([b"a", b"b", b"c"], imatch.Settings())
     assert words.fingerprint(b"a b zzz") == words.fingerprint(b"yyy B a A")
