@@ -394,7 +394,32 @@ FROM cleaned""",
     ),
     "q_clean_records": _with("SELECT * FROM cleaned", "cleaned"),
     "q_backbone_prepare": _with("SELECT * FROM prepared", "prepared"),
+    "q_backbone_generic": _with(
+        """SELECT taxonID, genericName, CASE WHEN taxonID % 3 <> 0 THEN genus ELSE genericName END AS genus,
+  specificEpithet, coalesce(infraspecificEpithet, '') AS infraspecificEpithet, taxonomicStatus, acceptedNameUsageID
+FROM backbone
+WHERE taxonRank <> 'unranked' AND CASE WHEN taxonID % 3 <> 0 THEN genus ELSE genericName END <> ''
+  AND specificEpithet <> ''
+  AND taxonomicStatus IN ('accepted', 'synonym', 'homotypic synonym', 'proparte synonym', 'heterotypic synonym')""",
+        "backbone",
+    ),
     "q_exact_match": _with(f"SELECT {_PAIR} FROM matching", "matching"),
+    "q_exact_record_name": _with(
+        """SELECT c."speciesId" AS speciesID, p.taxonID AS matched_taxonID, p.acceptedNameUsageID, c.kingdom, c.genus,
+  c.genericName, c.specificEpithet, nullif(c.infraspecificEpithet, '') AS infraspecificEpithet
+FROM cleaned c LEFT JOIN prepared p ON c.genus = p.genus AND c.specificEpithet = p.specificEpithet
+  AND c.infraspecificEpithet = p.infraspecificEpithet""",
+        "cleaned",
+        "prepared",
+    ),
+    "q_ambiguous_rows": _with(f"SELECT {_PAIR} FROM matching WHERE n_rows > 1", "matching"),
+    "q_backed_left": _with(
+        f"""SELECT {_PAIR} FROM matching WHERE n_rows > 1 AND speciesID NOT IN (
+  SELECT speciesID FROM matching WHERE n_rows > 1 AND acceptedNameUsageID IS NULL AND matched_taxonID IN (
+    SELECT acceptedNameUsageID FROM matching
+    WHERE n_rows > 1 AND matched_taxonID IS NOT NULL AND acceptedNameUsageID IS NOT NULL))""",
+        "matching",
+    ),
     "q_exact_candidates": _with(
         f"""SELECT speciesID, matched_taxonID, acceptedNameUsageID, kingdom, genus, genericName, specificEpithet,
   nullif(infraspecificEpithet, '') AS infraspecificEpithet, n_nodes, is_repeated FROM ({_COUNTED})""",

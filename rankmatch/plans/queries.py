@@ -185,6 +185,13 @@ def q_backbone_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return match.prepare_backbone(T.backbone(spark, sf))
 
 
+@query
+def q_backbone_generic(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes without a genus take their generic name: every third node of the table has lost its genus."""
+    genus = F.when(F.col(S.NODE_ID) % 3 != 0, F.col("genus"))
+    return match.prepare_backbone(T.backbone(spark, sf).withColumn("genus", genus), genus_from_generic=True)
+
+
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned checklist as a table, for queries that read it more than once."""
     return T.stored_checklist(spark, sf)
@@ -219,6 +226,28 @@ def q_exact_match(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf).select(_PAIR_COLUMNS)
 
 
+@query
+def q_exact_record_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs that keep the record's generic name."""
+    nodes = match.prepare_backbone(T.backbone(spark, sf))
+    pairs = match.exact_match(_cleaned(spark, sf), nodes, generic_name="record", join=attach)
+    return pairs.select(_PAIR_COLUMNS)
+
+
+@query
+def q_ambiguous_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The second output of dropping ambiguous records: all their pairs."""
+    pairs = store(_pairs(spark, sf).select(_PAIR_COLUMNS), "pairs")
+    return match.resolve_ambiguous(pairs, join=attach)[1]
+
+
+@query
+def q_backed_left(spark: SparkSession, sf: str) -> DataFrame:
+    """The second output of keeping backed pairs: pairs of ambiguous records that no accepted node backs."""
+    pairs = store(_pairs(spark, sf).select(_PAIR_COLUMNS), "pairs")
+    return match.resolve_ambiguous(pairs, on_ambiguous="accepted_backed", join=attach)[1]
+
+
 @query
 def q_exact_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return _found(spark, sf).select(*_PAIR_COLUMNS, "n_nodes", "is_repeated")
