@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rankmatch.llm.common import WORD, column, free_name
+from rankmatch.operators.joins import attach_stored
 from rankmatch.session import store
 
-# A table of sources is broadcast up to this number of them; beyond, it is joined by shuffle.
+# A table of sources is broadcast up to this number of them; beyond, it is joined by shuffle, sources
+# of many rows spread over several tasks.
 BROADCAST_SOURCES = 50_000
 _LEVEL = 12
+BLANKS = r"[\x20\x09-\x0D]*"
 
 
 def words(text: Column) -> Column:
@@ -45,6 +48,11 @@ def mark(seed: int, *columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
 
 
+def source_key(source: Column) -> Column:
+    """A text that differs between any two sources, the missing one included, and is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def ranked(sources: DataFrame) -> DataFrame:
     """Add ``rank``, from 0, by code point of ``source`` with null last.
 
@@ -124,12 +132,12 @@ def plan(narrow: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: fl
     share = store(
         share.select(
             "source", "source_size", "target", epochs.alias("epochs"), wanted.alias("wanted"),
-            F.xxhash64("source").alias("id"),
+            source_key(F.col("source")).alias("id"),
         ),
         "targets",
     )
     rows = narrow.select(
-        F.xxhash64("source").alias("id"),
+        source_key(F.col("source")).alias("id"),
         "size",
         "mark",
         F.shiftright("mark", 63 - _LEVEL).alias("high"),
@@ -173,9 +181,16 @@ def plan(narrow: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: fl
 
 
 def _with_plan(rows: DataFrame, source: Column, made: DataFrame) -> DataFrame:
-    """Join the plan, whose first column is the source, to ``rows``."""
-    small = made.count() <= BROADCAST_SOURCES
-    return rows.join(F.broadcast(made) if small else made, source.eqNullSafe(column(made.columns[0])))
+    """Join the plan, whose first column is the source, to ``rows``.
+
+    Every row has a source of the plan, so an outer join loses and adds none.
+    """
+    own = column(made.columns[0])
+    if made.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(made), source.eqNullSafe(own))
+    key = free_name([*rows.columns, *made.columns], "__source")
+    left, table = rows.withColumn(key, source_key(source)), made.withColumn(key, source_key(own))
+    return attach_stored(left, table, [key], "left", left.select(column(key)), limit=0).drop(key)
 
 
 def _numbered(rows: DataFrame, source: str, size: str, left: str, extra: str) -> DataFrame:
@@ -246,8 +261,8 @@ def mix(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    The row across a source's mark comes once more with its first words only, joined by single
-    blanks; ``chars_col``, if there is one, is counted anew for it.
+    The row across a source's mark comes once more, cut behind the last of its words that are taken;
+    ``chars_col``, if there is one, is counted anew for it.
     """
     text, source = column(text_col).cast("string"), column(source_col).cast("string")
     marked = mark(seed, column(id_col), text)
@@ -275,8 +290,9 @@ def mix(
     cut = (column(extra) > 0) & ~F.coalesce(full, F.lit(False))
     copies = F.concat(F.array_repeat(F.lit(False), times), F.array_repeat(F.lit(True), cut.cast("int")))
     taken = rest.withColumn(part, F.explode(copies))
-    some = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), column(extra).cast("int"))
-    shown = F.when(column(part), F.array_join(some, " ")).otherwise(text)
+    spaced = F.regexp_extract_all(text, F.lit(BLANKS + WORD), F.lit(0))
+    some = F.slice(spaced, F.lit(1), column(extra).cast("int"))
+    shown = F.when(column(part), F.array_join(some, "")).otherwise(text)
     fresh = {text_col: shown}
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
