@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch.llm.common import by_texts, column, free_name
+from rankmatch.operators.joins import attach_stored
 from rankmatch.session import store
 
 SYMBOLS = b"#*$%&|<>"
@@ -191,6 +192,16 @@ def cells(rows: DataFrame, least: int) -> DataFrame:
     return joined.select(F.col("lang").alias("cell_lang"), F.col("source").alias("cell_source"), cell.alias("cell"), "n")
 
 
+def beside(points: DataFrame, groups: DataFrame, few: bool, kind: str = "inner") -> DataFrame:
+    """``points`` with what ``groups`` says of their ``cell``.
+
+    Few groups are broadcast; of many, the points of a cell with very many rows are spread over several tasks.
+    """
+    if few:
+        return points.join(F.broadcast(groups), "cell", kind)
+    return attach_stored(points, store(groups, "beside"), ["cell"], kind, points.select("cell"), limit=0)
+
+
 def estimates(points: DataFrame, settings: Settings, few: bool) -> DataFrame:
     """``n``, mean ``m``, inverse covariance ``p`` and distance scale ``scale`` of each ``cell`` of points x0, x1, ...
 
@@ -203,7 +214,7 @@ def estimates(points: DataFrame, settings: Settings, few: bool) -> DataFrame:
 
     ranks = [middle(_x(i)).alias(f"c{i}") for i in range(_SIZE)]
     centres = store(points.groupBy("cell").agg(F.count("*").alias("n"), *ranks), "centres")
-    away = points.join(near(centres), "cell")
+    away = beside(points, centres, few)
     spread = away.groupBy("cell").agg(*[middle(F.abs(_x(i) - F.col(f"c{i}"))).alias(f"d{i}") for i in range(_SIZE)])
     # 1.4826 median deviations are a standard deviation of normal numbers.
     least = [F.lit(x) for x in settings.floor]
@@ -222,10 +233,10 @@ def estimates(points: DataFrame, settings: Settings, few: bool) -> DataFrame:
     now = now.withColumn("det", F.lit(None).cast("double"))
     done: list[DataFrame] = []
     while True:
-        placed = points.join(near(now), "cell")
+        placed = beside(points, now, few)
         limits = placed.groupBy("cell", "start").agg(middle(_distance(), settings.inner).alias("limit"))
         limits = store(now.join(near(limits), ["cell", "start"]), "limits")
-        inside = points.join(near(limits), "cell").where(_distance() <= F.col("limit"))
+        inside = beside(points, limits, few).where(_distance() <= F.col("limit"))
         fitted = inside.groupBy("cell", "start").agg(*_moments()).mapInArrow(_params(settings), _PARAMS_DDL)
         before = now.select("cell", "start", F.col("det").alias("before"))
         moves = F.coalesce(F.col("det") < F.col("before") - settings.settled, F.lit(True))
@@ -238,7 +249,7 @@ def estimates(points: DataFrame, settings: Settings, few: bool) -> DataFrame:
     best = reduce(DataFrame.union, done).groupBy("cell").agg(F.min(F.struct("det", "start", "m", "p", "free")).alias("b"))
     best = best.select("cell", "b.m", "b.p", "b.free")
     best = store(best, "best")
-    middles = points.join(near(best), "cell").groupBy("cell").agg(middle(_distance()).alias("middle"))
+    middles = beside(points, best, few).groupBy("cell").agg(middle(_distance()).alias("middle"))
     # The distances of most rows vary along the axes with a spread only; without any there is nothing to scale.
     usual = F.get(F.array(*map(F.lit, _MIDDLES)), F.col("free") - 1)
     scale = F.when((F.col("free") > 0) & (F.col("middle") > 0), F.col("middle") / usual).otherwise(1.0)
@@ -259,14 +270,20 @@ def judge(
     rows = store(statistics(docs, id_col, text_col, lang_col, source_col), "statistics")
     groups = store(cells(rows, settings.least), "cells")
     few = groups.count() <= BROADCAST_GROUPS
-    near = F.broadcast if few else (lambda df: df)
-    own = F.col("lang").eqNullSafe(F.col("cell_lang")) & F.col("source").eqNullSafe(F.col("cell_source"))
     xs = [x.alias(f"x{i}") for i, x in enumerate(vector())]
-    points = store(rows.join(near(groups), own).select("doc_id", "cell", *COUNTS, *xs), "points")
+    if few:
+        own = F.col("lang").eqNullSafe(F.col("cell_lang")) & F.col("source").eqNullSafe(F.col("cell_source"))
+        placed = rows.join(F.broadcast(groups), own)
+    else:
+        # Missing values are left out of the text, so it tells any two groups apart.
+        left = rows.withColumn("group", F.to_json(F.struct("lang", "source")))
+        table = groups.select(F.to_json(F.struct(F.col("cell_lang").alias("lang"), F.col("cell_source").alias("source"))).alias("group"), "cell", "n")
+        placed = attach_stored(left, store(table, "groups"), ["group"], "left", left.select("group"), limit=0)
+    points = store(placed.select("doc_id", "cell", *COUNTS, *xs), "points")
     found = store(estimates(points.select("cell", *[f"x{i}" for i in range(_SIZE)]), settings, few), "found")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     usual = (F.col("n") < settings.least) | (F.col("distance") <= settings.distance)
-    judged = points.join(near(found), "cell").withColumn("distance", _distance() / F.col("scale"))
+    judged = beside(points, found, few).withColumn("distance", _distance() / F.col("scale"))
     return judged.select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & usual).alias("kept"), "distance")
 
 
