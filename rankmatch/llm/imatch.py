@@ -11,11 +11,13 @@ are frequent in a run of a few thousand documents, with their counts.  In every
 has less than a known share, so these counts bound what it can have in all documents; the second
 pass counts the terms whose bound reaches the band's lower end, which are few more than the
 lexicon.  With ``d`` distinct terms in a document on average and a lower end of
-``s``, the lexicon has at most d / s terms whatever the corpus; where that is above
-``max_terms``, the lower end is raised to d / max_terms.  So it can be broadcast.
+``s``, the lexicon has at most d / s terms whatever the corpus, so it can be broadcast.  A lexicon
+of more than ``max_terms`` terms stays a table, and the terms of the distinct texts are joined to it
+by a shuffle; the band and the fingerprints are the same either way.
 
 Defined results: a null or empty text has no terms, and all such texts one fingerprint; a text
-without a term of the lexicon is fingerprinted by all its terms; equal texts have equal
+without a term of the lexicon is fingerprinted by all its terms, or with ``whole=False`` like an
+empty one; equal texts have equal
 fingerprints whatever their ids; rows without an id come first in the order of documents, and
 rows of one id in the order of their texts' hashes; the only document of a table is its own next one;
 a text of any length is fingerprinted whole; an empty table gives an empty result.  Other columns are not read.
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmatch.llm.common import WORD, Shared, by_texts, plain
+from rankmatch.operators.joins import ROWS, attach_stored
 from rankmatch.session import store
 
 # Candidates that are frequent in some run of documents are counted by tasks that hold them all,
@@ -52,7 +55,9 @@ _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 class Settings:
     """``least`` and ``most``: band of the share of documents a term of the lexicon occurs in, that is an
     inverse document frequency from log(1 / most) to log(1 / least).  ``rates``: share of the lexicon
-    in each random subset, falling; there are ``repeats`` subsets of every rate.
+    in each random subset, falling; there are ``repeats`` subsets of every rate.  ``max_terms``: terms of a
+    lexicon that is broadcast; it decides the work and never the result.  ``whole``: a text without a term
+    of the lexicon is fingerprinted by all its terms.
     """
 
     least: float = 0.001
@@ -61,6 +66,7 @@ class Settings:
     rates: tuple[float, ...] = (1 / 16, 1 / 32, 1 / 64, 1 / 128, 1 / 256, 1 / 512, 1 / 1024)
     repeats: int = 8
     seed: int = 42
+    whole: bool = True
 
     @property
     def subsets(self) -> list[float]:
@@ -94,20 +100,32 @@ class Lexicon:
     def fingerprint(self, text: bytes) -> str:
         """Eight hex digits of the whole lexicon and of each subset; all zero where a subset has no term."""
         own = terms(text)
-        kept = sorted(own & self.members.keys())
-        if kept:
-            of = self.members
-        else:
-            kept = sorted(own)
-            of = {t: _subsets_of(t, self.settings) for t in kept}
-        held: dict[int, list[bytes]] = {}
-        for term in kept:
-            for k in of[term]:
-                held.setdefault(k, []).append(term)
-        parts = [b" ".join(kept), *(b" ".join(held.get(k, ())) for k in range(len(self.settings.subsets)))]
-        return "".join(
-            f"{xxhash.xxh32_intdigest(p) or 1:08x}" if p or not i else "00000000" for i, p in enumerate(parts)
-        )
+        kept = own & self.members.keys()
+        if kept or not self.settings.whole:
+            return hashed(kept, self.members, self.settings)
+        return hashed(own, {t: _subsets_of(t, self.settings) for t in own}, self.settings)
+
+
+@dataclass
+class WideLexicon:
+    """A lexicon too large to broadcast: a stored table of ``term``, its documents ``__rows`` and whether it is ``inside``.
+
+    Terms above the band are in the table too, so that joins know the hot ones.
+    """
+
+    settings: Settings
+    table: DataFrame
+
+
+def hashed(kept: Iterable[bytes], of: Mapping[bytes, tuple[int, ...]], settings: Settings) -> str:
+    """The fingerprint of a set of terms, ``of`` naming the subsets of each."""
+    kept = sorted(kept)
+    held: dict[int, list[bytes]] = {}
+    for term in kept:
+        for k in of[term]:
+            held.setdefault(k, []).append(term)
+    parts = [b" ".join(kept), *(b" ".join(held.get(k, ())) for k in range(len(settings.subsets)))]
+    return "".join(f"{xxhash.xxh32_intdigest(p) or 1:08x}" if p or not i else "00000000" for i, p in enumerate(parts))
 
 
 def likeness(a: str, b: str, repeats: int = Settings.repeats) -> float:
@@ -130,11 +148,11 @@ def likeness(a: str, b: str, repeats: int = Settings.repeats) -> float:
 def _frequent_in_runs(share: float):
     """Terms with at least that share of a run of documents, and by how many they exceed it.
 
-    A null term tells a run's totals.
+    A null term tells a run's documents.
     """
 
     def run(batches):
-        seen, docs, size, distinct = Counter(), 0, 0, 0
+        seen, docs, size = Counter(), 0, 0
 
         def told():
             low = share * docs
@@ -142,18 +160,17 @@ def _frequent_in_runs(share: float):
             zeros = [0] * len(kept)
             return pa.RecordBatch.from_arrays(
                 [pa.array([None, *(t for t, _ in kept)], pa.binary()), pa.array([0.0, *(x for _, x in kept)]),
-                 pa.array([docs, *zeros], pa.int64()), pa.array([distinct, *zeros], pa.int64())],
-                names=["term", "above", "docs", "distinct"],
+                 pa.array([docs, *zeros], pa.int64())],
+                names=["term", "above", "docs"],
             )
 
         for batch in batches:
             for text in pc.cast(batch.column(0), pa.large_binary()).to_pylist():
-                own = terms(text)
-                seen.update(own)
-                docs, size, distinct = docs + 1, size + len(text), distinct + len(own)
+                seen.update(terms(text))
+                docs, size = docs + 1, size + len(text)
                 if docs >= _RUN_DOCS or size >= _RUN_BYTES:
                     yield told()
-                    seen, docs, size, distinct = Counter(), 0, 0, 0
+                    seen, docs, size = Counter(), 0, 0
         if docs:
             yield told()
 
@@ -173,17 +190,17 @@ def _counted(candidates):
     return run
 
 
-def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Lexicon:
-    """The terms of all documents within the band; see the module's text for its bound."""
+def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Lexicon | WideLexicon:
+    """The terms of all documents within the band, as a table if there are more than ``max_terms``."""
     spark = docs.sparkSession
     texts = plain(docs, text_col, text_col).select("text")
     share = _SLACK * settings.least
-    found = by_texts(texts, _frequent_in_runs(share), "term binary, above double, docs bigint, distinct bigint")
+    found = by_texts(texts, _frequent_in_runs(share), "term binary, above double, docs bigint")
     found = store(found, "runs")
-    total, distinct = found.agg(F.sum("docs"), F.sum("distinct")).first()
+    total = found.agg(F.sum("docs")).first()[0]
     if not total:
         return Lexicon(settings)
-    least = max(settings.least, distinct / total / settings.max_terms)
+    least = settings.least
     # What a term has at most: what exceeds the share where it was passed on, and the share of all documents.
     above = found.where("term IS NOT NULL").groupBy("term").agg(F.sum("above").alias("above"))
     possible = above.where(F.col("above") + share * total >= least * total - 1e-6)
@@ -197,15 +214,53 @@ def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "t
         words = F.array_distinct(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)))
         each = texts.select(F.explode(words).alias("term")).select(F.col("term").cast("binary").alias("term"))
         counts = each.groupBy("term").agg(F.count("*").alias("n"))
-    band = counts.where((F.col("n") >= least * total) & (F.col("n") <= settings.most * total))
-    return Lexicon.of(sorted(bytes(r.term) for r in band.select("term").collect()), settings)
+    inside = (F.col("n") <= settings.most * total).alias("inside")
+    known = store(counts.where(F.col("n") >= least * total).select("term", F.col("n").alias(ROWS), inside), "lexicon")
+    band = known.where("inside").select("term")
+    if band.count() > settings.max_terms:
+        return WideLexicon(settings, known)
+    return Lexicon.of(sorted(bytes(r.term) for r in band.collect()), settings)
+
+
+def marks(texts: DataFrame, words: WideLexicon) -> DataFrame:
+    """``key`` and ``fingerprint`` of a stored table of distinct (``key``, ``text``).
+
+    A row for each distinct term of a text is joined to the lexicon, hot terms spread; what a text keeps,
+    no more than its own distinct terms, comes back to it by its key.
+    """
+    settings = words.settings
+
+    def each(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0), pc.cast(batch.column(1), pa.large_binary()).to_pylist()):
+                own = sorted(terms(text))
+                yield pa.RecordBatch.from_arrays([pa.repeat(key, len(own)), pa.array(own, pa.binary())], names=["key", "term"])
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for text, kept in zip(pc.cast(batch.column(1), pa.large_binary()).to_pylist(), batch.column(2).to_pylist()):
+                if kept is None:
+                    kept = terms(text) if settings.whole else ()
+                found.append(hashed(kept, {t: _subsets_of(t, settings) for t in kept}, settings))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["key", "fingerprint"])
+
+    joined = attach_stored(by_texts(texts, each, "key string, term binary"), words.table, ["term"], "inner")
+    kept = joined.where("inside").groupBy("key").agg(F.collect_list("term").alias("kept"))
+    return by_texts(texts.join(kept, "key", "left").select("key", "text", "kept"), run, "key string, fingerprint string")
 
 
 def fingerprints(
-    docs: DataFrame, words: Lexicon, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: Lexicon | WideLexicon, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id and ``fingerprint`` of every row."""
     texts = plain(docs, id_col, text_col)
+    if isinstance(words, WideLexicon):
+        keyed = store(texts.withColumn("key", F.sha2("text", 256)), "keyed")
+        distinct = store(keyed.groupBy("key").agg(F.first("text").alias("text")), "distinct")
+        made = store(marks(distinct, words), "marks")
+        found = attach_stored(keyed.select("doc_id", "key"), made, ["key"], "left")
+        return found.select("doc_id", "fingerprint")
     shared = Shared(docs.sparkSession, words)
 
     def run(batches):
@@ -290,10 +345,60 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-def compare_edited(docs: DataFrame, words: Lexicon) -> DataFrame:
+def _in_pairs(batches):
+    """Every document's text and edited text, with their keys and the next document's."""
+    names = ["doc_id", "n_chars", "own", "edited", "next", "text", "edited_text"]
+    kinds = [pa.int64(), pa.int64(), *[pa.string()] * 5]
+    before = None
+    for batch in batches:
+        rows = []
+        for number, tail, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            key = hashlib.sha256(text.encode()).hexdigest()
+            if before and before[0] == number and not before[1]:
+                _, _, last_id, last, last_key = before
+                new = edited(last, text)
+                rows.append((last_id, len(last), last_key, hashlib.sha256(new.encode()).hexdigest(), key, last, new))
+            before = (number, tail, doc_id, text, key)
+        columns = list(zip(*rows)) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _compare_by_join(docs: DataFrame, words: WideLexicon) -> DataFrame:
+    """:func:`compare_edited` with a lexicon that stays a table; equal texts are fingerprinted once."""
+    schema = "doc_id bigint, n_chars bigint, own string, edited string, next string, text string, edited_text string"
+    pairs = store(by_texts(in_order(docs), _in_pairs, schema), "pairs")
+    # Every document is the text of a row, so the next ones need no text of their own.
+    sides = [F.struct(F.col(k).alias("key"), F.col(t).alias("text")) for k, t in (("own", "text"), ("edited", "edited_text"))]
+    both = pairs.select(F.inline(F.array(*sides)))
+    distinct = store(both.groupBy("key").agg(F.first("text").alias("text")), "distinct")
+    made = store(marks(distinct, words), "marks")
+    found = pairs.drop("text", "edited_text")
+    for name in ("own", "edited", "next"):
+        found = attach_stored(found, made.toDF(name, f"{name}_mark"), [name], "left", pairs.select(name))
+    repeats = words.settings.repeats
+
+    def alike(batches):
+        for batch in batches:
+            own, new, after = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            near = [[likeness(a, b, repeats) for a, b in zip(own, other)] for other in (new, after)]
+            arrays = [*batch.columns[:5], *[pa.array(n, pa.float64()) for n in near]]
+            yield pa.RecordBatch.from_arrays(arrays, names=_COMPARED)
+
+    narrow = found.select("doc_id", "n_chars", "edited", "own_mark", "edited_mark", "next_mark")
+    return by_texts(narrow, alike, _COMPARED_DDL)
+
+
+_COMPARED = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_COMPARED_DDL = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, " \
+    "edited_fingerprint string, near_edited double, near_next double"
+
+
+def compare_edited(docs: DataFrame, words: Lexicon | WideLexicon) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how alike they and the next document's are."""
+    if isinstance(words, WideLexicon):
+        return _compare_by_join(docs, words)
     shared = Shared(docs.sparkSession, words)
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    names = _COMPARED
     kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
 
     def run(batches):
@@ -317,6 +422,4 @@ def compare_edited(docs: DataFrame, words: Lexicon) -> DataFrame:
             columns = list(zip(*rows)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, " \
-        "edited_fingerprint string, near_edited double, near_next double"
-    return by_texts(in_order(docs), run, schema)
+    return by_texts(in_order(docs), run, _COMPARED_DDL)

@@ -1,9 +1,11 @@
 import hashlib
 import random
 from collections import Counter
+from dataclasses import replace
 
 from rankmatch.llm import imatch
-from tests.llm.helpers import docs, edge_rows, empty
+from rankmatch.operators import joins
+from tests.llm.helpers import docs, edge_rows, empty, rows_of
 
 
 def corpus(n=300):
@@ -29,10 +31,29 @@ def test_lexicon_is_the_exact_band(spark, monkeypatch):
     assert set(imatch.lexicon(table, SETTINGS).members) == want
 
 
-def test_long_documents_raise_the_lower_end(spark):
-    rows = corpus()
-    small = imatch.lexicon(docs(spark, rows), imatch.Settings(least=0.001, most=1.0, max_terms=100))
-    assert 0 < len(small.members) <= 100
+def test_a_large_lexicon_gives_the_same_by_joins(spark):
+    rows = [*corpus(), *edge_rows(), *[(900 + i, "same text of many rows", "en", "s") for i in range(40)]]
+    rows += [(2000, "words nobody else has", "en", "s")]
+    table = docs(spark, rows).repartition(5)
+    for whole in (True, False):
+        narrow = imatch.lexicon(table, imatch.Settings(least=0.02, most=0.3, whole=whole))
+        wide = imatch.lexicon(table, imatch.Settings(least=0.02, most=0.3, whole=whole, max_terms=3))
+        assert isinstance(narrow, imatch.Lexicon) and isinstance(wide, imatch.WideLexicon)
+        inside = {bytes(r.term) for r in wide.table.where("inside").collect()}
+        assert inside == set(narrow.members) and len(inside) > 3
+        assert rows_of(imatch.compare_edited(table, wide)) == rows_of(imatch.compare_edited(table, narrow))
+        assert rows_of(imatch.fingerprints(table, wide)) == rows_of(imatch.fingerprints(table, narrow))
+    bare = narrow.fingerprint(b"words nobody else has")
+    assert bare == narrow.fingerprint(b"")
+
+
+def test_hot_terms_of_a_large_lexicon_are_spread(spark, monkeypatch):
+    table = docs(spark, corpus()).repartition(5)
+    narrow, wide = imatch.lexicon(table, SETTINGS), imatch.lexicon(table, replace(SETTINGS, max_terms=3))
+    want = rows_of(imatch.fingerprints(table, narrow))
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 4000)
+    assert rows_of(imatch.fingerprints(table, wide)) == want
 
 
 def test_edited_texts_in_order(spark):
