@@ -40,6 +40,28 @@ def _key_sql(level: Level, extra: Sequence[str]) -> str:
     return f"named_struct('level', {literal(level.name)}, 'names', array({names}))"
 
 
+def _level_sql(levels: Sequence[Level], extra: Sequence[str]) -> str:
+    """The ``level_key`` of a record: every rank is tested once, the levels then compare bits.
+
+    A condition for each level over all ranks becomes a method the JVM does not compile.
+    """
+    ranks = list(dict.fromkeys(c for v in levels for c in (*v.filled, *v.blank)))
+    if len(ranks) > 31:
+        cases = [f"WHEN {mask_sql(v.filled, v.blank)} THEN {_key_sql(v, extra)}" for v in levels]
+        return f"CASE {' '.join(cases)} END"
+    # Two bits per rank, as one that is null is neither filled nor blank.
+    filled, blank = ({c: 1 << (2 * i + bit) for i, c in enumerate(ranks)} for bit in (0, 1))
+    bits = " + ".join(
+        ["0L", *[f"CASE WHEN {quote(c)} = '' THEN {blank[c]}L WHEN {quote(c)} <> '' THEN {filled[c]}L ELSE 0L END" for c in ranks]]
+    )
+    cases = []
+    for level in levels:
+        # A rank may be named twice.
+        wanted = sum({filled[c] for c in level.filled} | {blank[c] for c in level.blank})
+        cases.append(f"WHEN __bits & {wanted}L = {wanted}L THEN {_key_sql(level, extra)}")
+    return f"element_at(transform(array({bits}), __bits -> CASE {' '.join(cases)} END), 1)"
+
+
 def record_levels(
     records: DataFrame,
     levels: Sequence[Level] = S.LEVELS,
@@ -50,8 +72,7 @@ def record_levels(
 
     Records for which ``waiting`` is false have no level.
     """
-    cases = [f"WHEN {mask_sql(v.filled, v.blank)} THEN {_key_sql(v, extra_keys)}" for v in levels]
-    key = F.expr(f"CASE {' '.join(cases)} END")
+    key = F.expr(_level_sql(levels, extra_keys))
     return records.withColumn(LEVEL_KEY, key if waiting is None else F.when(waiting, key))
 
 

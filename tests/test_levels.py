@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankmatch import settings as S
 from rankmatch.functions.ranks import presence_mask
@@ -102,3 +103,19 @@ def test_unmatched_names(spark):
         spark, [record(str(i), kingdom="Animalia", phylum="P") for i in range(3)] + [record("9", kingdom="Animalia")]
     )
     assert rows(levels.unmatched_names(df)) == [("phylum", "P", "", 3)]
+
+
+def test_a_rank_that_is_null_is_neither_filled_nor_blank(spark):
+    filled = {c: "x" for c in ("kingdom", "phylum", "class", "order")}
+    odd = [record("whole", **filled), {**record("gap", **filled), "family": None}, {**record("bare"), "phylum": None}]
+    got = levels.record_levels(records_frame(spark, odd)).select("speciesID", *levels.level_columns())
+    assert rows(got.where("level IS NOT NULL")) == [("whole", "order", "x", "")]
+
+
+def test_ranks_are_tested_once(spark):
+    """A test per level and rank makes a method the JVM does not compile."""
+    sql = levels._level_sql(S.LEVELS, ())
+    assert all(sql.count(f"`{r}` <> ''") == 1 for r in S.RANKS[:7])
+    many = [S.Level(name="m", keys=("c0",), filled=("c0",), blank=tuple(f"c{i}" for i in range(1, 40)))]
+    row = spark.range(1).select(*[F.lit("" if i else "v").alias(f"c{i}") for i in range(40)])
+    assert levels.record_levels(row, many).select("level_key.level").first()[0] == "m"
