@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from rankmatch.functions.names import quote, quoted
 from rankmatch.session import store
 
-# (left, table, keys, how, source=None) -> joined; see lookup and attach.
+# (left, table, keys, how, source=None, apart=None) -> joined; see lookup and attach.
 Join = Callable[..., DataFrame]
 
 # A key with fewer rows than this fits a task; one with more is spread over one part for each
@@ -29,6 +29,9 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # is broadcast, whatever the tables' sizes.
 FILTER_BITS = 1 << 25
 
+# Rows without a match are told from the others by a filter of at most so many bits.
+MOST_FILTER_BITS = 1 << 28
+
 # A task makes at most about so many pairs of one key.
 CELL_PAIRS = 1_000_000
 
@@ -76,6 +79,7 @@ def lookup(
     how: str = "left",
     source: DataFrame | None = None,
     hot: DataFrame | None = None,
+    apart: str | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``table`` on equal ``keys``; null keys match nothing.
 
@@ -84,12 +88,20 @@ def lookup(
     and the table's rows for these keys are repeated once per part.  In a left join the
     rows without a key are spread too, as they would otherwise all meet in one task.
     ``source`` is used by :func:`attach` only.
+
+    ``apart`` is for an outer join of a ``left`` that is cheap to read twice: rows without a key
+    are then read on their own and not shuffled (``"null"``), and :func:`attach` does so with rows
+    whose key is not in the table as well (``"filter"``).
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     columns = _columns(left, table, keys, how)
     outer = how in ("left", "left_anti")
+    if apart and outer:
+        without = left.where(_any_null(keys))
+        joined = lookup(left.where(~_any_null(keys)), table, keys, how, hot=hot)
+        return joined.unionByName(_unmatched_rows(without, table, keys, how))
     if hot is None and not outer:
         return left.join(table, keys, how)
 
@@ -168,6 +180,31 @@ def _reduced(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFram
     return maybe_in(left, words, keys) if 2 * fill <= FILTER_BITS else left
 
 
+def _unmatched_rows(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """What an outer join gives for rows that match nothing."""
+    if how == "left_anti":
+        return left
+    return left.withColumns({f.name: F.lit(None).cast(f.dataType) for f in table.schema.fields if f.name not in keys})
+
+
+def _apart(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ``left`` whose key may be in ``table``, and those whose key is not; None if too many pass.
+
+    The filter has four bits or more for each key, and at most :data:`MOST_FILTER_BITS`.
+    """
+    bits = FILTER_BITS
+    while bits < min(4 * table.count(), MOST_FILTER_BITS):
+        bits *= 2
+    words = store(key_filter(table, keys, bits), "key-filter")
+    if 2 * words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0] > bits:
+        return None
+    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(bits).cast("long"))
+    columns = [quoted(c) for c in left.columns]
+    found = left.withColumn("__at", at).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word", "left")
+    hit = F.expr("coalesce(shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L, false)") & ~_any_null(keys)
+    return found.where(hit).select(columns), found.where(~hit).select(columns)
+
+
 def attach_stored(
     left: DataFrame,
     table: DataFrame,
@@ -175,6 +212,7 @@ def attach_stored(
     how: str = "left",
     source: DataFrame | None = None,
     limit: int | None = None,
+    apart: str | None = None,
 ) -> DataFrame:
     """:func:`lookup` in a stored table, choosing how to join by its measured size.
 
@@ -183,6 +221,7 @@ def attach_stored(
     A join that drops rows of ``left`` then first drops most of them by a :func:`key_filter`.
     They are counted in ``source`` if it is given: rows that have the keys of ``left``, or
     more, and are cheaper to compute.  A table with the column :data:`ROWS` knows them.
+    ``apart`` is that of :func:`lookup`.
     """
     if ROWS in table.columns:
         source = table
@@ -191,7 +230,12 @@ def attach_stored(
         return left.join(F.broadcast(table), list(keys), how).select(columns)
     if how in ("inner", "left_semi"):
         left = _reduced(left, table, keys)
-    return lookup(left, table, keys, how, hot=_hot_list(left if source is None else source, keys))
+    hot = _hot_list(left if source is None else source, keys)
+    parted = _apart(left, table, keys) if apart == "filter" and how in ("left", "left_anti") else None
+    if parted is None:
+        return lookup(left, table, keys, how, hot=hot, apart=apart)
+    maybe, without = parted
+    return lookup(maybe, table, keys, how, hot=hot).unionByName(_unmatched_rows(without, table, keys, how))
 
 
 def _hot_list(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -214,9 +258,10 @@ def attach(
     source: DataFrame | None = None,
     base: str | None = None,
     limit: int | None = None,
+    apart: str | None = None,
 ) -> DataFrame:
     """:func:`attach_stored`, writing the table to the shared folder, or to ``base``, first."""
-    return attach_stored(left, store(table, "lookup", base), keys, how, source, limit)
+    return attach_stored(left, store(table, "lookup", base), keys, how, source, limit, apart)
 
 
 def grid(left: DataFrame, table: DataFrame, keys: Sequence[str], cell_pairs: int | None = None) -> DataFrame:
@@ -320,7 +365,8 @@ def flag_repeated(
     """Add whether several rows have the ``key`` of a row; null keys count as equal.
 
     The counts are joined back instead of being taken in a window: a window would hold
-    all rows of a key in one task.
+    all rows of a key in one task.  ``df`` should be a stored table: with :func:`attach` it is read
+    twice, so that rows whose key is surely not repeated are not shuffled.
     """
     keys = {
         "__key": F.coalesce(quoted(key).cast("string"), F.lit("")),
@@ -328,8 +374,14 @@ def flag_repeated(
     }
     keyed = df.withColumns(keys)
     twice = repeated_keys(keyed.select(*keys), list(keys)).withColumnRenamed("n_rows", ROWS)
-    found = join(keyed, twice, list(keys), "left")
-    return found.withColumn(flag, F.col(ROWS).isNotNull()).drop(ROWS, *keys)
+    # Text is shuffled once, as the join key, and not beside it.
+    text = isinstance(df.schema[key].dataType, T.StringType)
+    if text:
+        keyed = keyed.drop(quoted(key))
+    found = join(keyed, twice, list(keys), "left", apart="filter")
+    if text:
+        found = found.withColumn(key, F.when(~F.col("__key_null"), F.col("__key")))
+    return found.select(*map(quote, df.columns), F.col(ROWS).isNotNull().alias(flag))
 
 
 def split_repeated(df: DataFrame, key: str, join: Join = lookup) -> tuple[DataFrame, DataFrame]:

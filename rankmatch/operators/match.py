@@ -119,7 +119,7 @@ def candidates(
     out_id = S.RECORD_ID if record_id == "speciesId" else record_id
     records = records.drop(*[c for c in carry if c in records.columns])
     flagged = flag_repeated(records, record_id, join=join)
-    joined = join(flagged, node_keys(nodes, keys, carry), keys, "left", records)
+    joined = join(flagged, node_keys(nodes, keys, carry), keys, "left", records, apart="null")
     joined = joined.withColumn("n_nodes", F.coalesce("n_nodes", F.lit(0).cast("long")))
     joined = joined.withColumnRenamed(record_id, out_id)
     return _finish(joined, None if columns is None else [*columns, "n_nodes", "is_repeated"])

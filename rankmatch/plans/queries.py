@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -212,8 +212,14 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return match.exact_match(_cleaned(spark, sf), nodes, join=attach)
 
 
-def _unmatched(spark: SparkSession, sf: str, backbone: DataFrame) -> DataFrame:
-    return store(find_unmatched(_cleaned(spark, sf), backbone), "unmatched")
+# What a parent depends on.
+_RANKED = (S.RECORD_ID, *S.RANKS)
+
+
+def _unmatched(spark: SparkSession, sf: str, backbone: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The unmatched records as a table, with the ``columns`` that a query looks at, by default all."""
+    found = find_unmatched(_cleaned(spark, sf), backbone)
+    return store(found if columns is None else found.select(*map(quote, columns)), "unmatched")
 
 
 _PAIR_COLUMNS = [
@@ -360,7 +366,7 @@ def q_homonym_pick(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_homonym_assign(spark: SparkSession, sf: str) -> DataFrame:
     bb = _backbone(spark, sf)
-    first = homonyms.homonym_assign(_unmatched(spark, sf, bb), bb, T.KINGDOMS, join=attach)
+    first = homonyms.homonym_assign(_unmatched(spark, sf, bb, _RANKED), bb, T.KINGDOMS, join=attach)
     return first.select(S.RECORD_ID, *S.RANKS[2:], S.PARENT_ID)
 
 
@@ -377,7 +383,7 @@ def q_unresolvable(spark: SparkSession, sf: str) -> DataFrame:
     # but no node qualifies.
     bb = _backbone(spark, sf)
     others = bb.where(F.col(S.NODE_RANK) != "order")
-    return homonyms.unresolvable_homonyms(_unmatched(spark, sf, bb), others, T.KINGDOMS, join=attach)
+    return homonyms.unresolvable_homonyms(_unmatched(spark, sf, bb, _RANKED), others, T.KINGDOMS, join=attach)
 
 
 # --- parents by level ----------------------------------------------------------------
@@ -459,20 +465,20 @@ def q_rank_match_kingdom(spark: SparkSession, sf: str) -> DataFrame:
 # --- the whole job -------------------------------------------------------------------
 
 
-def _assigned(spark: SparkSession, sf: str) -> DataFrame:
+def _assigned(spark: SparkSession, sf: str, columns: Sequence[str] | None = None) -> DataFrame:
     bb = _backbone(spark, sf)
-    return assign_parents(_unmatched(spark, sf, bb), bb, T.KINGDOMS)
+    return assign_parents(_unmatched(spark, sf, bb, columns), bb, T.KINGDOMS)
 
 
 @query
 def q_second_stage(spark: SparkSession, sf: str) -> DataFrame:
-    second = _assigned(spark, sf).where("stage = 'second'")
+    second = _assigned(spark, sf, _RANKED).where("stage = 'second'")
     return second.select(S.RECORD_ID, "level", "n_parents", S.PARENT_ID)
 
 
 @query
 def q_all_matches(spark: SparkSession, sf: str) -> DataFrame:
-    matches = _assigned(spark, sf).where("stage <> 'none'")
+    matches = _assigned(spark, sf, (*_RANKED, "taxonName")).where("stage <> 'none'")
     return matches.select(S.RECORD_ID, "taxonName", *S.RANKS, "stage", "n_parents", S.PARENT_ID)
 
 
@@ -484,7 +490,7 @@ def q_remainder(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_summary(spark: SparkSession, sf: str) -> DataFrame:
-    assigned = _assigned(spark, sf).select(S.RECORD_ID, "stage", "n_parents")
+    assigned = _assigned(spark, sf, _RANKED).select(S.RECORD_ID, "stage", "n_parents")
     return assigned.groupBy("stage").agg(
         F.count("*").alias("n_rows"), F.sum("n_parents").alias("n_parents"), F.count_distinct(S.RECORD_ID).alias("n_records")
     )
@@ -493,10 +499,12 @@ def q_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     bb = _backbone(spark, sf)
-    records = _unmatched(spark, sf, bb)
+    records = _unmatched(spark, sf, bb, _RANKED)
     first = store(homonyms.homonym_assign(records, bb, T.KINGDOMS, join=attach), "first")
-    waiting = joins.drop_keys(records, first, [S.RECORD_ID], attach)
-    second = levels.rank_match(waiting, levels.rank_backbone(bb, T.KINGDOMS), multi="first", join=attach)
+    # Stored, as the second search reads it for its orders, its hot names and its rows.
+    waiting = store(joins.drop_keys(records, first, [S.RECORD_ID], partial(attach, apart="filter")), "waiting")
+    # Stored, as both the matches and the remainder read it.
+    second = store(levels.rank_match(waiting, levels.rank_backbone(bb, T.KINGDOMS), multi="first", join=attach), "second")
     matches, remainder = reconcile.reconcile(records, first, second, join=attach)
     return reconcile.match_summary(
         unmatched=records, first_matches=first, second_matches=second, all_matches=matches, remainder=remainder

@@ -1,7 +1,10 @@
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from rankmatch.operators import joins
+from rankmatch.session import store
 from tests.helpers import rows
 
 
@@ -173,3 +176,32 @@ def test_filter_goes_ahead_of_the_shuffle(monkeypatch, skewed, table):
     full = joins.attach(skewed, skewed.select("k").distinct(), ["k"], "left_semi", limit=0)
     assert "__bits" not in full._jdf.queryExecution().optimizedPlan().toString()
     assert full.count() == skewed.where("k IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("apart", ["null", "filter"])
+@pytest.mark.parametrize("join", [joins.lookup, partial(joins.attach, limit=0)])
+def test_rows_without_a_match_are_read_apart(skewed, table, join, apart):
+    for how in ("left", "left_anti", "inner", "left_semi"):
+        got = join(skewed, table, ["k"], how, apart=apart)
+        assert rows(got) == rows(skewed.join(table, "k", how).select(*got.columns))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Union" in plan) == (how in ("left", "left_anti"))
+
+
+def test_unique_ids_are_not_shuffled(spark):
+    df = spark.range(1000).select((F.col("id") % 900).cast("string").alias("id"), F.col("id").alias("n"))
+    plan = joins.flag_repeated(df, "id", join=partial(joins.attach, limit=0))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "__bits" in plan
+    got = joins.flag_repeated(df, "id", join=partial(joins.attach, limit=0))
+    assert got.columns == ["id", "n", "is_repeated"]
+    assert rows(got.where("is_repeated")) == rows(df.where("n < 100 OR n >= 900").withColumn("is_repeated", F.lit(True)))
+    assert got.count() == 1000
+
+
+def test_a_filter_that_is_too_full_sets_nothing_apart(monkeypatch, spark, skewed):
+    monkeypatch.setattr(joins, "FILTER_BITS", 64)
+    monkeypatch.setattr(joins, "MOST_FILTER_BITS", 64)
+    keys = store(skewed.select("k").distinct(), "keys")
+    assert joins._apart(skewed, keys, ["k"]) is None
+    got = joins.attach(skewed, keys, ["k"], "left_anti", limit=0, apart="filter")
+    assert rows(got) == rows(skewed.where("k IS NULL"))
