@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rankmatch import settings as S
 from rankmatch.functions.names import quoted
 from rankmatch.operators.clean import clean_and_store, clean_records
-from rankmatch.session import spread
+from rankmatch.session import deal, spread
 from rankmatch.settings import Correction
 
 # The rules for the derived checklist, the same as in the SQL.
@@ -69,25 +69,31 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checklist as it would come from a file: padded names, markup, gaps, log columns."""
     lines = spread(
         table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+            "l_orderkey",
+            "l_partkey",
+            "l_linenumber",
+            "l_returnflag",
+            "l_linestatus",
+            # Tested before the lines are shuffled to their parts: the answers are narrower than the values.
+            ((F.col("l_linenumber") > 1) | (F.col("l_returnflag") != "R")).alias("has_phylum"),
+            (F.col("l_discount") != 0).alias("has_class"),
+            (F.col("l_tax") != 0.01).alias("has_genus"),
+            (F.col("l_tax") == 0.08).alias("is_misspelt"),
         )
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rank = _ranks_of_part()
     depth = F.col("l_linenumber")
-    misspelt = F.when(F.col("l_tax") == 0.08, "x").otherwise("")
+    misspelt = F.when(F.col("is_misspelt"), "x").otherwise("")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.concat(F.lit("L-"), "l_orderkey", F.lit("-"), "l_linenumber").alias("speciesId"),
         F.concat(F.lit("<i>"), "p_name", F.lit("</i> "), "p_brand").alias("taxonName"),
         F.lit("x").alias("domain "),
-        F.when(
-            (depth > 1) | (F.col("l_returnflag") != "R"),
-            F.concat(F.lit("  "), rank["phylum"], F.lit(" ")),
-        ).alias("phylum"),
-        F.when((depth >= 2) & (F.col("l_discount") != 0), rank["class"]).alias("class"),
+        F.when(F.col("has_phylum"), F.concat(F.lit("  "), rank["phylum"], F.lit(" "))).alias("phylum"),
+        F.when((depth >= 2) & F.col("has_class"), rank["class"]).alias("class"),
         F.when(depth >= 3, rank["order"]).alias("order"),
         F.when(depth >= 4, rank["family"]).alias("family"),
-        F.when(depth >= 5, F.when(F.col("l_tax") != 0.01, F.concat(F.lit(" "), rank["genus"]))).alias("genus"),
+        F.when(depth >= 5, F.when(F.col("has_genus"), F.concat(F.lit(" "), rank["genus"]))).alias("genus"),
         F.when(depth >= 6, F.concat(rank["specificEpithet"], misspelt)).alias("species"),
         F.when(depth >= 7, rank["infraspecificEpithet"]).alias("subspecies"),
         F.col("l_returnflag").alias("data cleanup changes"),
@@ -118,7 +124,8 @@ def stored_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backbone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Authority table: one node per prefix of ranks, absent ranks null."""
-    parts = table(spark, sf_dir, "part").select(
+    # Every part becomes a row per prefix, so the parts are dealt out by their number before that.
+    parts = deal(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).select(
         "p_partkey", "p_size", *[c.alias(r) for r, c in _ranks_of_part().items()]
     )
     ranks = list(reversed(S.RANKS))

@@ -72,7 +72,7 @@ def store(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     if base is None:
         return df.persist(StorageLevel.DISK_ONLY)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -93,6 +93,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(F.xxhash64(*names)) if names else df
 
 
+# Rows of a dealt table that go to one task.
+DEALT_ROWS = 50_000
+
+
+def deal(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A table just read, dealt out to tasks of about ``rows`` rows each, by default :data:`DEALT_ROWS`.
+
+    For rows that are multiplied before they are aggregated: a compressed table of millions of rows may
+    be one split, and that task's memory would grow with the table.  Rows go by their hash, so a task
+    that is run again gives the same.  A table of one task's rows is left as it is.
+    """
+    tasks = -(-df.count() // (rows or DEALT_ROWS))
+    names = ["`" + f.name.replace("`", "``") + "`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartition(tasks, F.xxhash64(*names)) if names and tasks > 1 else df
+
+
 def store_observed(
     df: DataFrame, name: str, measures: Mapping[str, Column], base: str | None = None
 ) -> tuple[DataFrame, dict[str, int]]:

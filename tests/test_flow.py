@@ -18,7 +18,7 @@ from rankmatch.plans.flow import (
     summarise,
     write_results,
 )
-from rankmatch.session import shared_dir, spread, store, store_observed, working_folder
+from rankmatch.session import deal, shared_dir, spread, store, store_observed, working_folder
 from tests.helpers import frame, loop_homonyms, loop_levels, node, nodes_frame, record, records_frame, rows
 from tests.test_homonyms import sample as homonym_sample
 from tests.test_levels import sample as level_sample
@@ -241,3 +241,43 @@ def test_small_tables_are_dealt_out_and_large_ones_are_not(spark, tmp_path):
         assert spread(read) is read
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_to_be_multiplied_are_dealt_out_by_their_number(spark):
+    one = spark.range(1000, numPartitions=1)
+    dealt = deal(one, rows=100)
+    assert dealt.rdd.getNumPartitions() == 10 and rows(dealt) == rows(one)
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 200
+    assert deal(one, rows=1000).rdd.getNumPartitions() == 1
+
+
+def test_the_nodes_are_made_in_several_tasks(monkeypatch, spark):
+    from rankmatch.plans import tables
+
+    parts = spark.range(1, 400).select(
+        F.col("id").alias("p_partkey"), F.lit("red ring").alias("p_name"), F.lit("Brand#11").alias("p_brand"),
+        F.lit("PROMO").alias("p_type"), (F.col("id") % 50).cast("int").alias("p_size"),
+    )
+    monkeypatch.setattr(tables, "table", lambda *_: parts.coalesce(1))
+    monkeypatch.setattr(session, "DEALT_ROWS", 50)
+    plan = tables.backbone(spark, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and ", 8" in plan
+
+
+def test_lines_are_shuffled_without_the_values_that_are_only_tested(spark, tmp_path):
+    from rankmatch.plans import tables
+
+    line = "1 l_orderkey, 1 l_partkey, 3 l_linenumber, 0.0D l_discount, 0.08D l_tax, 'R' l_returnflag, 'F' l_linestatus"
+    spark.sql(f"SELECT {line}").write.parquet(str(tmp_path / "lineitem.parquet"))
+    part = "1 p_partkey, 'red ring' p_name, 'Brand#11' p_brand, 'PROMO' p_type, 7 p_size"
+    spark.sql(f"SELECT {part}").write.parquet(str(tmp_path / "part.parquet"))
+    raw = tables.raw_checklist(spark, str(tmp_path))
+    row = raw.first()
+    assert (row["phylum"], row["class"], row["order"]) == ("  Brand#11 ", None, "ring Brand#11")
+    join = raw._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+    assert "AS is_misspelt" in join and "AS has_class" in join
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    store(spark.range(10), "x", str(tmp_path)).count()
+    assert glob.glob(f"{tmp_path}/x-*/*.zstd.parquet")
