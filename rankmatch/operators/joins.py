@@ -37,6 +37,8 @@ CELL_PAIRS = 1_000_000
 
 # A table with this column says itself how many rows have each key.
 ROWS = "__rows"
+# What a join of the kind "repeated" adds: whether several rows have the key of a row.
+REPEATED = "__repeated"
 
 _SALT = "__salt"
 _PARTS = "__parts"
@@ -92,7 +94,13 @@ def lookup(
     ``apart`` is for an outer join of a ``left`` that is cheap to read twice: rows without a key
     are then read on their own and not shuffled (``"null"``), and :func:`attach` does so with rows
     whose key is not in the table as well (``"filter"``).
+
+    ``how="repeated"`` adds :data:`REPEATED` to ``left``; ``table`` then has every key of ``left`` and its
+    :data:`ROWS` there.
     """
+    if how == "repeated":
+        found = lookup(left, table.where(F.col(ROWS) > 1), keys, "left", hot=hot)
+        return found.select(*[quoted(c) for c in left.columns], F.col(ROWS).isNotNull().alias(REPEATED))
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
@@ -150,22 +158,27 @@ def table_bytes(df: DataFrame) -> int:
     return rows * (32 + sum(_width(f.dataType) for f in df.schema.fields)) + texts
 
 
-def key_filter(table: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
+def _bit(keys: Sequence[str], bits: int | None, seed: int) -> Column:
+    hashed = F.xxhash64(*map(quote, keys), *([F.lit(seed)] if seed else []))
+    return F.pmod(hashed, F.lit(FILTER_BITS if bits is None else bits).cast("long"))
+
+
+def key_filter(table: DataFrame, keys: Sequence[str], bits: int | None = None, seed: int = 0) -> DataFrame:
     """A Bloom filter of the keys of ``table``: ``__word`` and its ``__bits``.
 
     Every key sets one of ``bits`` bits, by its hash.  Bits are gathered per word and combined per task
-    before the shuffle, so the result has at most ``bits / 64`` rows.
+    before the shuffle, so the result has at most ``bits / 64`` rows.  Filters of another ``seed`` use
+    another hash, so keys that share a bit in one hardly ever do in both.
     """
-    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(FILTER_BITS if bits is None else bits).cast("long"))
+    at = _bit(keys, bits, seed)
     one = F.expr("shiftleft(1L, cast(pmod(__at, 64) as int))")
     words = table.where(~_any_null(keys)).select(at.alias("__at")).select(F.expr("__at div 64").alias("__word"), one.alias("__bit"))
     return words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
 
 
-def maybe_in(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int | None = None) -> DataFrame:
+def maybe_in(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int | None = None, seed: int = 0) -> DataFrame:
     """The rows of ``left`` whose key may be in ``words``, those of :func:`key_filter`; no key in it is missed."""
-    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(FILTER_BITS if bits is None else bits).cast("long"))
-    found = left.withColumn("__at", at).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word")
+    found = left.withColumn("__at", _bit(keys, bits, seed)).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word")
     kept = found.where(F.expr("shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L"))
     return kept.select([quoted(c) for c in left.columns])
 
@@ -187,22 +200,58 @@ def _unmatched_rows(left: DataFrame, table: DataFrame, keys: Sequence[str], how:
     return left.withColumns({f.name: F.lit(None).cast(f.dataType) for f in table.schema.fields if f.name not in keys})
 
 
-def _apart(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
-    """The rows of ``left`` whose key may be in ``table``, and those whose key is not; None if too many pass.
+def _own_filter(table: DataFrame, keys: Sequence[str], seed: int = 0) -> tuple[DataFrame, int] | None:
+    """The stored :func:`key_filter` of ``table`` and its bits: four or more for each key, at most :data:`MOST_FILTER_BITS`.
 
-    The filter has four bits or more for each key, and at most :data:`MOST_FILTER_BITS`.
+    None if over half of them are set, as most rows would pass.
     """
     bits = FILTER_BITS
     while bits < min(4 * table.count(), MOST_FILTER_BITS):
         bits *= 2
-    words = store(key_filter(table, keys, bits), "key-filter")
-    if 2 * words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0] > bits:
-        return None
-    at = F.pmod(F.xxhash64(*map(quote, keys)), F.lit(bits).cast("long"))
-    columns = [quoted(c) for c in left.columns]
-    found = left.withColumn("__at", at).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word", "left")
+    words = store(key_filter(table, keys, bits, seed), "key-filter")
+    fill = words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0]
+    return None if 2 * fill > bits else (words, bits)
+
+
+def _tested(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int, name: str, seed: int = 0) -> DataFrame:
+    """``left`` with the boolean ``name``: whether a row's key may be in ``words``; false without a key."""
+    found = left.withColumn("__at", _bit(keys, bits, seed)).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word", "left")
     hit = F.expr("coalesce(shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L, false)") & ~_any_null(keys)
-    return found.where(hit).select(columns), found.where(~hit).select(columns)
+    return found.select(*[quoted(c) for c in left.columns], hit.alias(name))
+
+
+def _apart(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ``left`` whose key may be in ``table``, and those whose key is not; None if too many pass."""
+    own = _own_filter(table, keys)
+    if own is None:
+        return None
+    tested = _tested(left, own[0], keys, own[1], "__maybe")
+    return tested.where("__maybe").drop("__maybe"), tested.where("NOT __maybe").drop("__maybe")
+
+
+def _mark_repeated(left: DataFrame, counted: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """``left`` with :data:`REPEATED`; ``counted`` is stored and has every key of ``left`` with its :data:`ROWS`.
+
+    A first filter has the repeated keys, a second one those keys that occur once and pass the first.
+    A row that does not pass the first is not repeated; one that passes it and not the second is.
+    Only rows that pass both are shuffled, and only to repeated keys that pass the second.
+    """
+    keys, columns = list(keys), [quoted(c) for c in left.columns]
+    flag = F.col(ROWS).isNotNull().alias(REPEATED)
+    twice, once = counted.where(F.col(ROWS) > 1), counted.where(F.col(ROWS) == 1)
+    if table_bytes(twice) <= limit:
+        return left.join(F.broadcast(twice), keys, "left").select(*columns, flag)
+    hot, first = _hot_list(twice, keys), _own_filter(twice, keys)
+    if first is None:
+        return lookup(left, counted, keys, "repeated", hot=hot)
+    tested, unsure, sure = _tested(left, first[0], keys, first[1], "__maybe"), "__maybe", F.lit(False)
+    second = _own_filter(maybe_in(once, first[0], keys, first[1]), keys, seed=1)
+    if second is not None:
+        tested = _tested(tested, second[0], keys, second[1], "__second", seed=1)
+        unsure, sure = "__maybe AND __second", F.col("__maybe")
+        twice = maybe_in(twice, second[0], keys, second[1], seed=1)
+    decided = tested.where(f"NOT ({unsure})").select(*columns, sure.alias(REPEATED))
+    return lookup(tested.where(unsure).select(columns), twice, keys, "left", hot=hot).select(*columns, flag).unionByName(decided)
 
 
 def attach_stored(
@@ -221,8 +270,10 @@ def attach_stored(
     A join that drops rows of ``left`` then first drops most of them by a :func:`key_filter`.
     They are counted in ``source`` if it is given: rows that have the keys of ``left``, or
     more, and are cheaper to compute.  A table with the column :data:`ROWS` knows them.
-    ``apart`` is that of :func:`lookup`.
+    ``apart`` and ``"repeated"`` are those of :func:`lookup`.
     """
+    if how == "repeated":
+        return _mark_repeated(left, table, keys, BROADCAST_BYTES if limit is None else limit)
     if ROWS in table.columns:
         source = table
     if table_bytes(table) <= (BROADCAST_BYTES if limit is None else limit):
@@ -366,22 +417,22 @@ def flag_repeated(
 
     The counts are joined back instead of being taken in a window: a window would hold
     all rows of a key in one task.  ``df`` should be a stored table: with :func:`attach` it is read
-    twice, so that rows whose key is surely not repeated are not shuffled.
+    twice, so that rows of which filters tell whether their key is repeated are not shuffled.
     """
     keys = {
         "__key": F.coalesce(quoted(key).cast("string"), F.lit("")),
         "__key_null": quoted(key).isNull(),
     }
     keyed = df.withColumns(keys)
-    twice = repeated_keys(keyed.select(*keys), list(keys)).withColumnRenamed("n_rows", ROWS)
+    counted = keyed.groupBy(*keys).agg(F.count("*").alias(ROWS))
     # Text is shuffled once, as the join key, and not beside it.
     text = isinstance(df.schema[key].dataType, T.StringType)
     if text:
         keyed = keyed.drop(quoted(key))
-    found = join(keyed, twice, list(keys), "left", apart="filter")
+    found = join(keyed, counted, list(keys), "repeated")
     if text:
         found = found.withColumn(key, F.when(~F.col("__key_null"), F.col("__key")))
-    return found.select(*map(quote, df.columns), F.col(ROWS).isNotNull().alias(flag))
+    return found.select(*map(quote, df.columns), F.col(REPEATED).alias(flag))
 
 
 def split_repeated(df: DataFrame, key: str, join: Join = lookup) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,10 @@ table.  Both grow with the tables and read all of their rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,8 +69,26 @@ def _ranks_of_part() -> dict[str, Column]:
     }
 
 
+def _packed(tests: Sequence[Column]) -> Column:
+    """Answers as one number, three values each: no, yes, unknown."""
+    digits = [F.coalesce(t.cast("int"), F.lit(2)) * 3**i for i, t in enumerate(tests)]
+    return reduce(add, digits)
+
+
+def _unpacked(name: str, i: int) -> Column:
+    """The answer number ``i`` of :func:`_packed`."""
+    digit = F.expr(f"`{name}` div {3**i} % 3")
+    return F.when(digit < 2, digit == 1)
+
+
 def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checklist as it would come from a file: padded names, markup, gaps, log columns."""
+    tests = {
+        "has_phylum": (F.col("l_linenumber") > 1) | (F.col("l_returnflag") != "R"),
+        "has_class": F.col("l_discount") != 0,
+        "has_genus": F.col("l_tax") != 0.01,
+        "is_misspelt": F.col("l_tax") == 0.08,
+    }
     lines = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey",
@@ -75,25 +97,23 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_returnflag",
             "l_linestatus",
             # Tested before the lines are shuffled to their parts: the answers are narrower than the values.
-            ((F.col("l_linenumber") > 1) | (F.col("l_returnflag") != "R")).alias("has_phylum"),
-            (F.col("l_discount") != 0).alias("has_class"),
-            (F.col("l_tax") != 0.01).alias("has_genus"),
-            (F.col("l_tax") == 0.08).alias("is_misspelt"),
+            _packed(list(tests.values())).alias("tests"),
         )
     )
+    has = {name: _unpacked("tests", i) for i, name in enumerate(tests)}
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rank = _ranks_of_part()
     depth = F.col("l_linenumber")
-    misspelt = F.when(F.col("is_misspelt"), "x").otherwise("")
+    misspelt = F.when(has["is_misspelt"], "x").otherwise("")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.concat(F.lit("L-"), "l_orderkey", F.lit("-"), "l_linenumber").alias("speciesId"),
         F.concat(F.lit("<i>"), "p_name", F.lit("</i> "), "p_brand").alias("taxonName"),
         F.lit("x").alias("domain "),
-        F.when(F.col("has_phylum"), F.concat(F.lit("  "), rank["phylum"], F.lit(" "))).alias("phylum"),
-        F.when((depth >= 2) & F.col("has_class"), rank["class"]).alias("class"),
+        F.when(has["has_phylum"], F.concat(F.lit("  "), rank["phylum"], F.lit(" "))).alias("phylum"),
+        F.when((depth >= 2) & has["has_class"], rank["class"]).alias("class"),
         F.when(depth >= 3, rank["order"]).alias("order"),
         F.when(depth >= 4, rank["family"]).alias("family"),
-        F.when(depth >= 5, F.when(F.col("has_genus"), F.concat(F.lit(" "), rank["genus"]))).alias("genus"),
+        F.when(depth >= 5, F.when(has["has_genus"], F.concat(F.lit(" "), rank["genus"]))).alias("genus"),
         F.when(depth >= 6, F.concat(rank["specificEpithet"], misspelt)).alias("species"),
         F.when(depth >= 7, rank["infraspecificEpithet"]).alias("subspecies"),
         F.col("l_returnflag").alias("data cleanup changes"),
