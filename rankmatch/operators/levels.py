@@ -163,13 +163,14 @@ def count_parents(
     Nodes are aggregated per key before the join, so the work is linear however many nodes
     share a key.  Records for which ``waiting`` is false look for no parent.  ``seen`` are
     the :func:`within_values` if they are known already.  ``source`` holds the ranks of the
-    records, or of more, where they are cheaper to read; hot names are counted there.
+    records, or of more, where they are cheaper to read; hot names are counted there.  With
+    :func:`attach` records that look for no parent, or surely find none, are read apart and not shuffled.
     """
     leveled = record_levels(records, levels, extra_keys, waiting)
     seen = within_values(leveled, levels) if seen is None else seen
     served = keep_within(node_levels(nodes, levels, extra_keys, node_id), seen, levels, join)
     counted = None if source is None else record_levels(source, levels, extra_keys)
-    found = join(leveled, level_parents(served, node_id), [LEVEL_KEY], "left", counted)
+    found = join(leveled, level_parents(served, node_id), [LEVEL_KEY], "left", counted, apart="filter")
     return found.select(
         *map(quote, records.columns),
         F.col(LEVEL_KEY)["level"].alias("level"),

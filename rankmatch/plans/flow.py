@@ -83,7 +83,7 @@ def assign_parents(
         )
 
     wanted = records if only is None else records.where(only)
-    first = homonym_parents(wanted, table, ranks, attach_stored)
+    first = homonym_parents(wanted, table, ranks, partial(attach_stored, apart="filter"))
     found = count_parents(
         first,
         rank_backbone(backbone, kingdoms, ranks),
@@ -172,11 +172,15 @@ class Results(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self.NAMES)
 
+    @cached_property
+    def _candidates(self) -> DataFrame:
+        carry = ("genericName",) if self.generic_name == "node" else ()
+        return candidates(self.cleaned, self.nodes, carry=carry, join=self.attach)
+
     @cached_property
     def found(self) -> DataFrame:
         """Stage: every record with its number of nodes."""
-        carry = ("genericName",) if self.generic_name == "node" else ()
-        return store(candidates(self.cleaned, self.nodes, carry=carry, join=self.attach), "candidates", self.base)
+        return store(self._candidates, "candidates", self.base)
 
     @cached_property
     def backed(self) -> DataFrame:
@@ -198,7 +202,9 @@ class Results(Mapping[str, DataFrame]):
 
     @cached_property
     def bare(self) -> DataFrame:
-        return label_unmatched(split_candidates(self.found)[1], self.labels)
+        # Where no result has asked for all candidates, those with nodes or repeated ids are not stored for this.
+        found = self.found if "found" in self.__dict__ else self._candidates
+        return label_unmatched(split_candidates(found)[1], self.labels)
 
     @property
     def columns(self) -> list[str]:
@@ -368,13 +374,14 @@ def inspect_parents(
     return inspect(assign_parents(records, backbone, only=where, **options), columns, order_by=order_by)
 
 
-def write_results(results: Results, folder: str, mode: str = "errorifexists") -> None:
+def write_results(results: Results, folder: str, mode: str = "errorifexists", compression: str = "none") -> None:
     """The six results as CSV, columns in output order, a folder ``result=<name>`` for each.
 
-    One job writes all of them: a row goes to the folders of all results it is in.
+    One job writes all of them: a row goes to the folders of all results it is in.  ``compression`` is
+    that of :func:`write_csv`; :func:`read_results` reads either form.
     """
     table = results.tagged().select("result", *map(quote, S.OUTPUT_COLUMNS))
-    write_csv(table, folder, mode, ["result"])
+    write_csv(table, folder, mode, ["result"], compression)
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:

@@ -93,10 +93,17 @@ def read_backbone_checked(
     return cast_ids(nodes, ids), rejects
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    partition_by: Sequence[str] = (),
+    compression: str = "none",
+) -> None:
     """CSV folder with header: null is blank, ``''`` is ``""``, inner quotes are doubled.
 
     ``partition_by`` columns become folders of their values, all written by one job.
+    ``compression`` is a codec of Spark's text files, such as ``"gzip"``.
     """
     nulls = [
         quoted(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "void" else quoted(f.name)
@@ -108,6 +115,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_b
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        compression=compression,
     ).csv(path)
 
 
