@@ -540,7 +540,8 @@ def q_checklist_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_written_results(spark: SparkSession, sf: str) -> DataFrame:
     folder = working_folder(spark, "results")
-    write_results(_results(spark, sf), folder)
+    # Names come many times each, in up to three results: the plain files would be the most of what is written.
+    write_results(_results(spark, sf), folder, compression="gzip")
     return read_results(spark, folder)
 
 
