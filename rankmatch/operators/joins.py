@@ -25,13 +25,16 @@ HOT_ROWS = 1_000_000
 # A table is broadcast when its values take no more bytes than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Bits of the filter of wanted keys that goes ahead of a shuffle: at most a word of 64 for each 64 bits
-# is broadcast, whatever the tables' sizes.
+# Bits of the filter of wanted keys that goes ahead of a shuffle: 4 MB are broadcast, whatever the tables' sizes.
 FILTER_BITS = 1 << 25
 
-# Rows without a match are told from the others by a filter of at most so many bits.
+# Rows without a match are told from the others by a filter of at most so many bits, 32 MB.
 MOST_FILTER_BITS = 1 << 28
 
+# A word of a filter is an array of so many longs: a row for each long would take four times the filter's
+# bits in the driver and in every executor.
+WORD_LONGS = 64
+
 # A task makes at most about so many pairs of one key.
 CELL_PAIRS = 1_000_000
 
@@ -164,23 +167,40 @@ def _bit(keys: Sequence[str], bits: int | None, seed: int) -> Column:
 
 
 def key_filter(table: DataFrame, keys: Sequence[str], bits: int | None = None, seed: int = 0) -> DataFrame:
-    """A Bloom filter of the keys of ``table``: ``__word`` and its ``__bits``.
+    """A Bloom filter of the keys of ``table``: ``__word`` and its ``__bits``, an array of :data:`WORD_LONGS` longs.
 
-    Every key sets one of ``bits`` bits, by its hash.  Bits are gathered per word and combined per task
-    before the shuffle, so the result has at most ``bits / 64`` rows.  Filters of another ``seed`` use
-    another hash, so keys that share a bit in one hardly ever do in both.
+    Every key sets one of ``bits`` bits, by its hash.  Bits are gathered per long and combined per task
+    before the shuffle, and longs per word, so the result has at most a row for each word.  Filters of another
+    ``seed`` use another hash, so keys that share a bit in one hardly ever do in both.
     """
     at = _bit(keys, bits, seed)
     one = F.expr("shiftleft(1L, cast(pmod(__at, 64) as int))")
-    words = table.where(~_any_null(keys)).select(at.alias("__at")).select(F.expr("__at div 64").alias("__word"), one.alias("__bit"))
-    return words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    longs = table.where(~_any_null(keys)).select(at.alias("__at")).select(F.expr("__at div 64").alias("__long"), one.alias("__bit"))
+    longs = longs.groupBy("__long").agg(F.bit_or("__bit").alias("__bits"))
+    entry = F.struct(F.expr(f"cast(pmod(__long, {WORD_LONGS}) as int)"), "__bits")
+    words = longs.groupBy(F.expr(f"__long div {WORD_LONGS}").alias("__word")).agg(F.map_from_entries(F.collect_list(entry)).alias("__longs"))
+    # The map is bound by a lambda, as it would else be made again for each long.
+    filled = f"transform(sequence(0, {WORD_LONGS - 1}), i -> coalesce(try_element_at(m, i), 0L))"
+    return words.select("__word", F.expr(f"element_at(transform(array(__longs), m -> {filled}), 1)").alias("__bits"))
+
+
+def _set_bits(words: DataFrame) -> int:
+    """How many bits of a :func:`key_filter` are set."""
+    return words.agg(F.expr("coalesce(sum(aggregate(__bits, 0L, (n, b) -> n + bit_count(b))), 0L)")).first()[0]
+
+
+def _looked_up(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int | None, seed: int, how: str) -> tuple[DataFrame, Column]:
+    """``left`` with the word of each row, and whether the bit of its key is set there."""
+    at = left.withColumn("__at", _bit(keys, bits, seed)).withColumn("__word", F.expr(f"__at div {64 * WORD_LONGS}"))
+    # Spark adds these conditions in some joins only, and would broadcast a filter that is used in several kinds again.
+    found = at.join(F.broadcast(words.where("__word IS NOT NULL AND __bits IS NOT NULL")), "__word", how)
+    return found, F.expr(f"shiftrightunsigned(get(__bits, cast(pmod(__at div 64, {WORD_LONGS}) as int)), cast(pmod(__at, 64) as int)) & 1L = 1L")
 
 
 def maybe_in(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int | None = None, seed: int = 0) -> DataFrame:
     """The rows of ``left`` whose key may be in ``words``, those of :func:`key_filter`; no key in it is missed."""
-    found = left.withColumn("__at", _bit(keys, bits, seed)).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word")
-    kept = found.where(F.expr("shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L"))
-    return kept.select([quoted(c) for c in left.columns])
+    found, hit = _looked_up(left, words, keys, bits, seed, "inner")
+    return found.where(hit).select([quoted(c) for c in left.columns])
 
 
 def _reduced(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -189,8 +209,7 @@ def _reduced(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFram
     A filter with over half of its bits set would let most rows pass, so then none is applied.
     """
     words = store(key_filter(table, keys), "key-filter")
-    fill = words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0]
-    return maybe_in(left, words, keys) if 2 * fill <= FILTER_BITS else left
+    return maybe_in(left, words, keys) if 2 * _set_bits(words) <= FILTER_BITS else left
 
 
 def _unmatched_rows(left: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -209,15 +228,13 @@ def _own_filter(table: DataFrame, keys: Sequence[str], seed: int = 0) -> tuple[D
     while bits < min(4 * table.count(), MOST_FILTER_BITS):
         bits *= 2
     words = store(key_filter(table, keys, bits, seed), "key-filter")
-    fill = words.agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0))).first()[0]
-    return None if 2 * fill > bits else (words, bits)
+    return None if 2 * _set_bits(words) > bits else (words, bits)
 
 
 def _tested(left: DataFrame, words: DataFrame, keys: Sequence[str], bits: int, name: str, seed: int = 0) -> DataFrame:
     """``left`` with the boolean ``name``: whether a row's key may be in ``words``; false without a key."""
-    found = left.withColumn("__at", _bit(keys, bits, seed)).withColumn("__word", F.expr("__at div 64")).join(F.broadcast(words), "__word", "left")
-    hit = F.expr("coalesce(shiftrightunsigned(__bits, cast(pmod(__at, 64) as int)) & 1L = 1L, false)") & ~_any_null(keys)
-    return found.select(*[quoted(c) for c in left.columns], hit.alias(name))
+    found, hit = _looked_up(left, words, keys, bits, seed, "left")
+    return found.select(*[quoted(c) for c in left.columns], (F.coalesce(hit, F.lit(False)) & ~_any_null(keys)).alias(name))
 
 
 def _apart(left: DataFrame, table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:

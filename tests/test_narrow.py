@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rankmatch.operators import joins, levels
 from rankmatch.plans import flow, tables
+from rankmatch.session import store
 from rankmatch.sources.files import read_records, string_schema, write_csv
 from tests.helpers import node, nodes_frame, record, records_frame, rows
 
@@ -43,6 +44,51 @@ def test_rows_that_two_filters_tell_are_not_shuffled(monkeypatch, spark):
     assert 50 < once.count() < 600 and passed < 200
 
 
+def _broadcasts(df):
+    """(bytes, how many joins use it) of every filter that was broadcast for a result."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), {}
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "ReusedExchangeExec":
+            return walk(node.child())
+        if kind == "BroadcastExchangeExec" and "__word#" in node.output().toString():
+            size, uses = node.metrics().apply("dataSize").value(), found.get(node.id(), (0, 0))[1]
+            found[node.id()] = (size, uses + 1)
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return sorted(found.values())
+
+
+def test_a_filter_takes_little_more_than_its_bits_in_the_driver(spark):
+    bits = 1 << 24
+    words = store(joins.key_filter(spark.range(1_000_000), ["id"], bits), "words")
+    kept = joins.maybe_in(spark.range(990_000, 1_010_000), words, ["id"], bits)
+    # A row for each long of 64 bits took over four times the two MB; pages are doubled, so up to twice the rows' size is taken.
+    assert [size < 2.5 * bits / 8 for size, _ in _broadcasts(kept)] == [True]
+    # Whether a key passes is told bit by bit.
+    at = joins._bit(["id"], bits, 0).alias("at")
+    bit = spark.range(1_000_000).select(at).distinct()
+    assert rows(kept) == rows(spark.range(990_000, 1_010_000).select("id", at).join(bit, "at", "left_semi").select("id"))
+    assert words.count() == 4096 and joins._set_bits(words) == bit.count()
+
+
+def test_each_filter_is_broadcast_once(monkeypatch, spark):
+    monkeypatch.setattr(joins, "FILTER_BITS", 1 << 14)
+    df = store(spark.range(4000).select((F.col("id") % 3000).cast("string").alias("id"), F.col("id").alias("n")), "ids")
+    found = _broadcasts(joins.flag_repeated(df, "id", join=partial(joins.attach, limit=0)))
+    # One filter has the rows that are shuffled and the others, one also the repeated keys.
+    assert sorted(uses for _, uses in found) == [2, 3]
+
+
 def test_records_that_look_for_no_parent_are_not_shuffled(spark):
     records = records_frame(spark, [record("a", phylum="P"), record("b", phylum="Q"), record("c")])
     nodes = nodes_frame(spark, [node(1, phylum="P")])
