@@ -71,7 +71,7 @@ def _ranks_of_part() -> dict[str, Column]:
 
 def _packed(tests: Sequence[Column]) -> Column:
     """Answers as one number, three values each: no, yes, unknown."""
-    digits = [F.coalesce(t.cast("int"), F.lit(2)) * 3**i for i, t in enumerate(tests)]
+    digits = [F.when(t.isNull(), 2).when(t, 1).otherwise(0) * 3**i for i, t in enumerate(tests)]
     return reduce(add, digits)
 
 
@@ -89,17 +89,10 @@ def raw_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         "has_genus": F.col("l_tax") != 0.01,
         "is_misspelt": F.col("l_tax") == 0.08,
     }
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey",
-            "l_partkey",
-            "l_linenumber",
-            "l_returnflag",
-            "l_linestatus",
-            # Tested before the lines are shuffled to their parts: the answers are narrower than the values.
-            _packed(list(tests.values())).alias("tests"),
-        )
-    )
+    kept = ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+    # Tested before the lines are shuffled to their parts: the answers are narrower than the values.
+    tested = table(spark, sf_dir, "lineitem").select(*kept, *[test.alias(name) for name, test in tests.items()])
+    lines = spread(tested.select(*kept, _packed([F.col(name) for name in tests]).alias("tests")))
     has = {name: _unpacked("tests", i) for i, name in enumerate(tests)}
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     rank = _ranks_of_part()
